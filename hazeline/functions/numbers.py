@@ -1,81 +1,79 @@
-"""Bins, limits, rates and exact distinct-day counting."""
+"""Bins, limits, rates and exact distinct-day counting, by column name.
+
+Long CASE expressions are written as SQL text: the plan is the same, and the driver builds
+one expression instead of dozens.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.params import DEFAULTS, FREQUENCY_LABELS, FREQUENCY_SHARES, Params
 
 
-def clean_double(col: Column) -> Column:
+def clean_double(column: str) -> Column:
     """NaN becomes NULL, so that comparisons with it are unknown rather than false."""
-    return F.when(~F.isnan(col), col)
+    return F.expr(f"CASE WHEN NOT isnan({column}) THEN {column} END")
 
 
-def right_closed_bin(value: Column, breaks: Sequence[float], labels: Sequence[str]) -> Column:
+def right_closed_bin(column: str, breaks: Sequence[float], labels: Sequence[str]) -> Column:
     """Label of the interval (lower, upper] holding the value; NULL outside all of them."""
     if len(breaks) != len(labels) + 1:
         raise ValueError("a bin needs one more break than labels")
-    result = None
+    cases = []
     for lower, upper, label in zip(breaks, breaks[1:], labels):
-        inside = (value > F.lit(float(lower))) & (value <= F.lit(float(upper)))
-        result = F.when(inside, label) if result is None else result.when(inside, label)
-    return result
+        top = "" if upper == float("inf") else f" AND {column} <= {float(upper)!r}D"
+        cases.append(f"WHEN {column} > {float(lower)!r}D{top} THEN '{label}'")
+    return F.expr(f"CASE {' '.join(cases)} END")
 
 
-def band(value: Column, bands: Mapping[str, float] = DEFAULTS.bands) -> Column:
+def band(column: str, bands: Mapping[str, float] = DEFAULTS.bands) -> Column:
     """Severity band of a value; zero and everything above the last limit is NULL."""
-    return right_closed_bin(value, [0, *bands.values()], list(bands))
+    return right_closed_bin(column, [0, *bands.values()], list(bands))
 
 
-def frequency_bin(days_over: Column, days: int) -> Column:
+def frequency_bin(days_over: str, days: int) -> Column:
     """Share-of-days bin of a count of days over a limit."""
     return right_closed_bin(days_over, [days * s for s in FREQUENCY_SHARES], FREQUENCY_LABELS)
 
 
-def mean_from(total: Column, n: Column, params: Params = DEFAULTS) -> Column:
-    """Mean out of a sum and a count, NULL for no values."""
-    return F.round(F.try_divide(total, n), params.mean_decimals)
+def mean_of(column: str, params: Params = DEFAULTS) -> Column:
+    """Mean of a column, NULL for no values, rounded so that the order of adding is no matter."""
+    return F.expr(f"round(avg({column}), {params.mean_decimals})")
 
 
-def mean_of(value: Column, params: Params = DEFAULTS) -> Column:
-    return F.round(F.avg(value), params.mean_decimals)
+def merged_mean(params: Params = DEFAULTS) -> Column:
+    """The same out of a rollup's sums and counts."""
+    return F.expr(f"round(try_divide(sum(value_sum), sum(value_n)), {params.mean_decimals})")
 
 
-def rounded_percent(part: Column, total: Column) -> Column:
+def rounded_percent(part: str, total: str) -> Column:
     """Whole percent, halves to even, NULL for 0/0."""
-    return F.bround(F.try_divide(part, total) * 100, 0)
-
-
-def day_bit(date: Column) -> Column:
-    """One bit per day of the month."""
-    return F.call_function("shiftleft", F.lit(1).cast("bigint"), F.dayofmonth(date) - 1)
+    return F.expr(f"bround(try_divide({part}, {total}) * 100, 0)")
 
 
-def days_mask(date: Column) -> Column:
+def days_mask(date: str) -> Column:
     """Days of one month seen in a group, as a bit mask.
 
     Masks merge with ``bit_or`` and hold 31 bits, so exact distinct-day counts need one
     partial aggregate and no shuffle of (entity, date) pairs.
     """
-    return F.bit_or(day_bit(date))
+    return F.expr(f"bit_or(shiftleft(1L, dayofmonth({date}) - 1))")
 
 
-def with_flags(df, value: str, params: Params = DEFAULTS):
+def with_flags(df: DataFrame, value: str, params: Params = DEFAULTS) -> DataFrame:
     """Three compliance flags; a NULL value gives NULL flags."""
-    v = F.col(value)
-    return df.withColumns(
-        {
-            "pass_who": v <= params.who_limit,
-            "pass_naaqs": v <= params.naaqs_limit,
-            "pass_naaqs2": v <= 2 * params.naaqs_limit,
-        }
-    )
+    limits = {
+        "pass_who": params.who_limit,
+        "pass_naaqs": params.naaqs_limit,
+        "pass_naaqs2": 2 * params.naaqs_limit,
+    }
+    return df.withColumns({f: F.expr(f"{value} <= {x}") for f, x in limits.items()})
 
 
-def number_text(value: Column) -> Column:
+def number_text(column: str) -> Column:
     """Number as people write it: 4 rather than 4.0, at most six decimals."""
-    return F.regexp_replace(F.round(value, 6).cast("string"), r"\.0$", "")
+    return F.regexp_replace(F.round(column, 6).cast("string"), r"\.0$", "")

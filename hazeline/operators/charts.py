@@ -27,7 +27,7 @@ def calendar_cells(
     rows = m if ids is None else _tracked(m, ids)
     rows = rows.where(F.month("date").between(period.start.month, period.end.month))
     daily = rows.groupBy("location_id", "city_name", "date").agg(
-        mean_of(F.col("value"), params).alias("value")
+        mean_of("value", params).alias("value")
     )
     years = daily.groupBy("location_id", "city_name", F.year("date").alias("year")).agg(
         F.map_from_entries(F.collect_list(F.struct("date", "value"))).alias("_values")
@@ -37,7 +37,7 @@ def calendar_cells(
     days = years.withColumn("date", F.explode(F.sequence(first, last)))
     value = F.try_element_at("_values", "date")
     offset = F.weekday(F.trunc("date", "MM"))
-    bins = right_closed_bin(F.col("value"), [0, *CALENDAR_BINS.values()], list(CALENDAR_BINS))
+    bins = right_closed_bin("value", [0, *CALENDAR_BINS.values()], list(CALENDAR_BINS))
     cells = days.select("location_id", "city_name", "year", "date", value.alias("value"))
     return cells.withColumns(
         {

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazeline.functions.labels import in_list
-from hazeline.functions.numbers import mean_from, number_text
+from hazeline.functions.numbers import merged_mean, number_text
 from hazeline.operators.rollup import flag_counts
 from hazeline.params import DEFAULTS, Params
 
@@ -98,8 +98,7 @@ def limit_checks(
 def warn_high_season_mean(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """City means of a cold month above each cut; above the higher cut means both warnings."""
     cold = r.where(F.col("month").isin(params.high_season_months))
-    mean = mean_from(F.sum("value_sum"), F.sum("value_n"), params)
-    means = cold.groupBy("city_id", "month").agg(mean.alias("mean"))
+    means = cold.groupBy("city_id", "month").agg(merged_mean(params).alias("mean"))
     passed = F.filter(
         F.array(*[F.lit(cut) for cut in params.high_season_cuts]), lambda cut: F.col("mean") > cut
     )
@@ -107,7 +106,7 @@ def warn_high_season_mean(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     message = F.concat(
         F.lit("City "), "city_id", F.lit(" in "), F.col("month").cast("string"),
         F.lit(" has an average PM2.5 concentration above "), F.col("cut").cast("string"),
-        F.lit(" µg/m³: "), number_text(F.col("mean")),
+        F.lit(" µg/m³: "), number_text("mean"),
     )
     return rows.select(
         F.concat(F.lit("high_pm25_gt"), F.col("cut").cast("string")).alias("type"),
@@ -118,8 +117,7 @@ def warn_high_season_mean(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
 def warn_unexpected_top(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Cities of watched regions among the first n means - exactly n, whatever the ties."""
     keys = ["city_id", "city_name", "gadm1_id"]
-    mean = mean_from(F.sum("value_sum"), F.sum("value_n"), params)
-    means = r.groupBy(*keys).agg(mean.alias("mean"))
+    means = r.groupBy(*keys).agg(merged_mean(params).alias("mean"))
     top = means.orderBy(
         F.desc_nulls_last("mean"), *[F.asc_nulls_last(k) for k in keys]
     ).limit(params.top_n)
@@ -138,7 +136,7 @@ def warn_low_values(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
     kind = F.when(value < low, f"low_value_lt{low:g}").otherwise(f"low_value_lt{moderate:g}")
     return m.where(value < moderate).select(
-        kind.alias("type"), F.concat(start, text, number_text(value)).alias("message")
+        kind.alias("type"), F.concat(start, text, number_text("value")).alias("message")
     )
 
 
@@ -157,7 +155,7 @@ def many_to_one(right: DataFrame, key: str) -> DataFrame:
 def compliance_invariant(flagged: DataFrame, keys: list[str]) -> DataFrame:
     """Groups where passed and not passed do not make up the total: a value is missing."""
     names = ["pass_who", "pass_naaqs", "pass_naaqs2"]
-    counts = flagged.groupBy(*keys).agg(*[c.alias(f"_{n}") for n, c in flag_counts().items()])
+    counts = flagged.groupBy(*keys).agg(*flag_counts("_"))
     return broken_counts(counts, keys, "_").select(*keys, "total", *[f"{n}_unknown" for n in names])
 
 

@@ -24,7 +24,7 @@ def observed_completion(m: DataFrame, file_col: str = "file_name") -> DataFrame:
     """
     # The one pass over the rows; the file's first month comes from its small result.
     masks = m.groupBy(F.col(file_col).alias("_file"), *PLACE, F.trunc("date", "MM").alias("_month"))
-    masks = stage(masks.agg(days_mask(F.col("date")).alias("_mask")), "file-months")
+    masks = stage(masks.agg(days_mask("date").alias("_mask")), "file-months")
     starts = masks.groupBy(F.col("_file").alias("_f")).agg(F.min("_month").alias("month"))
     days = masks.groupBy("_file", *PLACE).agg(F.sum(F.bit_count("_mask")).alias("days_with_data"))
     dated = days.join(starts, days["_file"].eqNullSafe(starts["_f"]))
@@ -90,7 +90,7 @@ def _by_completion(df: DataFrame) -> DataFrame:
 
 
 def _location_means(grid: DataFrame, keys: list[str], params: Params) -> DataFrame:
-    mean = mean_of(F.col("percent_days"), params)
+    mean = mean_of("percent_days", params)
     return grid.groupBy(*keys).agg(mean.alias("mean_percent_days"))
 
 
@@ -111,7 +111,7 @@ def completion_summary(grid: DataFrame, params: Params = DEFAULTS) -> DataFrame:
         F.count_if(F.col("percent_days") >= params.day_share).alias(
             "locations_with_80_percent_data"
         ),
-        mean_of(F.col("percent_days"), params).alias("mean_percent_days"),
+        mean_of("percent_days", params).alias("mean_percent_days"),
         F.median("percent_days").alias("median_percent_days"),
     )
 

@@ -30,7 +30,7 @@ def flatten_attributes(df: DataFrame, column: str, schema, strict: bool = False)
 def distinct_days(m: DataFrame, keys: list[str]) -> DataFrame:
     """Days with a row, per key. Exact; rows meet as one mask per key and month."""
     masks = m.groupBy(*keys, F.trunc("date", "MM").alias("_month")).agg(
-        days_mask(F.col("date")).alias("_mask")
+        days_mask("date").alias("_mask")
     )
     return masks.groupBy(*keys).agg(F.sum(F.bit_count("_mask")).alias("days_with_data"))
 
@@ -82,4 +82,4 @@ def tag_group(
 def tag_measurements(m: DataFrame, groups: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Daily rows with group, compliance flags and severity band."""
     tagged = tag_group(m, groups, params.group, params.other_group)
-    return with_flags(tagged, "value", params).withColumn("band", band(F.col("value"), params.bands))
+    return with_flags(tagged, "value", params).withColumn("band", band("value", params.bands))

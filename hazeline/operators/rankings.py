@@ -57,7 +57,7 @@ def display_labels(
 ) -> DataFrame:
     """City names, with the region's short form where two locations share a name.
 
-    Members of the group are starred when ``group_col`` is given.
+    Members of the group are starred when ``group_col`` is given. Reads ``df`` twice.
     """
     # More than one distinct id, without a distinct: the least differs from the greatest,
     # or a NULL id stands beside a known one.
@@ -175,7 +175,8 @@ def top_n_frequency(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     counts = daily.groupBy("location_id", "city_name", "gadm1_name").agg(
         F.count("*").alias("count")
     )
-    labelled = display_labels(counts).orderBy(
+    # Staged, since the labels look at the counted entities twice.
+    labelled = display_labels(stage(counts, "frequency")).orderBy(
         F.desc("count"), F.asc_nulls_last("city_name"), F.asc_nulls_last("gadm1_name"),
         F.asc("location_id"),
     )
@@ -223,7 +224,7 @@ def group_subset_means(
     means = entity_means(_named(r, names, False), ENTITY, params)
     tagged = tag_group(means, groups, params.subset_group).where(F.col("name").isNotNull())
     placed = with_coordinates(tagged, cities)
-    return placed.withColumn("band", band(F.col("mean"), params.bands)).orderBy(
+    return placed.withColumn("band", band("mean", params.bands)).orderBy(
         F.desc_nulls_last("mean"), F.asc("location_id")
     )
 

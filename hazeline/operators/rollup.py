@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.numbers import band, days_mask, with_flags
-from hazeline.operators.prepare import keep_keys
+from hazeline.operators.prepare import keep_keys, with_year_month
 from hazeline.params import DEFAULTS, Params, column_name
 
 KEYS = [
@@ -32,36 +32,30 @@ def band_columns(params: Params = DEFAULTS) -> list[str]:
     return [*map(column_name, params.bands), UNBANDED]
 
 
-def flag_counts() -> dict[str, Column]:
+def flag_counts(prefix: str = "") -> list[Column]:
     """Rows, and rows on each side of the three limits; a NULL flag is on neither side."""
-    counts = {"total": F.count("*")}
+    counts = {"total": "count(*)"}
     for flag in ("pass_who", "pass_naaqs", "pass_naaqs2"):
-        counts[flag] = F.count_if(F.col(flag))
-        counts[f"not_{flag}"] = F.count_if(~F.col(flag))
-    return counts
+        counts[flag] = f"count_if({flag})"
+        counts[f"not_{flag}"] = f"count_if(NOT {flag})"
+    return [F.expr(f"{count} AS {prefix}{name}") for name, count in counts.items()]
 
 
-def band_counts(band_col: str, params: Params = DEFAULTS) -> dict[str, Column]:
-    counts = {
-        column_name(label): F.count_if(F.col(band_col) == label) for label in params.bands
-    }
-    counts[UNBANDED] = F.count_if(F.col(band_col).isNull())
-    return counts
-
-
-def aliased(columns: dict[str, Column]) -> list[Column]:
-    return [c.alias(name) for name, c in columns.items()]
+def band_counts(band_col: str, params: Params = DEFAULTS) -> list[Column]:
+    counts = {column_name(label): f"{band_col} = '{label}'" for label in params.bands}
+    counts[UNBANDED] = f"{band_col} IS NULL"
+    return [F.expr(f"count_if({test}) AS {name}") for name, test in counts.items()]
 
 
 def monthly_rollup(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    rows = m.withColumns({"year": F.year("date"), "month": F.month("date")})
-    rows = with_flags(rows, "value", params).withColumn("_band", band(F.col("value"), params.bands))
+    rows = with_year_month(m)
+    rows = with_flags(rows, "value", params).withColumn("_band", band("value", params.bands))
     return rows.groupBy(*KEYS).agg(
         F.sum("value").alias("value_sum"),
         F.count("value").alias("value_n"),
-        days_mask(F.col("date")).alias("days_mask"),
-        *aliased(flag_counts()),
-        *aliased(band_counts("_band", params)),
+        days_mask("date").alias("days_mask"),
+        *flag_counts(),
+        *band_counts("_band", params),
     )
 
 
@@ -80,4 +74,4 @@ def complete_rollup(r: DataFrame, day_threshold: float) -> DataFrame:
 
 
 def merged(r: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
-    return r.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in columns])
+    return r.groupBy(*keys).agg(*[F.expr(f"sum({c}) AS {c}") for c in columns])

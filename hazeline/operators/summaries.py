@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.numbers import band, frequency_bin, mean_from, rounded_percent, with_flags
+from hazeline.functions.numbers import band, frequency_bin, merged_mean, rounded_percent, with_flags
 from hazeline.operators.prepare import tag_group
 from hazeline.operators.rollup import (
-    COUNTS, aliased, band_columns, band_counts, flag_counts, merged,
+    COUNTS, band_columns, band_counts, flag_counts, merged,
 )
 from hazeline.params import DEFAULTS, FREQUENCY_LABELS, Params, column_name
 
@@ -19,8 +19,7 @@ REPORTED = [
 
 
 def entity_means(r: DataFrame, keys: list[str], params: Params = DEFAULTS) -> DataFrame:
-    mean = mean_from(F.sum("value_sum"), F.sum("value_n"), params)
-    return r.groupBy(*keys).agg(mean.alias("mean"))
+    return r.groupBy(*keys).agg(merged_mean(params).alias("mean"))
 
 
 def with_coordinates(df: DataFrame, cities: DataFrame) -> DataFrame:
@@ -34,7 +33,7 @@ def entity_year_summary(
     """Mean per entity and year with its flags and band. Means first, tags after."""
     means = entity_means(r, [*ENTITY, "year"], params)
     tagged = tag_group(means, groups, params.group, params.other_group)
-    return with_flags(tagged, "mean", params).withColumn("band", band(F.col("mean"), params.bands))
+    return with_flags(tagged, "mean", params).withColumn("band", band("mean", params.bands))
 
 
 def entity_summary(
@@ -46,7 +45,7 @@ def entity_summary(
 
 def pass_count(df: DataFrame, keys: list[str]) -> DataFrame:
     """Rows on either side of the limits, per key, for a frame that carries flags."""
-    return df.groupBy(*keys).agg(*aliased(flag_counts())).select(*keys, *REPORTED)
+    return df.groupBy(*keys).agg(*flag_counts()).select(*keys, *REPORTED)
 
 
 def group_compliance(summary: DataFrame) -> DataFrame:
@@ -66,7 +65,7 @@ def entity_compliance(
 def exceedance_pct(r: DataFrame) -> DataFrame:
     """Whole percent of days over the national limit, per entity."""
     counts = merged(r, ["location_id"], ["not_pass_naaqs", "total"])
-    pct = rounded_percent(F.col("not_pass_naaqs"), F.col("total"))
+    pct = rounded_percent("not_pass_naaqs", "total")
     return counts.select("location_id", pct.alias("exceedance_pct"))
 
 
@@ -97,7 +96,7 @@ def exceedance_pct_by_year(r: DataFrame) -> DataFrame:
         "location_id",
         F.col("_row.year").alias("year"),
         F.col("_row.not_pass_naaqs").alias("not_pass_naaqs"),
-        rounded_percent(F.col("_row.not_pass_naaqs"), F.col("_row.total")).alias("exceedance_pct"),
+        rounded_percent("_row.not_pass_naaqs", "_row.total").alias("exceedance_pct"),
     )
 
 
@@ -105,44 +104,32 @@ def exceedance_frequency(compliance: DataFrame, days: int) -> DataFrame:
     """Bin of the share of days over each limit, per entity."""
     return compliance.withColumns(
         {
-            "who_bin": frequency_bin(F.col("not_pass_who"), days),
-            "naaqs_bin": frequency_bin(F.col("not_pass_naaqs"), days),
+            "who_bin": frequency_bin("not_pass_who", days),
+            "naaqs_bin": frequency_bin("not_pass_naaqs", days),
         }
     )
 
 
 def frequency_histogram(frequency: DataFrame, which: str) -> DataFrame:
     """Entities per group and bin, every bin present. ``which`` is who_bin or naaqs_bin."""
+    bins = list(enumerate(FREQUENCY_LABELS, start=1))
     counts = frequency.groupBy("name").agg(
-        *[
-            F.count_if(F.col(which) == label).alias(f"_{i}")
-            for i, label in enumerate(FREQUENCY_LABELS)
-        ]
+        *[F.expr(f"count_if({which} = '{label}') AS _{i}") for i, label in bins]
     )
-    bins = F.array(
-        *[
-            F.struct(
-                F.lit(i + 1).alias("bin_ord"), F.lit(label).alias(which), F.col(f"_{i}").alias("value")
-            )
-            for i, label in enumerate(FREQUENCY_LABELS)
-        ]
-    )
-    return counts.select("name", F.inline(bins))
+    rows = ", ".join(f"{i}, '{label}', _{i}" for i, label in bins)
+    return counts.select("name", F.expr(f"stack({len(bins)}, {rows}) AS (bin_ord, {which}, value)"))
 
 
 def band_pivot_by_region(summary: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Entities per region and band of their mean; fixed columns, zero-filled."""
-    return summary.groupBy("gadm1_name").agg(*aliased(band_counts("band", params)))
+    return summary.groupBy("gadm1_name").agg(*band_counts("band", params))
 
 
 def monitored(params: Params = DEFAULTS):
     """Days in the listed bands. Severe days are left out unless asked for."""
     labels = list(params.bands)
     counted = labels if params.include_severe else labels[:-1]
-    total = F.lit(0).cast("bigint")
-    for label in counted:
-        total = total + F.col(column_name(label))
-    return total
+    return F.expr(" + ".join(column_name(label) for label in counted))
 
 
 def band_days(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -164,6 +151,6 @@ def entity_days(
     return days.withColumns(
         {
             "monitored_days": monitored(params),
-            "exceedance_pct": rounded_percent(F.col("not_pass_naaqs"), F.col("total")),
+            "exceedance_pct": rounded_percent("not_pass_naaqs", "total"),
         }
     )

@@ -119,7 +119,7 @@ def load_measurements(
         (F.col("level") == level) & (F.col("process_id") == f"{level}_day_mad")
         & (F.col("source") == source) & (F.col("pollutant") == pollutant) & wanted
     )
-    return df.select(*MEASUREMENTS.fieldNames()).withColumn("value", clean_double(F.col("value")))
+    return df.select(*MEASUREMENTS.fieldNames()).withColumn("value", clean_double("value"))
 
 
 def history_periods(period: Period, years: int) -> list[tuple[dt.date, dt.date]]:

@@ -156,7 +156,7 @@ CTES: dict[str, tuple[list[str], str]] = {
         seen="count(*) FILTER (CAST(ts AS DATE) = DATE '2024-01-01' AND event_type IN ('view', 'click')) > 0")),
     "registry_new": ([], REGISTRY.format(
         status=station_status("day(ts) > 15", "CASE WHEN user_id % 2 = 0 THEN 'Under repair' END"),
-        seen="max(CAST(ts AS DATE)) >= DATE '2024-01-29'")),
+        seen="max(CAST(ts AS DATE)) >= DATE '2024-01-30'")),
     "state_pair": (["registry_old", "registry_new"], """
     SELECT coalesce(n.id, o.id) AS id, n.name, n.city_id, n.city_name, n.latest_data,
            lower(n.status) AS status, lower(o.status) AS was, o.id IS NOT NULL AS in_old

@@ -422,8 +422,9 @@ def many_to_one(spark, d):
 @query
 def compliance_invariant(spark, d):
     """A zero stands for a missing value here, so that some groups break."""
-    value = F.when(F.col("value") >= 1, F.col("value"))
-    rows = fx.daily(spark, d).withColumn("value", clean_double(value))
+    value = F.when(F.col("value") >= 1, F.col("value")).otherwise(F.lit(float("nan")))
+    rows = fx.daily(spark, d).withColumn("value", value)
+    rows = rows.withColumn("value", clean_double("value"))
     tagged = prepare.tag_measurements(rows, fx.groups(spark, d))
     return checks.compliance_invariant(tagged, ["name", "location_id"])
 
