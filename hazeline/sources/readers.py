@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,21 +80,24 @@ def type_rules(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema}
 
 
-def _landed(
-    spark: SparkSession, path: str, schema: T.StructType, fmt: str, extra: str | None = None
-) -> DataFrame:
-    """Declared columns by name. A CSV header decides their order in the file."""
-    wanted = [f.name for f in schema]
+def _csv(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
+    """CSV files with the declared types, columns in the order of their header.
+
+    A file whose header has another order is an error, not a mix-up.
+    """
+    options = {"header": True, "enforceSchema": False, "nullValue": "NA", **options}
+    # Names only, from a header line; types are never inferred.
+    found = require_columns(spark.read.options(**options).csv(path), schema.fieldNames())
+    types = {f.name: f.dataType for f in schema}
+    as_landed = T.StructType([T.StructField(c, types.get(c, TEXT)) for c in found.columns])
+    return spark.read.options(**options).schema(as_landed).csv(path)
+
+
+def _landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
+    """A landed table with at least the declared columns."""
     if fmt == "csv":
-        # Names only: the header line of the files, read without inferring types.
-        found = spark.read.csv(path, header=True, recursiveFileLookup=extra is None)
-        require_columns(found, wanted)
-        types = {f.name: f.dataType for f in schema}
-        as_landed = T.StructType([T.StructField(c, types.get(c, TEXT)) for c in found.columns])
-        df = spark.read.csv(path, header=True, schema=as_landed, nullValue="NA")
-    else:
-        df = require_columns(spark.read.format(fmt).load(path), wanted)
-    return df.select(*wanted, *([extra] if extra else []))
+        return _csv(spark, path, schema)
+    return require_columns(spark.read.format(fmt).load(path), schema.fieldNames())
 
 
 def load_measurements(
@@ -104,10 +108,7 @@ def load_measurements(
 
     On files partitioned by year and month the year is pruned as well as filtered.
     """
-    if fmt == "csv":
-        df = _landed(spark, path, MEASUREMENTS, fmt)
-    else:
-        df = require_columns(spark.read.format(fmt).load(path), MEASUREMENTS.fieldNames())
+    df = _landed(spark, path, MEASUREMENTS, fmt)
     date = F.col("date")
     wanted = F.lit(False)
     for start, end in periods:
@@ -132,16 +133,14 @@ def load_stations(
     spark: SparkSession, path: str, snapshot_month: dt.date, fmt: str = "parquet"
 ) -> DataFrame:
     """The registry as it was in a month; ``path`` is partitioned by snapshot_month=YYYY-MM."""
-    df = spark.read.format(fmt).options(header=True).load(path)
-    month = F.col("snapshot_month").cast("string")
+    df = _landed(spark, path, STATIONS, fmt)
     # Partition values may be read as dates or as text.
-    df = df.where(F.substring(month, 1, 7) == f"{snapshot_month:%Y-%m}")
-    require_columns(df, STATIONS.fieldNames())
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in STATIONS])
+    month = F.substring(F.col("snapshot_month").cast("string"), 1, 7)
+    return df.where(month == f"{snapshot_month:%Y-%m}").select(*STATIONS.fieldNames())
 
 
 def load_groups(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _landed(spark, path, GROUPS, fmt)
+    return _landed(spark, path, GROUPS, fmt).select(*GROUPS.fieldNames())
 
 
 def load_cities(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
@@ -168,17 +167,14 @@ def load_period_files(spark: SparkSession, root: str) -> DataFrame:
 
     Files of other names are left out; with none left the frame is empty.
     """
-    columns = MEASUREMENTS.fieldNames()
-    options = {"header": True, "recursiveFileLookup": True, "pathGlobFilter": PERIOD_GLOB}
-    found = spark.read.options(**options).csv(root).columns
-    if not found:
+    options = {"recursiveFileLookup": True, "pathGlobFilter": PERIOD_GLOB}
+    try:
+        df = _csv(spark, root, MEASUREMENTS, **options)
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
         empty = T.StructType([*MEASUREMENTS, T.StructField("file_name", TEXT)])
         return spark.createDataFrame([], empty)
-    types = {f.name: f.dataType for f in MEASUREMENTS}
-    as_landed = T.StructType([T.StructField(c, types.get(c, TEXT)) for c in found])
-    df = spark.read.options(**options).schema(as_landed).csv(root, nullValue="NA")
-    name = F.col("_metadata.file_path")
-    kept = [c for c in columns if c in found]
     return df.where(F.col("_metadata.file_name").rlike(PERIOD_FILE)).select(
-        *kept, name.alias("file_name")
+        *MEASUREMENTS.fieldNames(), F.col("_metadata.file_path").alias("file_name")
     )
