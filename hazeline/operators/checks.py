@@ -13,7 +13,6 @@ from hazeline.functions.numbers import merged_mean, number_text
 from hazeline.operators.rollup import flag_counts
 from hazeline.params import DEFAULTS, Params
 
-WARNING = "type string, message string"
 EXAMPLES = 20
 
 
@@ -206,12 +205,12 @@ def vanished_stations(stations: DataFrame, statuses: DataFrame) -> DataFrame:
     )
 
 
-def empty_log(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], WARNING)
+def warning(spark: SparkSession, kind: str, message: str) -> DataFrame:
+    return spark.range(1).select(F.lit(kind).alias("type"), F.lit(message).alias("message"))
 
 
-def warning(spark: SparkSession, kind: str, message: str) -> DataFrame:
-    return spark.createDataFrame([(kind, message)], WARNING)
+def empty_log(spark: SparkSession) -> DataFrame:
+    return warning(spark, "", "").limit(0)
 
 
 def collect_warnings(first: DataFrame, *more: DataFrame) -> DataFrame:

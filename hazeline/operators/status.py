@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +36,8 @@ CHANGE_STATS = {
     REACTIVATED: "Reactivated stations",
     REMOVED_NOW: "Removed stations",
 }
-NEW_CITY_STAT = "Cities with new stations"
+STATION_LISTS = [(SECTIONS[2], stat) for stat in CHANGE_STATS.values()]
+CITY_LISTS = [(SECTIONS[3], "Cities with new stations")]
 STATION_STATS = ["CAAQMS installed in India", "CAAQMS with"]
 CITY_STATS = ["Cities covered by CAAQMS", "Cities with"]
 IN_GROUP_STATS = ["NCAP cities covered by CAAQMS", "NCAP cities with"]
@@ -103,17 +106,11 @@ def status_table(
 def _stat_rows(counts: DataFrame, section: str, stats: list[str], columns: list[str]) -> DataFrame:
     """Four counts in one row to (section, ord, chunk, stat, value) rows."""
     texts = [stats[0], *[f"{stats[1]} {share}" for share in SHARE_STATS]]
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(section).alias("section"), F.lit(i + 1).alias("ord"),
-                F.lit(1).cast("bigint").alias("chunk"), F.lit(text).alias("stat"),
-                F.col(column).cast("string").alias("value"),
-            )
-            for i, (text, column) in enumerate(zip(texts, columns))
-        ]
+    rows = ", ".join(
+        f"'{section}', {i}, 1L, '{text}', CAST({column} AS STRING)"
+        for i, (text, column) in enumerate(zip(texts, columns), start=1)
     )
-    return counts.select(F.inline(rows))
+    return counts.select(F.expr(f"stack({len(texts)}, {rows}) AS (section, ord, chunk, stat, value)"))
 
 
 COUNT_COLUMNS = ["total", "above", "below", "no_data"]
@@ -176,50 +173,55 @@ def group_completeness_out(
 
 
 def _name_lists(
-    named: DataFrame, section: str, stats: list[str], names_per_row: int
+    named: DataFrame, stats: list[tuple[str, str]], names_per_row: int
 ) -> DataFrame:
-    """Names under each stat as comma lists.
+    """Names under each (section, stat) as comma lists.
 
     A list longer than ``names_per_row`` goes on in further rows (chunk 2, 3, ...), so no task
     ever holds a whole list. A stat without names says so.
 
-    ``named`` has columns ord, name, id, with ord the place of the stat.
+    ``named`` has columns place, name, id, with place the number of the stat.
     """
-    order = [F.asc("ord"), F.asc_nulls_last("name"), F.asc_nulls_last("id")]
+    order = [F.asc("place"), F.asc_nulls_last("name"), F.asc_nulls_last("id")]
     numbered = global_row_number(named, order, "_row")
-    first = numbered.groupBy(F.col("ord").alias("_ord")).agg(F.min("_row").alias("_first"))
-    placed = numbered.join(first, numbered["ord"] == first["_ord"])
-    at = F.col("_row") - F.col("_first")
-    chunk = F.floor(at / names_per_row) + 1
+    first = numbered.groupBy(F.col("place").alias("_place")).agg(F.min("_row").alias("_first"))
+    placed = numbered.join(first, numbered["place"] == first["_place"])
+    chunk = F.floor((F.col("_row") - F.col("_first")) / names_per_row) + 1
     entry = F.struct("_row", F.coalesce("name", F.lit("NA")).alias("text"))
     entries = F.array_sort(F.collect_list(entry))
-    lists = placed.groupBy("ord", chunk.alias("chunk")).agg(
+    lists = placed.groupBy("place", chunk.alias("chunk")).agg(
         F.array_join(entries["text"], ", ").alias("value")
     )
-    wanted = F.array(
-        *[
-            F.struct(F.lit(i + 1).alias("ord"), F.lit(stat).alias("stat"))
-            for i, stat in enumerate(stats)
-        ]
+    wanted, seen = [], {}
+    for place, (section, stat) in enumerate(stats, start=1):
+        seen[section] = seen.get(section, 0) + 1
+        wanted.append(f"{place}, '{section}', {seen[section]}, '{stat}'")
+    all_stats = named.sparkSession.range(1).select(
+        F.expr(f"stack({len(stats)}, {', '.join(wanted)}) AS (place, section, ord, stat)")
     )
-    spark = named.sparkSession
-    all_stats = spark.range(1).select(F.inline(wanted))
-    joined = all_stats.join(lists, "ord", "left")
     empty = F.col("value").isNull() | (F.trim("value") == "")
-    return joined.select(
-        F.lit(section).alias("section"), "ord",
-        F.coalesce("chunk", F.lit(1).cast("bigint")).alias("chunk"), "stat",
+    return all_stats.join(lists, "place", "left").select(
+        "section", "ord", F.coalesce("chunk", F.lit(1).cast("bigint")).alias("chunk"), "stat",
         F.when(empty, NO_VALUE).otherwise(F.col("value")).alias("value"),
     )
 
 
-def change_lists(statuses: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataFrame:
-    """Names of new, reactivated and removed stations, ordered by name."""
+def _changed_names(statuses: DataFrame) -> DataFrame:
     place = F.coalesce(
-        *[F.when(F.col("change") == c, i + 1) for i, c in enumerate(CHANGE_STATS)]
+        *[F.when(F.col("change") == c, i) for i, c in enumerate(CHANGE_STATS, start=1)]
+    )
+    return statuses.select(place.alias("place"), "name", "id").where("place IS NOT NULL")
+
+
+def _new_city_names(statuses: DataFrame, place: int) -> DataFrame:
+    return new_cities(statuses).select(
+        F.lit(place).alias("place"), F.col("city_name").alias("name"), F.col("city_id").alias("id")
     )
-    named = statuses.select(place.alias("ord"), "name", "id").where("ord IS NOT NULL")
-    return _name_lists(named, SECTIONS[2], list(CHANGE_STATS.values()), names_per_row)
+
+
+def change_lists(statuses: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataFrame:
+    """Names of new, reactivated and removed stations, ordered by name."""
+    return _name_lists(_changed_names(statuses), STATION_LISTS, names_per_row)
 
 
 def new_cities(statuses: DataFrame) -> DataFrame:
@@ -233,10 +235,7 @@ def new_cities(statuses: DataFrame) -> DataFrame:
 
 
 def new_city_lists(statuses: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataFrame:
-    named = new_cities(statuses).select(
-        F.lit(1).alias("ord"), F.col("city_name").alias("name"), F.col("city_id").alias("id")
-    )
-    return _name_lists(named, SECTIONS[3], [NEW_CITY_STAT], names_per_row)
+    return _name_lists(_new_city_names(statuses, 1), CITY_LISTS, names_per_row)
 
 
 def new_city_notice(statuses: DataFrame) -> DataFrame:
@@ -250,23 +249,24 @@ def status_report(
     names_per_row: int = NAMES_PER_ROW,
 ) -> DataFrame:
     """All sections as (section_ord, section, ord, chunk, stat, value). Pass statuses staged."""
-    notice = new_city_notice(statuses).select(
-        F.lit(SECTIONS[3]).alias("section"), F.lit(2).alias("ord"),
-        F.lit(1).cast("bigint").alias("chunk"), F.lit(None).cast("string").alias("stat"),
-        F.col("message").alias("value"),
+    names = _changed_names(statuses).unionByName(
+        _new_city_names(statuses, len(STATION_LISTS) + 1)
+    )
+    lists = _name_lists(names, STATION_LISTS + CITY_LISTS, names_per_row)
+    listed = (F.col("section") == SECTIONS[3]) & (F.col("chunk") == 1) & (F.col("value") != NO_VALUE)
+    notice = lists.where(listed).select(
+        "section", F.lit(2).alias("ord"), "chunk", F.lit(None).cast("string").alias("stat"),
+        F.lit(NEW_CITY_NOTICE).alias("value"),
     )
     parts = [
         status_counts(statuses),
         group_completeness(statuses),
-        change_lists(statuses, names_per_row),
-        new_city_lists(statuses, names_per_row),
+        lists,
         notice,
         group_completeness_in(statuses, groups, params),
         group_completeness_out(statuses, groups, params),
     ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
+    report = reduce(DataFrame.unionByName, parts)
     place = F.array_position(F.array(*[F.lit(s) for s in SECTIONS]), F.col("section"))
     return report.select(place.cast("int").alias("section_ord"), *report.columns)
 

@@ -173,8 +173,8 @@ def load_period_files(spark: SparkSession, root: str) -> DataFrame:
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
-        empty = T.StructType([*MEASUREMENTS, T.StructField("file_name", TEXT)])
-        return spark.createDataFrame([], empty)
+        columns = {f.name: f.dataType for f in MEASUREMENTS} | {"file_name": TEXT}
+        return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
     return df.where(F.col("_metadata.file_name").rlike(PERIOD_FILE)).select(
         *MEASUREMENTS.fieldNames(), F.col("_metadata.file_path").alias("file_name")
     )

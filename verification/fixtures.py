@@ -149,11 +149,11 @@ def registry_text(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _shipments(spark: SparkSession, folder: str) -> DataFrame:
-    """Line items by day and supplier, with the supplier's nation and region."""
-    lines = table(spark, folder, "lineitem").select(
-        "l_suppkey", F.col("l_shipdate").cast("date").alias("date"), "l_quantity"
+    """Line items with their day and the supplier's nation and region."""
+    days = table(spark, folder, "lineitem").select(
+        "l_suppkey", F.col("l_shipdate").cast("date").alias("date"),
+        F.col("l_quantity").alias("value"),
     )
-    days = lines.groupBy("l_suppkey", "date").agg(F.sum("l_quantity").alias("value"))
     supplier = table(spark, folder, "supplier").select("s_suppkey", "s_nationkey")
     nation = table(spark, folder, "nation")
     region = table(spark, folder, "region")

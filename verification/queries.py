@@ -55,18 +55,17 @@ def summary(spark, d, r=None) -> DataFrame:
     return summaries.entity_summary(r, fx.groups(spark, d), fx.cities(spark, d))
 
 
-def staged(spark, d) -> tuple[DataFrame, DataFrame]:
-    """Rollup and summary for operators that read them more than once."""
-    r = stage(complete(spark, d), "complete")
-    return r, stage(summary(spark, d, r), "summary")
+def both(spark, d) -> tuple[DataFrame, DataFrame]:
+    """Complete rollup and summary. Reading them twice repeats work of entity size only."""
+    r = complete(spark, d)
+    return r, summary(spark, d, r)
 
 
 def history_rollup(spark, d) -> DataFrame:
     """Complete rollup of the half-year and the same half of the years before."""
     years = list(range(HALF_YEAR.year - DEFAULTS.history_years, HALF_YEAR.year + 1))
     rows = fx.history(spark, d).where(periods.within_years(F.col("date"), HALF_YEAR, years))
-    r = stage(monthly_rollup(rows), "history")
-    return stage(complete_rollup(r, HALF_THRESHOLD), "history-complete")
+    return complete_rollup(stage(monthly_rollup(rows), "history"), HALF_THRESHOLD)
 
 
 def now_and_before(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -75,12 +74,14 @@ def now_and_before(spark, d) -> tuple[DataFrame, DataFrame]:
 
 
 def no_places(spark) -> DataFrame:
-    return spark.createDataFrame([], "id string, longitude double, latitude double")
+    return spark.range(0).selectExpr(
+        "CAST(NULL AS STRING) AS id", "0D AS longitude", "0D AS latitude"
+    )
 
 
 def history_top(spark, d, now) -> DataFrame:
     args = now, fx.history_groups(spark, d), no_places(spark)
-    return stage(rankings.top_entities(stage(summaries.entity_summary(*args), "s"), now), "top")
+    return stage(rankings.top_entities(summaries.entity_summary(*args), now), "top")
 
 
 def statuses(spark, d) -> DataFrame:
@@ -235,19 +236,19 @@ def band_days_by_year(spark, d):
 
 @query
 def ranked_entities(spark, d):
-    r, s = staged(spark, d)
+    r, s = both(spark, d)
     return rounded(rankings.ranked_entities(s, r))
 
 
 @query
 def top_entities(spark, d):
-    r, s = staged(spark, d)
+    r, s = both(spark, d)
     return rounded(rankings.top_entities(s, r))
 
 
 @query
 def bottom_entities(spark, d):
-    r, s = staged(spark, d)
+    r, s = both(spark, d)
     return rounded(rankings.bottom_entities(s, r))
 
 
@@ -278,7 +279,7 @@ def top_n_frequency(spark, d):
 
 @query
 def top_per_region(spark, d):
-    _, s = staged(spark, d)
+    _, s = both(spark, d)
     return rounded(rankings.top_per_region(s))
 
 
@@ -324,7 +325,7 @@ def tracked_daily(spark, d):
 
 @query
 def display_labels(spark, d):
-    _, s = staged(spark, d)
+    _, s = both(spark, d)
     labels = rankings.display_labels(s, group_col="name")
     return labels.select("location_id", "city_name", "show_state", "state_abbreviation", "city_label")
 
