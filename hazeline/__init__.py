@@ -3,5 +3,8 @@
 from hazeline.functions.periods import Period, period_bounds
 from hazeline.params import Params
 from hazeline.plans.snapshot import Inputs, Snapshot, build_snapshot
+from hazeline.plans.staging import drop_staged
 
-__all__ = ["Inputs", "Params", "Period", "Snapshot", "build_snapshot", "period_bounds"]
+__all__ = [
+    "Inputs", "Params", "Period", "Snapshot", "build_snapshot", "drop_staged", "period_bounds",
+]

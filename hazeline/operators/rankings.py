@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hazeline.functions.labels import abbreviate, footnote_label, in_list, in_list_ci
+from hazeline.functions.labels import abbreviate, footnote_label, in_list_ci
 from hazeline.functions.numbers import band
 from hazeline.operators.prepare import keep_keys, tag_group
 from hazeline.operators.rollup import UNBANDED, band_columns
@@ -197,7 +197,8 @@ def _named(df: DataFrame, names: Iterable[str] | DataFrame, ignore_case: bool) -
     """Rows whose city is on the list; a list too long for literals is a one-column frame."""
     city = F.col("city_name")
     if not isinstance(names, DataFrame):
-        return df.where(in_list_ci(city, names) if ignore_case else in_list(city, names))
+        # A bare isin, which scans can take; a NULL city is dropped by the filter anyway.
+        return df.where(in_list_ci(city, names) if ignore_case else city.isin(list(names)))
     listed = F.col(names.columns[0])
     if ignore_case:
         city, listed = F.lower(city), F.lower(listed)
@@ -232,7 +233,7 @@ def group_subset_means(
 def _tracked(df: DataFrame, ids: Iterable[str] | DataFrame) -> DataFrame:
     if isinstance(ids, DataFrame):
         return keep_keys(df, ids, ["location_id"])
-    return df.where(in_list(F.col("location_id"), ids))
+    return df.where(F.col("location_id").isin(list(ids)))
 
 
 def tracked_entities_all_years(

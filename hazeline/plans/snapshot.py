@@ -171,18 +171,19 @@ class Snapshot:
         i, p, year = self.inputs, self.params, self.period.year
         current, previous, summary = self.current, self.previous, self.summary
         before = rankings.same_entities_previous_year(self.top, previous, i.groups, year, p)
-        region = "State/UT"
+        clean = rankings.bottom_entities(summary, current, p)
+        region, id = "State/UT", F.asc("location_id")
         lists = {
-            "top10_polluted_cities": self.top,
-            "top10_cleanest_cities": rankings.bottom_entities(summary, current, p),
-            "top10_polluted_cities_prev": before,
+            "top10_polluted_cities": self.top.orderBy(F.desc_nulls_last("mean"), id),
+            "top10_cleanest_cities": clean.orderBy(F.asc_nulls_last("mean"), id),
+            "top10_polluted_cities_prev": before.orderBy(id),
         }
         outputs = {
-            "statuses": self.statuses,
+            "statuses": self.statuses.orderBy("id"),
             "statuses_summary.md": self.report_text(),
-            "monthly_compliance": summaries.group_compliance(summary),
+            "monthly_compliance": summaries.group_compliance(summary).orderBy("name"),
             "cities_grap_distribution": summaries.band_pivot_by_region(summary, p)
-            .withColumnRenamed("gadm1_name", region),
+            .withColumnRenamed("gadm1_name", region).orderBy(region),
             "all_cities_ordered": rankings.ranked_entities(summary, current, p)
             .orderBy("row_number"),
             **{
@@ -191,7 +192,7 @@ class Snapshot:
             },
             "top5_populous_cities": rankings.tracked_entities_all_years(
                 current, previous, self.tracked, p
-            ),
+            ).orderBy(F.asc_nulls_first("year"), id),
             "warnings": self.warnings(),
         }
         if i.overshoots is not None:
@@ -272,7 +273,10 @@ def build_snapshot(
     inputs: Inputs, period: Period, folder: str, params: Params = DEFAULTS, fmt: str = "csv",
     **lists,
 ) -> DataFrame:
-    """Check the inputs, write every result and return the entities without a place."""
+    """Check the inputs, write every result and return the entities without a place.
+
+    The returned frame reads a staged table; call ``drop_staged`` once it is no longer needed.
+    """
     snapshot = Snapshot(inputs, period, params, **lists)
     snapshot.check()
     writers.write_outputs(snapshot.outputs(), f"{folder}/{period.text}", fmt)

@@ -27,13 +27,26 @@ def staging_root(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def staging_folder(spark: SparkSession) -> str:
+    """This application's own folder below the shared one."""
+    return f"{staging_root(spark)}/hazeline-{spark.sparkContext.applicationId}"
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write a table and read it back. This runs a job at once."""
     spark = df.sparkSession
-    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_staged(spark: SparkSession) -> bool:
+    """Delete all tables this application staged; frames that read them end with them."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(staging_folder(spark))
+    return path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def global_row_number(df: DataFrame, order: list[Column], name: str) -> DataFrame:
     """Row numbers over the whole table in the given order, without one task seeing it all.
 

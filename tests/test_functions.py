@@ -1,4 +1,6 @@
 import datetime as dt
+import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -157,3 +159,14 @@ def test_strict_parsing_fails(frame):
     df = frame([("{'status': 'Live",)], "infos string")
     with pytest.raises(Exception, match="(?i)malformed"):
         flatten_attributes(df, "infos", ATTRIBUTES, strict=True).collect()
+
+
+def test_any_dict_of_strings_comes_back(frame):
+    """What Python and JSON write of random strings is read back as it was."""
+    draw = random.Random(11)
+    letters = "ab '\"\\\n\t{}[]:,éNoneTrue_0"
+    words = ["None", "True", "it's None", 'say "False"', "", "\\", "{'a': 1}"]
+    words += ["".join(draw.choice(letters) for _ in range(draw.randrange(30))) for _ in range(300)]
+    dicts = [{"address": w, "latest_data": None, "status": draw.choice(words)} for w in words]
+    found = flat(frame, [repr(d) for d in dicts] + [json.dumps(d) for d in dicts])
+    assert found == [tuple(d.values()) for d in dicts] * 2

@@ -128,6 +128,21 @@ def registry_new(spark: SparkSession, folder: str) -> DataFrame:
     return _registry(events, F.col("day") >= "2024-01-30", F.dayofmonth("day") > 15, states)
 
 
+def registries(spark: SparkSession, folder: str) -> DataFrame:
+    """Both registries as they land, with the month of each."""
+    fixed = {"source": "cpcb", "country_id": "IN", "level": "station"}
+    now = registry_text(spark, folder).withColumn("snapshot_month", F.lit("2024-01"))
+    old = registry_old(spark, folder).withColumn("snapshot_month", F.lit("2023-12"))
+    old = old.withColumn("infos", F.to_json(F.struct("latest_data", "status")))
+    both = now.unionByName(old.select(*now.columns))
+    return both.withColumns({c: F.lit(v) for c, v in fixed.items()})
+
+
+def landed_cities(spark: SparkSession, folder: str) -> DataFrame:
+    fixed = {"name": "City", "gadm1_id": "IND", "country_id": "IN", "level": "city"}
+    return cities(spark, folder).withColumns({c: F.lit(v) for c, v in fixed.items()})
+
+
 def registry_text(spark: SparkSession, folder: str) -> DataFrame:
     """The new registry with its attributes as text: JSON for odd users, a dict for even ones."""
     stations = registry_new(spark, folder)

@@ -377,6 +377,11 @@ ORACLES: dict[str, str] = {
     SELECT date, 'city_day_mad' AS process_id, location_id, 'observed' AS variable, value,
            'µg/m3' AS unit, 'cpcb' AS source, pollutant, pollutant_name, 'IN' AS country_id,
            'city' AS level, city_id, city_name, gadm1_name, gadm1_id FROM daily""", "daily"),
+    "load_stations": sql("""
+    SELECT id, name, city_id, city_name, 'cpcb' AS source, 'IN' AS country_id, 'station' AS level,
+           latest_data, status FROM registry_old""", "registry_old"),
+    "load_groups": sql("SELECT name, location_id FROM member", "member"),
+    "load_cities": sql("SELECT id, longitude, latitude FROM city", "city"),
     "load_overshoots": f"""
     SELECT CAST(l_shipdate AS DATE) AS date, concat('loc_', l_suppkey) AS location_id, 'µg/m3' AS unit,
            'cpcb' AS source, 'pm25' AS pollutant, 'IN' AS country_id,

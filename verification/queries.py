@@ -16,7 +16,7 @@ from hazeline.operators import charts, checks, completion, rankings, status, sum
 from hazeline.operators import prepare
 from hazeline.operators.rollup import complete_rollup, monthly_rollup
 from hazeline.params import DEFAULTS
-from hazeline.plans.staging import stage, staging_root
+from hazeline.plans.staging import stage, staging_folder
 from hazeline.sources import readers
 from verification import fixtures as fx
 
@@ -90,18 +90,42 @@ def statuses(spark, d) -> DataFrame:
     )
 
 
+def land(df: DataFrame, name: str, *by: str) -> str:
+    """Write a table as it would land, for a reader to find."""
+    path = f"{staging_folder(df.sparkSession)}/landed-{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*by).parquet(path)
+    return path
+
+
 # --- preparation ---
 
 
 @query
 def load_measurements(spark, d):
-    path = f"{staging_root(spark)}/landed-{uuid.uuid4().hex}"
     landed = fx.landed(spark, d).withColumn("year", F.year("date"))
-    landed.write.partitionBy("year").parquet(path)
+    path = land(landed, "measurements", "year")
     ranges = readers.history_periods(JANUARY, DEFAULTS.history_years)
     return readers.load_measurements(spark, path, "city", ranges)
 
 
+@query
+def load_stations(spark, d):
+    """The registry of the month before, out of a table of months, attributes unpacked."""
+    path = land(fx.registries(spark, d), "stations", "snapshot_month")
+    before = readers.load_stations(spark, path, JANUARY.previous_month)
+    return prepare.flatten_attributes(before, "infos", readers.STATION_INFOS)
+
+
+@query
+def load_groups(spark, d):
+    return readers.load_groups(spark, land(fx.groups(spark, d), "groups"))
+
+
+@query
+def load_cities(spark, d):
+    return readers.load_cities(spark, land(fx.landed_cities(spark, d), "cities"))
+
+
 @query
 def load_overshoots(spark, d):
     return readers.overshoot_rows(fx.overshoot_documents(spark, d))
