@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.params import DEFAULTS, FREQUENCY_LABELS, FREQUENCY_SHARES, Params
+from hazeline.params import DEFAULTS, FREQUENCY_LABELS, FREQUENCY_SHARES, Params, sql_text
 
 
 def clean_double(column: str) -> Column:
@@ -26,7 +26,7 @@ def right_closed_bin(column: str, breaks: Sequence[float], labels: Sequence[str]
     cases = []
     for lower, upper, label in zip(breaks, breaks[1:], labels):
         top = "" if upper == float("inf") else f" AND {column} <= {float(upper)!r}D"
-        cases.append(f"WHEN {column} > {float(lower)!r}D{top} THEN '{label}'")
+        cases.append(f"WHEN {column} > {float(lower)!r}D{top} THEN {sql_text(label)}")
     return F.expr(f"CASE {' '.join(cases)} END")
 
 

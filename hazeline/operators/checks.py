@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 
 from hazeline.functions.labels import in_list
 from hazeline.functions.numbers import merged_mean, number_text
+from hazeline.operators.prepare import keep_keys
 from hazeline.operators.rollup import flag_counts
 from hazeline.params import DEFAULTS, Params
+from hazeline.plans.staging import stage
 
 EXAMPLES = 20
 
@@ -139,9 +141,17 @@ def warn_low_values(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def duplicate_entries(m: DataFrame) -> DataFrame:
-    """Location and date of repeated rows, with their number."""
-    counts = m.groupBy("location_id", "date").agg(F.count("*").alias("entries"))
+def duplicate_entries(m: DataFrame, months: DataFrame) -> DataFrame:
+    """Location and date of repeated rows, with their number.
+
+    ``months`` are the rows' ``month_counts``. Only months with more rows than days are looked
+    into, so clean data never shuffle by date.
+    """
+    doubtful = months.where(F.col("rows") > F.coalesce(F.bit_count("days_mask"), F.lit(0)))
+    doubtful = stage(doubtful.select("location_id", "month"), "doubtful")
+    rows = m.select("location_id", "date", F.trunc("date", "MM").alias("month"))
+    rows = keep_keys(rows, doubtful, ["location_id", "month"])
+    counts = rows.groupBy("location_id", "date").agg(F.count("*").alias("entries"))
     return counts.where(F.col("entries") > 1)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.attributes import CORRUPT, parse_attributes
-from hazeline.functions.numbers import band, days_mask, with_flags
+from hazeline.functions.numbers import band, clean_double, days_mask, with_flags
 from hazeline.functions.periods import Period, within, within_years
 from hazeline.params import DEFAULTS, Params
 from hazeline.plans.staging import stage
@@ -27,6 +27,12 @@ def flatten_attributes(df: DataFrame, column: str, schema, strict: bool = False)
     return parsed.select(*rest, "_fields.*").drop(CORRUPT)
 
 
+def month_counts(m: DataFrame) -> DataFrame:
+    """Rows, and the days they fall on, per location and month."""
+    months = m.groupBy("location_id", F.trunc("date", "MM").alias("month"))
+    return months.agg(F.count("*").alias("rows"), days_mask("date").alias("days_mask"))
+
+
 def distinct_days(m: DataFrame, keys: list[str]) -> DataFrame:
     """Days with a row, per key. Exact; rows meet as one mask per key and month."""
     masks = m.groupBy(*keys, F.trunc("date", "MM").alias("_month")).agg(
@@ -81,5 +87,6 @@ def tag_group(
 
 def tag_measurements(m: DataFrame, groups: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Daily rows with group, compliance flags and severity band."""
-    tagged = tag_group(m, groups, params.group, params.other_group)
+    rows = m.withColumn("value", clean_double("value"))
+    tagged = tag_group(rows, groups, params.group, params.other_group)
     return with_flags(tagged, "value", params).withColumn("band", band("value", params.bands))

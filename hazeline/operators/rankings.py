@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hazeline.functions.labels import abbreviate, footnote_label, in_list_ci
-from hazeline.functions.numbers import band
+from hazeline.functions.numbers import band, clean_double
 from hazeline.operators.prepare import keep_keys, tag_group
 from hazeline.operators.rollup import UNBANDED, band_columns
 from hazeline.operators.summaries import (
@@ -171,7 +171,8 @@ def year_on_year(
 
 def top_n_frequency(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """How often each entity is among the day's n highest, ties kept."""
-    daily = top_with_ties(m, "value", params.top_n, ["date", "pollutant", "pollutant_name"])
+    rows = m.withColumn("value", clean_double("value"))
+    daily = top_with_ties(rows, "value", params.top_n, ["date", "pollutant", "pollutant_name"])
     counts = daily.groupBy("location_id", "city_name", "gadm1_name").agg(
         F.count("*").alias("count")
     )

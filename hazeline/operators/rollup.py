@@ -11,9 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.functions.numbers import band, days_mask, with_flags
+from hazeline.functions.numbers import band, clean_double, days_mask, with_flags
 from hazeline.operators.prepare import keep_keys, with_year_month
-from hazeline.params import DEFAULTS, Params, column_name
+from hazeline.params import DEFAULTS, Params, column_name, sql_text
 
 KEYS = [
     "location_id", "city_id", "city_name", "gadm1_id", "gadm1_name",
@@ -42,13 +42,13 @@ def flag_counts(prefix: str = "") -> list[Column]:
 
 
 def band_counts(band_col: str, params: Params = DEFAULTS) -> list[Column]:
-    counts = {column_name(label): f"{band_col} = '{label}'" for label in params.bands}
+    counts = {column_name(label): f"{band_col} = {sql_text(label)}" for label in params.bands}
     counts[UNBANDED] = f"{band_col} IS NULL"
     return [F.expr(f"count_if({test}) AS {name}") for name, test in counts.items()]
 
 
 def monthly_rollup(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    rows = with_year_month(m)
+    rows = with_year_month(m).withColumn("value", clean_double("value"))
     rows = with_flags(rows, "value", params).withColumn("_band", band("value", params.bands))
     return rows.groupBy(*KEYS).agg(
         F.sum("value").alias("value_sum"),

@@ -80,20 +80,21 @@ def completeness_class(share: Column) -> Column:
     return F.when(share < 0.01, NO_DATA).when(share < 0.8, BELOW).otherwise(ABOVE)
 
 
-def entity_completeness(history: DataFrame, days: int) -> DataFrame:
-    """Rows - not distinct days - as a share of the days."""
-    share = F.count("*") / F.lit(days)
-    counted = history.groupBy(F.col("location_id").alias("id")).agg(
+def entity_completeness(months: DataFrame, days: int) -> DataFrame:
+    """Rows - not distinct days - as a share of the days, out of ``month_counts``."""
+    share = F.sum("rows") / F.lit(days)
+    counted = months.groupBy(F.col("location_id").alias("id")).agg(
         share.alias("percent_complete")
     )
     return counted.withColumn("percent_category", completeness_class(F.col("percent_complete")))
 
 
 def status_table(
-    old: DataFrame, new: DataFrame, history: DataFrame, days: int
+    old: DataFrame, new: DataFrame, months: DataFrame, days: int
 ) -> DataFrame:
+    """Change and completeness of every station; ``months`` are its ``month_counts``."""
     statuses = status_change(old, new)
-    complete = entity_completeness(history, days).withColumnRenamed("id", "_id")
+    complete = entity_completeness(months, days).withColumnRenamed("id", "_id")
     joined = statuses.join(complete, statuses["id"].eqNullSafe(complete["_id"]), "left")
     return joined.drop("_id").withColumns(
         {

@@ -10,7 +10,7 @@ from hazeline.operators.prepare import tag_group
 from hazeline.operators.rollup import (
     COUNTS, band_columns, band_counts, flag_counts, merged,
 )
-from hazeline.params import DEFAULTS, FREQUENCY_LABELS, Params, column_name
+from hazeline.params import DEFAULTS, FREQUENCY_LABELS, Params, column_name, sql_text
 
 ENTITY = ["location_id", "city_name", "pollutant", "pollutant_name", "gadm1_name"]
 REPORTED = [
@@ -114,9 +114,9 @@ def frequency_histogram(frequency: DataFrame, which: str) -> DataFrame:
     """Entities per group and bin, every bin present. ``which`` is who_bin or naaqs_bin."""
     bins = list(enumerate(FREQUENCY_LABELS, start=1))
     counts = frequency.groupBy("name").agg(
-        *[F.expr(f"count_if({which} = '{label}') AS _{i}") for i, label in bins]
+        *[F.expr(f"count_if({which} = {sql_text(label)}) AS _{i}") for i, label in bins]
     )
-    rows = ", ".join(f"{i}, '{label}', _{i}" for i, label in bins)
+    rows = ", ".join(f"{i}, {sql_text(label)}, _{i}" for i, label in bins)
     return counts.select("name", F.expr(f"stack({len(bins)}, {rows}) AS (bin_ord, {which}, value)"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 # --- Fixed values: they must equal the published standards and report conventions. ---
@@ -163,4 +164,10 @@ DEFAULTS = Params()
 
 def column_name(label: str) -> str:
     """Column spelling of a band label: 'Very Poor' is very_poor."""
-    return label.lower().replace(" ", "_")
+    return re.sub(r"\W+", "_", label.lower())
+
+
+def sql_text(text: str) -> str:
+    """A text as a SQL literal."""
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"

@@ -4,7 +4,8 @@ Daily rows are read in few passes, whatever the number of results:
 
 1. city rows of the period and its earlier years, once, into the staged monthly rollup;
 2. city rows of the period for single low values and for the daily top list;
-3. station rows of the period for completeness and for duplicates;
+3. station rows of the period, once, for completeness and duplicates (and once more for the
+   dates of duplicates, if there are any);
 4. the period files for the completion diagnostics.
 
 Everything else reads staged tables of entity size.
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from hazeline.functions.periods import Period, within_years
 from hazeline.operators import charts, checks, completion, rankings, status, summaries
 from hazeline.operators.prepare import (
-    filter_period, flatten_attributes, keep_keys, with_year_month,
+    filter_period, flatten_attributes, keep_keys, month_counts, with_year_month,
 )
 from hazeline.operators.rollup import complete_rollup, monthly_rollup
 from hazeline.params import DEFAULTS, PLAIN_CITIES_MILLION, STATE_CAPITALS, TRACKED_CITIES, Params
@@ -109,11 +110,15 @@ class Snapshot:
         args = self.current, self.inputs.groups, self.inputs.cities, self.params
         return stage(summaries.entity_summary(*args), "summary")
 
+    @cached_property
+    def station_months(self) -> DataFrame:
+        return stage(month_counts(self.inputs.station_measurements), "station-months")
+
     @cached_property
     def statuses(self) -> DataFrame:
         i = self.inputs
         table = status.status_table(
-            i.stations_previous, i.stations, i.station_measurements, self.period.days
+            i.stations_previous, i.stations, self.station_months, self.period.days
         )
         return stage(table, "statuses")
 
@@ -136,7 +141,7 @@ class Snapshot:
         raw = self.rollup.where(F.col("year") == self.period.year)
         limits = checks.limit_checks(raw, i.groups, self.threshold, p)
         checks.enforce(limits.where(~F.col("ok")), "Limits not met")
-        duplicates = checks.duplicate_entries(i.station_measurements)
+        duplicates = checks.duplicate_entries(i.station_measurements, self.station_months)
         checks.enforce(
             duplicates, "Duplicate entries found for the following locations and dates"
         )

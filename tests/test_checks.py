@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from hazeline.operators import checks
+from hazeline.operators.prepare import month_counts
 from hazeline.operators.rollup import monthly_rollup
 from hazeline.params import DEFAULTS
 
@@ -69,7 +70,8 @@ def test_low_values(frame):
 
 def test_duplicates_stop_and_are_all_in_the_error(frame):
     data = [day(f"a{i}", 1, 1.0) for i in range(30) for _ in range(2)] + [day("b", 1, 1.0)]
-    found = checks.duplicate_entries(frame(data, M))
+    m = frame(data, M)
+    found = checks.duplicate_entries(m, month_counts(m))
     with pytest.raises(checks.DataCheckError, match="Duplicate entries: a") as error:
         checks.enforce(found, "Duplicate entries")
     assert error.value.findings.count() == 30
@@ -107,3 +109,9 @@ def test_region_coverage_and_many_to_one(frame):
     ]
     assert rows(checks.warn_region_coverage(df, replace(DEFAULTS, expected_regions=2))) == []
     assert rows(checks.many_to_one(df, "location_id")) == [("b", 2)]
+
+
+def test_missing_dates_can_repeat(frame):
+    rows_ = [("a", None), ("a", None), ("b", None), ("c", dt.date(2024, 1, 1))]
+    m = frame(rows_, "location_id string, date date")
+    assert rows(checks.duplicate_entries(m, month_counts(m))) == [("a", None, 2)]

@@ -11,7 +11,7 @@ from hazeline.functions.labels import abbreviate, footnote_label, in_list, in_li
 from hazeline.functions.numbers import band, clean_double, frequency_bin, number_text, rounded_percent
 from hazeline.functions.periods import period_bounds, period_struct
 from hazeline.operators.prepare import flatten_attributes
-from hazeline.params import STATE_ABBREVIATIONS
+from hazeline.params import STATE_ABBREVIATIONS, column_name
 
 
 @pytest.mark.parametrize(
@@ -170,3 +170,10 @@ def test_any_dict_of_strings_comes_back(frame):
     dicts = [{"address": w, "latest_data": None, "status": draw.choice(words)} for w in words]
     found = flat(frame, [repr(d) for d in dicts] + [json.dumps(d) for d in dicts])
     assert found == [tuple(d.values()) for d in dicts] * 2
+
+
+def test_labels_may_hold_quotes(frame):
+    bands = {"It's low": 1, "back\\slash": 2}
+    df = frame([(0.5,), (1.5,)], "v double")
+    assert [r[0] for r in rows(df.select(band("v", bands)))] == list(bands)
+    assert column_name("It's low") == "it_s_low"

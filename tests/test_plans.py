@@ -80,9 +80,13 @@ def test_large_sides_are_not_broadcast(spark, m):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
-def test_duplicates_need_no_window(m):
-    text = plan(checks.duplicate_entries(m))
-    assert "Window" not in text and text.count("Exchange") == 1
+def test_clean_days_are_not_shuffled_to_find_duplicates(m):
+    clean = m.dropDuplicates(["location_id", "date"])
+    found = checks.duplicate_entries(clean, prepare.month_counts(clean))
+    assert found.count() == 0 and "Window" not in plan(found)
+    doubtful = [f for f in found.inputFiles() if "doubtful" in f]
+    assert found.sparkSession.read.parquet(*doubtful).count() == 0
+    assert checks.duplicate_entries(m, prepare.month_counts(m)).count() == 217
 
 
 def test_grid_needs_no_join(m):

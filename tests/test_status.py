@@ -4,6 +4,7 @@ import pytest
 
 from conftest import rows
 from hazeline.operators import status as st
+from hazeline.operators.prepare import month_counts
 
 DDL = "id string, name string, city_id string, city_name string, latest_data string, status string"
 
@@ -70,7 +71,7 @@ def history(frame, days):
 
 def test_completeness(frame):
     stations = frame([station(i, "Live") for i in "123"], DDL)
-    table = st.status_table(stations, stations, history(frame, {"2": 23, "3": 31}), 31)
+    table = st.status_table(stations, stations, month_counts(history(frame, {"2": 23, "3": 31})), 31)
     found = {r[0]: r[1:] for r in rows(table, "id", "percent_complete", "percent_category")}
     assert found["1"] == (0.0, "No data")
     assert found["2"] == (pytest.approx(0.7419, abs=0.001), "<80% data")

@@ -86,7 +86,8 @@ def history_top(spark, d, now) -> DataFrame:
 
 def statuses(spark, d) -> DataFrame:
     return status.status_table(
-        fx.registry_old(spark, d), fx.registry_new(spark, d), fx.daily(spark, d), JANUARY.days
+        fx.registry_old(spark, d), fx.registry_new(spark, d),
+        prepare.month_counts(fx.daily(spark, d)), JANUARY.days,
     )
 
 
@@ -400,7 +401,7 @@ def duplicate_entries(spark, d):
         F.concat(F.lit("loc_"), F.col("user_id").cast("string")).alias("location_id"),
         F.col("ts").cast("date").alias("date"),
     )
-    return checks.duplicate_entries(rows)
+    return checks.duplicate_entries(rows, prepare.month_counts(rows))
 
 
 @query
@@ -464,7 +465,7 @@ def status_change(spark, d):
 
 @query
 def completeness(spark, d):
-    return rounded(status.entity_completeness(fx.daily(spark, d), JANUARY.days), "percent_complete")
+    return rounded(status.entity_completeness(prepare.month_counts(fx.daily(spark, d)), JANUARY.days), "percent_complete")
 
 
 @query
