@@ -158,6 +158,17 @@ class Snapshot:
         broken = checks.broken_counts(self.complete, ["location_id", "year", "month"])
         checks.enforce(broken, "Days neither passed nor not passed")
 
+    def rule_reports(self) -> DataFrame:
+        """How many rows break each rule of the landed measurements; nothing is stopped."""
+        tables = {"city": self.inputs.measurements, "station": self.inputs.station_measurements}
+        types = readers.type_rules(readers.MEASUREMENTS)
+        reports = [
+            checks.rule_report(df, readers.measurement_rules(level), types)
+            .withColumn("level", F.lit(level))
+            for level, df in tables.items()
+        ]
+        return reports[0].unionByName(reports[1])
+
     def warnings(self) -> DataFrame:
         raw = self.rollup.where(F.col("year") == self.period.year)
         rows = filter_period(self.inputs.measurements, self.period)

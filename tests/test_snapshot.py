@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from hazeline import Inputs, Params, Snapshot, build_snapshot, period_bounds
-from hazeline.operators.checks import DataCheckError
+from hazeline.operators.checks import DataCheckError, rule_report
 from hazeline.sources import readers
 
 PERIOD = period_bounds("2024-01")
@@ -165,6 +165,16 @@ def test_chart_tables(inputs):
     assert tables["top_city_per_region"].count() == 6
 
 
+def test_landed_tables_keep_their_rules(spark, landed, inputs):
+    report = Snapshot(inputs, PERIOD, PARAMS).rule_reports().collect()
+    assert len(report) == 2 * (8 + 15) and all(r["ok"] for r in report)
+    stations = spark.read.parquet(f"{landed}/stations")
+    found = rule_report(stations, readers.station_rules(), readers.type_rules(readers.STATIONS))
+    assert all(r["ok"] for r in found.collect())
+    found = rule_report(spark.read.parquet(f"{landed}/cities"), readers.city_rules())
+    assert {r["rule"]: r["failed_rows"] for r in found.collect()} == {"country_id = IN": 0, "level = city": 0}
+
+
 def test_half_year_calendar_takes_the_top_entities(spark, inputs):
     snapshot = Snapshot(inputs, period_bounds("2024-H1"), replace(PARAMS, day_share=0.1))
     cells = snapshot.chart_tables()["calendar"]

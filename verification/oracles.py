@@ -560,6 +560,27 @@ ORACLES: dict[str, str] = {
            count(*) FILTER (value < 1) AS pass_naaqs2_unknown
     FROM daily d LEFT JOIN member m ON m.location_id = d.location_id AND m.name = 'ncap_cities'
     GROUP BY ALL HAVING count(*) FILTER (value < 1) > 0""", "daily", "member"),
+    "report_sizes": sql(f"""
+    SELECT 'statuses' AS output, count(*) AS rows FROM statuses
+    UNION ALL SELECT 'statuses_summary.md', count(*) FROM ({REPORT})
+    UNION ALL SELECT 'monthly_compliance', count(DISTINCT name) FROM summary
+    UNION ALL SELECT 'cities_grap_distribution', count(DISTINCT gadm1_name) FROM summary
+    UNION ALL SELECT 'all_cities_ordered', count(*) FROM summary
+    UNION ALL SELECT 'top10_polluted_cities', count(*) FROM (
+      SELECT rank() OVER (ORDER BY mean DESC NULLS LAST) AS place FROM means) WHERE place <= 10
+    UNION ALL SELECT 'top10_cleanest_cities', count(*) FROM (
+      SELECT rank() OVER (ORDER BY mean NULLS LAST) AS place FROM means) WHERE place <= 10
+    UNION ALL SELECT 'top10_polluted_cities_prev', count(*) FROM means WHERE year < 2024
+    UNION ALL SELECT 'top5_populous_cities', count(*) FROM means
+    UNION ALL SELECT 'warnings', count(*) FROM (
+      ({HIGH}) UNION ALL ({UNEXPECTED}) UNION ALL ({LOW}) UNION ALL ({NEW_CITY_WARNING})
+      UNION ALL ({COVERAGE}))
+    UNION ALL SELECT 'overshooting', count(*) FROM lineitem WHERE l_discount > 0.05 AND l_linestatus <> 'O'
+    UNION ALL SELECT 'measurement_completion_monthly', count(DISTINCT location_id) FROM daily
+    UNION ALL SELECT 'measurement_completion_monthly_summary', count(DISTINCT month(date)) FROM daily
+    UNION ALL SELECT 'measurement_completion_period_under_80', count(*) FROM (
+      SELECT location_id FROM daily GROUP BY location_id HAVING round(count(DISTINCT date) / 31, 9) <= 0.8)""",
+        "statuses", "city_share", "fresh_city", "member", "summary"),
     "status_change": sql("SELECT * FROM changed", "changed"),
     "completeness": sql("SELECT * REPLACE (round(percent_complete, 6) AS percent_complete) FROM share", "share"),
     "status_table": sql("""

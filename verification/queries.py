@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from hazeline.operators import charts, checks, completion, rankings, status, sum
 from hazeline.operators import prepare
 from hazeline.operators.rollup import complete_rollup, monthly_rollup
 from hazeline.params import DEFAULTS
+from hazeline.plans.snapshot import Inputs, Snapshot
 from hazeline.plans.staging import stage, staging_folder
 from hazeline.sources import readers
 from verification import fixtures as fx
@@ -455,6 +457,30 @@ def compliance_invariant(spark, d):
     return checks.compliance_invariant(tagged, ["name", "location_id"])
 
 
+# --- the whole report ---
+
+
+@query
+def report_sizes(spark, d):
+    """Rows of every table of a whole report, all entities tracked."""
+    daily = fx.daily(spark, d)
+    files = daily.withColumn("file_name", F.date_format("date", "yyyy-MM"))
+    inputs = Inputs(
+        measurements=daily, station_measurements=daily, stations=fx.registry_new(spark, d),
+        stations_previous=fx.registry_old(spark, d), groups=fx.groups(spark, d),
+        cities=fx.cities(spark, d), overshoots=readers.overshoot_rows(fx.overshoot_documents(spark, d)),
+        period_files=files,
+    )
+    params = replace(DEFAULTS, high_season_cuts=[50, 60])
+    ids = fx.cities(spark, d).select(F.col("id").alias("location_id"))
+    outputs = Snapshot(inputs, JANUARY, params, tracked=ids).outputs()
+    sizes = [
+        df.agg(F.lit(name).alias("output"), F.count("*").alias("rows"))
+        for name, df in outputs.items()
+    ]
+    return reduce(DataFrame.unionByName, sizes)
+
+
 # --- status ---
 
 
