@@ -241,7 +241,7 @@ def new_city_lists(statuses: DataFrame, names_per_row: int = NAMES_PER_ROW) -> D
 
 def new_city_notice(statuses: DataFrame) -> DataFrame:
     """The notice to add when there is a new city: one row or none."""
-    found = new_cities(statuses).limit(1)
+    found = new_cities(statuses).agg(F.count("*").alias("n")).where("n > 0")
     return found.select(F.lit("new_cities").alias("type"), F.lit(NEW_CITY_NOTICE).alias("message"))
 
 

@@ -33,7 +33,11 @@ from hazeline.sources import readers, writers
 
 @dataclass
 class Inputs:
-    """Tables a report reads. Stations carry ``latest_data`` and ``status`` columns."""
+    """Tables a report reads. Stations carry ``latest_data`` and ``status`` columns.
+
+    ``earlier_rollup`` may be a monthly rollup of earlier years kept from other reports; the
+    measurements are then read for the period alone.
+    """
 
     measurements: DataFrame
     station_measurements: DataFrame
@@ -43,6 +47,7 @@ class Inputs:
     cities: DataFrame
     overshoots: DataFrame | None = None
     period_files: DataFrame | None = None
+    earlier_rollup: DataFrame | None = None
 
     @classmethod
     def landed(
@@ -88,10 +93,18 @@ class Snapshot:
 
     @cached_property
     def rollup(self) -> DataFrame:
-        first = self.period.year - self.params.history_years
-        years = list(range(first, self.period.year + 1))
-        rows = self.inputs.measurements.where(within_years(F.col("date"), self.period, years))
-        return stage(monthly_rollup(rows, self.params), "rollup")
+        m, kept, period = self.inputs.measurements, self.inputs.earlier_rollup, self.period
+        first = period.year - self.params.history_years
+        if kept is None:
+            years = list(range(first, period.year + 1))
+            r = monthly_rollup(m.where(within_years(F.col("date"), period, years)), self.params)
+        else:
+            earlier = F.col("year").between(first, period.year - 1) & F.col("month").between(
+                period.start.month, period.end.month
+            )
+            r = monthly_rollup(filter_period(m, period), self.params)
+            r = r.unionByName(kept.where(earlier))
+        return stage(r, "rollup")
 
     @cached_property
     def complete(self) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from hazeline import Inputs, Params, Snapshot, build_snapshot, period_bounds
 from hazeline.operators.checks import DataCheckError, rule_report
+from hazeline.operators.rollup import monthly_rollup
 from hazeline.sources import readers
 
 PERIOD = period_bounds("2024-01")
@@ -165,6 +166,14 @@ def test_chart_tables(inputs):
     assert tables["top_city_per_region"].count() == 6
 
 
+def test_a_kept_rollup_stands_in_for_earlier_years(inputs):
+    whole = Snapshot(inputs, PERIOD, PARAMS)
+    kept = monthly_rollup(inputs.measurements.where("date < '2024-01-01'"))
+    only_now = inputs.measurements.where("date >= '2024-01-01'")
+    other = Snapshot(replace(inputs, measurements=only_now, earlier_rollup=kept), PERIOD, PARAMS)
+    assert sorted(map(tuple, other.rollup.collect())) == sorted(map(tuple, whole.rollup.collect()))
+
+
 def test_landed_tables_keep_their_rules(spark, landed, inputs):
     report = Snapshot(inputs, PERIOD, PARAMS).rule_reports().collect()
     assert len(report) == 2 * (8 + 15) and all(r["ok"] for r in report)
