@@ -41,7 +41,9 @@ def enforce(findings: DataFrame, message: str) -> None:
         raise DataCheckError(f"{message}: {texts}", findings)
 
 
-def rule_report(df: DataFrame, rules: Mapping[str, Column], types: Mapping[str, str] = {}) -> DataFrame:
+def rule_report(
+    df: DataFrame, rules: Mapping[str, Column], types: Mapping[str, str] | None = None
+) -> DataFrame:
     """Rows that fail each rule, in one aggregate; the data themselves pass on unchanged.
 
     A rule that is NULL for a row is neither met nor failed. ``types`` are checked on the
@@ -50,7 +52,7 @@ def rule_report(df: DataFrame, rules: Mapping[str, Column], types: Mapping[str,
     actual = dict(df.dtypes)
     checks = {
         f"{column} is {wanted}": F.count_if(F.lit(actual.get(column) != wanted))
-        for column, wanted in types.items()
+        for column, wanted in (types or {}).items()
     }
     checks |= {name: F.count_if(~rule) for name, rule in rules.items()}
     counts = df.agg(

@@ -6,7 +6,6 @@ from collections import defaultdict
 from dataclasses import replace
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from hazeline.functions.periods import period_bounds
