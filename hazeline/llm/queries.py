@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from hazeline.llm import simhash
+from hazeline.llm import byte_bpe, licences, sentence_spans, simhash
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.query,
+    "op6_byte_bpe": byte_bpe.query,
+    "op7_licence_scan": licences.query,
+    "op9_sentence_spans": sentence_spans.query,
 }
 
 ORACLES: dict[str, str] = {}
