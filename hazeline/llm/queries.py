@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from hazeline.llm import byte_bpe, licences, sentence_spans, simhash
+from hazeline.llm import byte_bpe, licences, quality, sentence_spans, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.query,
     "op6_byte_bpe": byte_bpe.query,
     "op7_licence_scan": licences.query,
+    "op8_ordinal_quality": quality.query,
     "op9_sentence_spans": sentence_spans.query,
+    "op10_toxicity": toxicity.query,
 }
 
 ORACLES: dict[str, str] = {}
