@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from hazeline.llm import byte_bpe, licences, packing, quality, sentence_spans, simhash, toxicity
+from hazeline.llm import byte_bpe, licences, outliers, packing, quality, sentence_spans, simhash, toxicity
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.query,
+    "op3_robust_outliers": outliers.query,
     "op5_lexical_packing": packing.query,
     "op6_byte_bpe": byte_bpe.query,
     "op7_licence_scan": licences.query,
