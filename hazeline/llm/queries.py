@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from hazeline.llm import byte_bpe, licences, outliers, packing, quality, sentence_spans, simhash, toxicity
+from hazeline.llm import (
+    byte_bpe, licences, outliers, packing, projections, quality, sentence_spans, simhash, tag_paths, toxicity,
+)
 
 QUERIES = {
     "op1_simhash_near_dedup": simhash.query,
+    "op2_tag_paths": tag_paths.query,
     "op3_robust_outliers": outliers.query,
+    "op4_projection_links": projections.query,
     "op5_lexical_packing": packing.query,
     "op6_byte_bpe": byte_bpe.query,
     "op7_licence_scan": licences.query,
