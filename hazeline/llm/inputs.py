@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,3 +19,16 @@ def text_bytes(name: str = "text") -> Column:
 def fold_of(key: Column) -> Column:
     """Fold 0 to 4 of a row, from the CRC-32 of its id as text; null counts as empty text."""
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % 5
+
+
+def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[bytes]:
+    """Whole texts of an Arrow batch as UTF-8 bytes; null is empty."""
+    return [t or b"" for t in batch[name].cast(pa.binary()).to_pylist()]
+
+
+def spare_name(df: DataFrame, name: str) -> str:
+    """A column name that the frame doesn't have, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.inputs import fold_of, text_bytes
+from hazeline.llm.inputs import fold_of, text_bytes, texts_of
 from hazeline.plans.staging import stage
 
 SAMPLE, BUCKETS, ROUNDS, RIDGE, KEEP_TAIL = 8192, 1 << 15, 150, 1e-3, 0.5
@@ -212,11 +212,10 @@ def selected_documents(docs: DataFrame, labels: DataFrame, keep_tail: float = KE
 
     def per_batch(batches):
         for batch in batches:
-            keep = [bool(model.tails(hashed(t))[0] >= keep_tail) for t in batch["_text"].to_pylist()]
+            keep = [bool(model.tails(hashed(t))[0] >= keep_tail) for t in texts_of(batch)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    marked = docs.withColumn("_text", text_bytes())
-    return marked.mapInArrow(per_batch, marked.schema).select(*docs.columns)
+    return docs.mapInArrow(per_batch, docs.schema)
 
 
 def tail_of(grade: int) -> Column:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeline.llm.inputs import text_bytes
+from hazeline.llm.inputs import spare_name, text_bytes
 from hazeline.plans.staging import stage
 
 MIN_SENTENCES, MIN_WORDS, MAX_WORDS, SEED = 2, 16, 25, 42
@@ -99,50 +99,48 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Documents with (text, n_sentences, n_removed, removed) in place of their text.
+    """Documents with their text cut, and (n_sentences, n_removed, removed) added.
 
     ``removed`` holds the removed sentences' numbers. No row is dropped: a text of which all
     goes becomes empty; a null text stays null. Rows alike in doc_id and text are one document
     and share what is removed. A null doc_id comes after all others. Other columns stay as
-    they are.
+    they are, but for earlier ones of these names, which are replaced.
     """
-    own = ["_row", "_starts", "_found"]
-    rows = docs.withColumn("_row", F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
-    keys = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "_row", "text")
-    again = repeated(keys, min_words).select(F.col("_row").alias("_again"), F.col("starts").alias("_starts"))
+    added = ["n_sentences", "n_removed", "removed"]
+    docs = docs.drop(*added)
+    names = docs.columns
+    row, starts, again = (spare_name(docs, n) for n in ("_row", "_starts", "_again"))
+    rows = docs.withColumn(row, F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
+    keys = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(row).alias("_row"), "text")
+    found = repeated(keys, min_words).select(F.col("_row").alias(again), F.col("starts").alias(starts))
 
     def per_batch(batches):
         for batch in batches:
             texts, counts, gone = [], [], []
-            for text, starts in zip(batch["_text"].to_pylist(), batch["_starts"].to_pylist()):
+            for text, first in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[starts].to_pylist()):
                 parts = sentences(text or b"")
                 drop: set[int] = set()
-                if starts:
+                if first:
                     ends = span_ends([len(p.split()) for p in parts], min_words)
-                    for start in starts:
+                    for start in first:
                         drop.update(range(start, ends[start]))
                 texts.append(text if not drop else b"".join(p for i, p in enumerate(parts) if i not in drop).strip())
                 counts.append(len(parts))
                 gone.append(sorted(drop))
-            table = batch.select([c for c in batch.schema.names if c not in ("_text", "_starts")])
-            yield pa.RecordBatch.from_arrays(
-                [*table.columns, pa.array(texts, pa.binary()).cast(pa.string()), pa.array(counts, pa.int64()), pa.array(gone, pa.list_(pa.int32()))],
-                [*table.schema.names, "text", "n_sentences", "removed"],
-            )
+            columns = {name: batch[name] for name in names}
+            columns["text"] = pa.array(texts, pa.binary()).cast(pa.string())
+            columns["n_sentences"] = pa.array(counts, pa.int64())
+            columns["n_removed"] = pa.array([len(g) for g in gone], pa.int64())
+            columns["removed"] = pa.array(gone, pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    kept = [c for c in rows.columns if c not in ("text", "n_sentences", "removed", "n_removed", *own)]
-    source = rows.join(again, rows["_row"] == again["_again"], "left").select(
-        *kept, F.col("text").cast("binary").alias("_text"), "_starts"
-    )
-    fields = [f for f in docs.schema.fields if f.name in kept]
-    schema = T.StructType(
-        [*fields, T.StructField("text", T.StringType()), T.StructField("n_sentences", T.LongType()), T.StructField("removed", T.ArrayType(T.IntegerType()))]
-    )
-    return source.mapInArrow(per_batch, schema).withColumn("n_removed", F.size("removed").cast("bigint"))
+    kinds = [T.LongType(), T.LongType(), T.ArrayType(T.IntegerType())]
+    schema = T.StructType([*docs.schema.fields, *map(T.StructField, added, kinds)])
+    source = rows.join(found, rows[row] == found[again], "left").select(*names, starts)
+    return source.mapInArrow(per_batch, schema)
 
 
 def query(spark, folder: str) -> DataFrame:
     from hazeline.llm.inputs import table
 
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return without_repeats(docs).select("doc_id", "text", "n_sentences", "n_removed", "removed")
+    return without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
