@@ -15,11 +15,18 @@ from hazeline.operators.rollup import flag_counts
 from hazeline.params import DEFAULTS, Params
 from hazeline.plans.staging import stage
 
-EXAMPLES = 20
+SHOWN = 20
+
+# Types and texts of the report's warnings.
+HIGH_TYPE, HIGH_TEXT = "high_pm25_gt", " has an average PM2.5 concentration above "
+UNIT_TEXT = " µg/m³: "
+TOP_TYPE, TOP_TEXT = "southern_city_in_top_10", " is in the top "
+LOW_TYPE, LOW_TEXT, BETWEEN_TEXT = "low_value_lt", " has a value less than ", " has a value between "
+REGION_TYPE, REGION_TEXT = "wrong_state_number", "Number of states in India in analysis was "
 
 
 class DataCheckError(ValueError):
-    """A hard stop. ``findings`` is the whole report frame."""
+    """A hard stop. ``findings`` reads the written table of all findings."""
 
     def __init__(self, message: str, findings: DataFrame | None = None):
         super().__init__(message)
@@ -34,11 +41,27 @@ def require_columns(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def enforce(findings: DataFrame, message: str) -> None:
-    """Raise if a report has rows. The text shows a few; the error carries them all."""
-    shown = findings.limit(EXAMPLES).collect()
-    if shown:
+    """Raise if a report has rows.
+
+    The findings are written first, all of them; the text has their number, their folder and
+    the first few.
+    """
+    written = stage(findings, "findings")
+    total = written.count()
+    if total:
+        shown = written.orderBy(*written.columns).limit(SHOWN).collect()
         texts = "; ".join(", ".join(str(v) for v in row) for row in shown)
-        raise DataCheckError(f"{message}: {texts}", findings)
+        folder = written.inputFiles()[0].rsplit("/", 1)[0]
+        raise DataCheckError(
+            f"{message}: first {len(shown)} of {total}: {texts} (all in {folder})", written
+        )
+
+
+def missing_columns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The columns a table must have and lacks, in a frame."""
+    missing = [c for c in columns if c not in df.columns]
+    names = F.explode(F.array(*map(F.lit, missing)).cast("array<string>")).alias("column")
+    return df.sparkSession.range(1).select(names)
 
 
 def rule_report(
@@ -46,8 +69,8 @@ def rule_report(
 ) -> DataFrame:
     """Rows that fail each rule, in one aggregate; the data themselves pass on unchanged.
 
-    A rule that is NULL for a row is neither met nor failed. ``types`` are checked on the
-    schema alone.
+    A rule that is NULL for a row is neither met nor failed; such rows are counted apart as
+    ``unknown_rows``. ``types`` are checked on the schema alone.
     """
     actual = dict(df.dtypes)
     checks = {
@@ -55,17 +78,22 @@ def rule_report(
         for column, wanted in (types or {}).items()
     }
     checks |= {name: F.count_if(~rule) for name, rule in rules.items()}
+    unknown = {name: F.count_if(rule.isNull()) for name, rule in rules.items()}
     counts = df.agg(
-        F.count("*").alias("_total"), *[c.alias(f"_{i}") for i, c in enumerate(checks.values())]
+        F.count("*").alias("_total"), *[c.alias(f"_{i}") for i, c in enumerate(checks.values())],
+        *[unknown.get(name, F.lit(0)).alias(f"_u{i}") for i, name in enumerate(checks)],
     )
     rows = F.array(
         *[
-            F.struct(F.lit(name).alias("rule"), F.col(f"_{i}").alias("failed_rows"))
+            F.struct(
+                F.lit(name).alias("rule"), F.col(f"_{i}").alias("failed_rows"),
+                F.col(f"_u{i}").cast("bigint").alias("unknown_rows"),
+            )
             for i, name in enumerate(checks)
         ]
     )
     report = counts.select(F.inline(rows), F.col("_total").alias("total_rows"))
-    return report.withColumn("ok", F.col("failed_rows") == 0)
+    return report.withColumn("ok", F.col("failed_rows") + F.col("unknown_rows") == 0)
 
 
 def limit_checks(
@@ -108,11 +136,10 @@ def warn_high_season_mean(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     rows = means.withColumn("cut", F.explode(passed))
     message = F.concat(
         F.lit("City "), "city_id", F.lit(" in "), F.col("month").cast("string"),
-        F.lit(" has an average PM2.5 concentration above "), F.col("cut").cast("string"),
-        F.lit(" µg/m³: "), number_text("mean"),
+        F.lit(HIGH_TEXT), F.col("cut").cast("string"), F.lit(UNIT_TEXT), number_text("mean"),
     )
     return rows.select(
-        F.concat(F.lit("high_pm25_gt"), F.col("cut").cast("string")).alias("type"),
+        F.concat(F.lit(HIGH_TYPE), F.col("cut").cast("string")).alias("type"),
         message.alias("message"),
     )
 
@@ -125,8 +152,8 @@ def warn_unexpected_top(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
         F.desc_nulls_last("mean"), *[F.asc_nulls_last(k) for k in keys]
     ).limit(params.top_n)
     found = top.where(in_list(F.col("gadm1_id"), params.watched_regions))
-    message = F.concat(F.lit("City "), "city_name", F.lit(f" is in the top {params.top_n}"))
-    return found.select(F.lit("southern_city_in_top_10").alias("type"), message.alias("message"))
+    message = F.concat(F.lit("City "), "city_name", F.lit(f"{TOP_TEXT}{params.top_n}"))
+    return found.select(F.lit(TOP_TYPE).alias("type"), message.alias("message"))
 
 
 def warn_low_values(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
@@ -134,10 +161,10 @@ def warn_low_values(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     value = F.col("value")
     low, moderate = params.low_value, params.moderate_value
     start = F.concat(F.lit("City "), "city_id", F.lit(" on "), F.col("date").cast("string"))
-    text = F.when(value < low, f" has a value less than {low:g}: ").otherwise(
-        f" has a value between {low:g} and {moderate:g}: "
+    text = F.when(value < low, f"{LOW_TEXT}{low:g}: ").otherwise(
+        f"{BETWEEN_TEXT}{low:g} and {moderate:g}: "
     )
-    kind = F.when(value < low, f"low_value_lt{low:g}").otherwise(f"low_value_lt{moderate:g}")
+    kind = F.when(value < low, f"{LOW_TYPE}{low:g}").otherwise(f"{LOW_TYPE}{moderate:g}")
     return m.where(value < moderate).select(
         kind.alias("type"), F.concat(start, text, number_text("value")).alias("message")
     )
@@ -186,11 +213,11 @@ def warn_region_coverage(summary: DataFrame, params: Params = DEFAULTS) -> DataF
     """One warning if fewer regions than expected are in the summary."""
     regions = summary.select("gadm1_name").distinct().agg(F.count("*").alias("n"))
     message = F.concat(
-        F.lit("Number of states in India in analysis was "), F.col("n").cast("string"),
+        F.lit(REGION_TEXT), F.col("n").cast("string"),
         F.lit(f" less than {params.expected_regions}"),
     )
     return regions.where(F.col("n") < params.expected_regions).select(
-        F.lit("wrong_state_number").alias("type"), message.alias("message")
+        F.lit(REGION_TYPE).alias("type"), message.alias("message")
     )
 
 

@@ -26,6 +26,8 @@ def observed_completion(m: DataFrame, file_col: str = "file_name") -> DataFrame:
     masks = m.groupBy(F.col(file_col).alias("_file"), *PLACE, F.trunc("date", "MM").alias("_month"))
     masks = stage(masks.agg(days_mask("date").alias("_mask")), "file-months")
     starts = masks.groupBy(F.col("_file").alias("_f")).agg(F.min("_month").alias("month"))
+    # Staged, so that the few files are what the join sends around, not all locations of one.
+    starts = stage(starts, "file-starts")
     days = masks.groupBy("_file", *PLACE).agg(F.sum(F.bit_count("_mask")).alias("days_with_data"))
     dated = days.join(starts, days["_file"].eqNullSafe(starts["_f"]))
     length = days_in_month(F.col("month"))

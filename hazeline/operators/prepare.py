@@ -75,11 +75,11 @@ def tag_group(
 ) -> DataFrame:
     """Membership of one group as column ``name``; the rest get ``other``, if given.
 
-    Member ids must be unique within the group (see ``many_to_one``).
+    An id that repeats within the group tags a row once (``many_to_one`` reports it).
     """
     members = groups.where(F.col("name") == group).select(
         F.col("location_id").alias("_member"), F.col("name").alias("name")
-    )
+    ).distinct()
     tagged = df.join(members, df["location_id"].eqNullSafe(members["_member"]), "left")
     tagged = tagged.drop("_member")
     return tagged if other is None else tagged.fillna(other, subset=["name"])

@@ -26,7 +26,8 @@ def top_with_ties(
 
     The n-th value is found first, with bounded state in every task (n rows per key before
     the shuffle); all rows at or beyond it follow by a filter. So neither a key holding most
-    rows nor any number of ties ends in one task. Reads ``df`` twice: pass it staged.
+    rows nor any number of ties ends in one task. Reads ``df`` twice, keys and value alone at
+    first: pass a table of entity size staged, and a scan of daily rows as it is.
     """
     keys = list(keys)
     order = F.desc_nulls_last(by) if highest else F.asc_nulls_last(by)
@@ -170,12 +171,16 @@ def year_on_year(
 
 
 def top_n_frequency(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
-    """How often each entity is among the day's n highest, ties kept."""
-    rows = m.withColumn("value", clean_double("value"))
-    daily = top_with_ties(rows, "value", params.top_n, ["date", "pollutant", "pollutant_name"])
-    counts = daily.groupBy("location_id", "city_name", "gadm1_name").agg(
-        F.count("*").alias("count")
-    )
+    """How often each entity is among the day's n highest, ties kept.
+
+    Two passes over the daily rows, neither of which writes them: the first reads keys and
+    value alone to find each day's n-th value, the second filters and counts.
+    """
+    keys = ["date", "pollutant", "pollutant_name"]
+    names = ["location_id", "city_name", "gadm1_name"]
+    rows = m.select(*keys, *names, clean_double("value").alias("value"))
+    daily = top_with_ties(rows, "value", params.top_n, keys)
+    counts = daily.groupBy(*names).agg(F.count("*").alias("count"))
     # Staged, since the labels look at the counted entities twice.
     labelled = display_labels(stage(counts, "frequency")).orderBy(
         F.desc("count"), F.asc_nulls_last("city_name"), F.asc_nulls_last("gadm1_name"),

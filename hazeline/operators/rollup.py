@@ -8,6 +8,8 @@ carries partial aggregates only, so an entity with a third of all rows is no hea
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,6 +61,38 @@ def monthly_rollup(m: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     )
 
 
+MADE_WITH = "made_with"
+
+
+def rollup_mark(params: Params = DEFAULTS) -> str:
+    """The parameters that a rollup's counts depend on, as text."""
+    return json.dumps(
+        {
+            "who_limit": float(params.who_limit), "naaqs_limit": float(params.naaqs_limit),
+            "bands": {label: float(top) for label, top in params.bands.items()},
+            "mean_decimals": params.mean_decimals,
+        }
+    )
+
+
+def rollup_to_keep(r: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """A rollup with the parameters it was made with in every row, for later reports."""
+    return r.withColumn(MADE_WITH, F.lit(rollup_mark(params)))
+
+
+def foreign_rollup_rows(kept: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """Other parameters that rows of a kept rollup were made with, and their numbers."""
+    made = F.col(MADE_WITH) if MADE_WITH in kept.columns else F.lit(None).cast("string")
+    counts = kept.groupBy(made.alias(MADE_WITH)).agg(F.count("*").alias("rows"))
+    return counts.where(~F.col(MADE_WITH).eqNullSafe(F.lit(rollup_mark(params))))
+
+
+def repeated_rollup_rows(kept: DataFrame) -> DataFrame:
+    """Entity months that a kept rollup has more than once."""
+    counts = kept.groupBy(*KEYS).agg(F.count("*").alias("entries"))
+    return counts.where(F.col("entries") > 1)
+
+
 def rollup_days(r: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct days with a row, per key; masks of one month are united before counting."""
     months = [c for c in ("year", "month") if c not in keys]

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from hazeline.functions.labels import in_list
 from hazeline.operators.prepare import keep_keys
 from hazeline.params import DEFAULTS, NEW_CITY_NOTICE, Params
-from hazeline.plans.staging import global_row_number
+from hazeline.plans.staging import global_row_number, stage
 
 REGISTRY = ["id", "name", "city_id", "city_name", "latest_data", "status"]
 
@@ -43,7 +43,6 @@ CITY_STATS = ["Cities covered by CAAQMS", "Cities with"]
 IN_GROUP_STATS = ["NCAP cities covered by CAAQMS", "NCAP cities with"]
 OUT_GROUP_STATS = ["Non-NCAP cities covered by CAAQMS", "Non-NCAP cities with"]
 SHARE_STATS = [">80% data", "<80% data but >1% data", "<1% data"]
-NAMES_PER_ROW = 1000
 
 
 def change_class(in_old: Column, old: Column, new: Column) -> Column:
@@ -75,26 +74,26 @@ def status_change(old: DataFrame, new: DataFrame) -> DataFrame:
     )
 
 
-def completeness_class(share: Column) -> Column:
+def completeness_class(share: Column, params: Params = DEFAULTS) -> Column:
     """An unknown share falls to the last class."""
-    return F.when(share < 0.01, NO_DATA).when(share < 0.8, BELOW).otherwise(ABOVE)
+    return F.when(share < 0.01, NO_DATA).when(share < params.day_share, BELOW).otherwise(ABOVE)
 
 
-def entity_completeness(months: DataFrame, days: int) -> DataFrame:
+def entity_completeness(months: DataFrame, days: int, params: Params = DEFAULTS) -> DataFrame:
     """Rows - not distinct days - as a share of the days, out of ``month_counts``."""
     share = F.sum("rows") / F.lit(days)
     counted = months.groupBy(F.col("location_id").alias("id")).agg(
         share.alias("percent_complete")
     )
-    return counted.withColumn("percent_category", completeness_class(F.col("percent_complete")))
+    return counted.withColumn("percent_category", completeness_class(F.col("percent_complete"), params))
 
 
 def status_table(
-    old: DataFrame, new: DataFrame, months: DataFrame, days: int
+    old: DataFrame, new: DataFrame, months: DataFrame, days: int, params: Params = DEFAULTS
 ) -> DataFrame:
     """Change and completeness of every station; ``months`` are its ``month_counts``."""
     statuses = status_change(old, new)
-    complete = entity_completeness(months, days).withColumnRenamed("id", "_id")
+    complete = entity_completeness(months, days, params).withColumnRenamed("id", "_id")
     joined = statuses.join(complete, statuses["id"].eqNullSafe(complete["_id"]), "left")
     return joined.drop("_id").withColumns(
         {
@@ -105,13 +104,13 @@ def status_table(
 
 
 def _stat_rows(counts: DataFrame, section: str, stats: list[str], columns: list[str]) -> DataFrame:
-    """Four counts in one row to (section, ord, chunk, stat, value) rows."""
+    """Four counts in one row to (section, ord, pos, stat, value) rows."""
     texts = [stats[0], *[f"{stats[1]} {share}" for share in SHARE_STATS]]
     rows = ", ".join(
         f"'{section}', {i}, 1L, '{text}', CAST({column} AS STRING)"
         for i, (text, column) in enumerate(zip(texts, columns), start=1)
     )
-    return counts.select(F.expr(f"stack({len(texts)}, {rows}) AS (section, ord, chunk, stat, value)"))
+    return counts.select(F.expr(f"stack({len(texts)}, {rows}) AS (section, ord, pos, stat, value)"))
 
 
 COUNT_COLUMNS = ["total", "above", "below", "no_data"]
@@ -129,10 +128,12 @@ def status_counts(statuses: DataFrame) -> DataFrame:
     return _stat_rows(counts, SECTIONS[0], STATION_STATS, COUNT_COLUMNS)
 
 
-def city_shares(statuses: DataFrame) -> DataFrame:
+def city_shares(statuses: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """A city is as complete as its best station."""
     cities = statuses.groupBy("city_id").agg(F.max("percent_complete").alias("percent_complete"))
-    return cities.withColumn("percent_category", completeness_class(F.col("percent_complete")))
+    return cities.withColumn(
+        "percent_category", completeness_class(F.col("percent_complete"), params)
+    )
 
 
 def _city_counts(shares: DataFrame) -> DataFrame:
@@ -145,9 +146,10 @@ def _city_counts(shares: DataFrame) -> DataFrame:
     )
 
 
-def group_completeness(statuses: DataFrame) -> DataFrame:
+def group_completeness(statuses: DataFrame, params: Params = DEFAULTS) -> DataFrame:
     """Cities in all and per class."""
-    return _stat_rows(_city_counts(city_shares(statuses)), SECTIONS[1], CITY_STATS, COUNT_COLUMNS)
+    counts = _city_counts(city_shares(statuses, params))
+    return _stat_rows(counts, SECTIONS[1], CITY_STATS, COUNT_COLUMNS)
 
 
 def _members(groups: DataFrame, params: Params) -> DataFrame:
@@ -159,7 +161,7 @@ def group_completeness_in(
     statuses: DataFrame, groups: DataFrame, params: Params = DEFAULTS
 ) -> DataFrame:
     """The same for cities in the group."""
-    shares, members = city_shares(statuses), _members(groups, params)
+    shares, members = city_shares(statuses, params), _members(groups, params)
     inside = shares.join(members, shares["city_id"].eqNullSafe(members["_member"]), "left_semi")
     return _stat_rows(_city_counts(inside), SECTIONS[4], IN_GROUP_STATS, COUNT_COLUMNS)
 
@@ -168,31 +170,20 @@ def group_completeness_out(
     statuses: DataFrame, groups: DataFrame, params: Params = DEFAULTS
 ) -> DataFrame:
     """The same for cities outside the group; a station without a city counts as outside."""
-    shares, members = city_shares(statuses), _members(groups, params)
+    shares, members = city_shares(statuses, params), _members(groups, params)
     outside = shares.join(members, shares["city_id"].eqNullSafe(members["_member"]), "left_anti")
     return _stat_rows(_city_counts(outside), SECTIONS[5], OUT_GROUP_STATS, COUNT_COLUMNS)
 
 
-def _name_lists(
-    named: DataFrame, stats: list[tuple[str, str]], names_per_row: int
-) -> DataFrame:
-    """Names under each (section, stat) as comma lists.
-
-    A list longer than ``names_per_row`` goes on in further rows (chunk 2, 3, ...), so no task
-    ever holds a whole list. A stat without names says so.
+def _name_lists(named: DataFrame, stats: list[tuple[str, str]]) -> DataFrame:
+    """A row per name under each (section, stat), numbered by name; a stat without any says so.
 
     ``named`` has columns place, name, id, with place the number of the stat.
     """
     order = [F.asc("place"), F.asc_nulls_last("name"), F.asc_nulls_last("id")]
-    numbered = global_row_number(named, order, "_row")
-    first = numbered.groupBy(F.col("place").alias("_place")).agg(F.min("_row").alias("_first"))
-    placed = numbered.join(first, numbered["place"] == first["_place"])
-    chunk = F.floor((F.col("_row") - F.col("_first")) / names_per_row) + 1
-    entry = F.struct("_row", F.coalesce("name", F.lit("NA")).alias("text"))
-    entries = F.array_sort(F.collect_list(entry))
-    lists = placed.groupBy("place", chunk.alias("chunk")).agg(
-        F.array_join(entries["text"], ", ").alias("value")
-    )
+    placed = global_row_number(named, order, "pos", "place")
+    text = F.coalesce("name", F.lit("NA"))
+    lists = placed.select("place", "pos", F.when(F.trim(text) == "", NO_VALUE).otherwise(text).alias("value"))
     wanted, seen = [], {}
     for place, (section, stat) in enumerate(stats, start=1):
         seen[section] = seen.get(section, 0) + 1
@@ -200,11 +191,12 @@ def _name_lists(
     all_stats = named.sparkSession.range(1).select(
         F.expr(f"stack({len(stats)}, {', '.join(wanted)}) AS (place, section, ord, stat)")
     )
-    empty = F.col("value").isNull() | (F.trim("value") == "")
-    return all_stats.join(lists, "place", "left").select(
-        "section", "ord", F.coalesce("chunk", F.lit(1).cast("bigint")).alias("chunk"), "stat",
-        F.when(empty, NO_VALUE).otherwise(F.col("value")).alias("value"),
+    # From the names' side, so that the few stats are what a join may send around.
+    filled = lists.join(all_stats, "place")
+    empty = all_stats.join(named.select("place").distinct(), "place", "left_anti").select(
+        "section", "ord", F.lit(1).cast("bigint").alias("pos"), "stat", F.lit(NO_VALUE).alias("value")
     )
+    return filled.select("section", "ord", F.col("pos").cast("bigint"), "stat", "value").unionByName(empty)
 
 
 def _changed_names(statuses: DataFrame) -> DataFrame:
@@ -220,9 +212,9 @@ def _new_city_names(statuses: DataFrame, place: int) -> DataFrame:
     )
 
 
-def change_lists(statuses: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataFrame:
-    """Names of new, reactivated and removed stations, ordered by name."""
-    return _name_lists(_changed_names(statuses), STATION_LISTS, names_per_row)
+def change_lists(statuses: DataFrame) -> DataFrame:
+    """Names of new, reactivated and removed stations, a row each, numbered by name."""
+    return _name_lists(_changed_names(statuses), STATION_LISTS)
 
 
 def new_cities(statuses: DataFrame) -> DataFrame:
@@ -235,8 +227,8 @@ def new_cities(statuses: DataFrame) -> DataFrame:
     return keep_keys(statuses.select("city_id", "city_name").distinct(), fresh, ["city_id"])
 
 
-def new_city_lists(statuses: DataFrame, names_per_row: int = NAMES_PER_ROW) -> DataFrame:
-    return _name_lists(_new_city_names(statuses, 1), CITY_LISTS, names_per_row)
+def new_city_lists(statuses: DataFrame) -> DataFrame:
+    return _name_lists(_new_city_names(statuses, 1), CITY_LISTS)
 
 
 def new_city_notice(statuses: DataFrame) -> DataFrame:
@@ -245,23 +237,20 @@ def new_city_notice(statuses: DataFrame) -> DataFrame:
     return found.select(F.lit("new_cities").alias("type"), F.lit(NEW_CITY_NOTICE).alias("message"))
 
 
-def status_report(
-    statuses: DataFrame, groups: DataFrame, params: Params = DEFAULTS,
-    names_per_row: int = NAMES_PER_ROW,
-) -> DataFrame:
-    """All sections as (section_ord, section, ord, chunk, stat, value). Pass statuses staged."""
+def status_report(statuses: DataFrame, groups: DataFrame, params: Params = DEFAULTS) -> DataFrame:
+    """All sections as (section_ord, section, ord, pos, stat, value). Pass statuses staged."""
     names = _changed_names(statuses).unionByName(
         _new_city_names(statuses, len(STATION_LISTS) + 1)
     )
-    lists = _name_lists(names, STATION_LISTS + CITY_LISTS, names_per_row)
-    listed = (F.col("section") == SECTIONS[3]) & (F.col("chunk") == 1) & (F.col("value") != NO_VALUE)
+    lists = stage(_name_lists(stage(names, "names"), STATION_LISTS + CITY_LISTS), "lists")
+    listed = (F.col("section") == SECTIONS[3]) & (F.col("pos") == 1) & (F.col("value") != NO_VALUE)
     notice = lists.where(listed).select(
-        "section", F.lit(2).alias("ord"), "chunk", F.lit(None).cast("string").alias("stat"),
+        "section", F.lit(2).alias("ord"), "pos", F.lit(None).cast("string").alias("stat"),
         F.lit(NEW_CITY_NOTICE).alias("value"),
     )
     parts = [
         status_counts(statuses),
-        group_completeness(statuses),
+        group_completeness(statuses, params),
         lists,
         notice,
         group_completeness_in(statuses, groups, params),
@@ -273,18 +262,16 @@ def status_report(
 
 
 def report_lines(report: DataFrame) -> DataFrame:
-    """The report as ordered Markdown lines (section_ord, ord, chunk, line)."""
-    first = (F.col("ord") == 1) & (F.col("chunk") == 1)
+    """The report as ordered Markdown lines (section_ord, ord, pos, line), one for each value."""
+    first = (F.col("ord") == 1) & (F.col("pos") == 1)
     header = F.concat(
         F.when(F.col("section_ord") > 1, "\n").otherwise(""),
         F.lit("## "), "section", F.lit("\n\n"),
     )
-    text = (
-        F.when(F.col("stat").isNull(), F.concat(F.lit("*"), "value", F.lit("*")))
-        .when(F.col("chunk") > 1, F.concat(F.lit("  "), "value"))
-        .otherwise(F.concat(F.lit("- "), "stat", F.lit(": "), "value"))
+    text = F.when(F.col("stat").isNull(), F.concat(F.lit("*"), "value", F.lit("*"))).otherwise(
+        F.concat(F.lit("- "), "stat", F.lit(": "), "value")
     )
     line = F.when(first, F.concat(header, text)).otherwise(text)
-    return report.select("section_ord", "ord", "chunk", line.alias("line")).orderBy(
-        "section_ord", "ord", "chunk"
+    return report.select("section_ord", "ord", "pos", line.alias("line")).orderBy(
+        "section_ord", "ord", "pos"
     )

@@ -53,11 +53,6 @@ OVERSHOOT_STANDARDS = {
     "ae5e689a-863c-11ef-b57b-e6cf434e9f43": "India PM2.5 (yearly)",
 }
 
-GROUP_LABELS = {
-    "ncap_cities": "NCAP Cities",
-    "non_ncap_cities": "Non-NCAP Cities",
-}
-
 STATE_CAPITALS = [
     "Amaravati", "Itanagar", "Dispur", "Patna", "Raipur", "Panaji", "Gandhinagar",
     "Chandigarh", "Shimla", "Ranchi", "Bangalore", "Thiruvananthapuram", "Bhopal",

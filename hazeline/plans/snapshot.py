@@ -13,9 +13,10 @@ Everything else reads staged tables of entity size.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import cached_property
+from functools import cached_property, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +26,12 @@ from hazeline.operators import charts, checks, completion, rankings, status, sum
 from hazeline.operators.prepare import (
     filter_period, flatten_attributes, keep_keys, month_counts, with_year_month,
 )
-from hazeline.operators.rollup import complete_rollup, monthly_rollup
+from hazeline.operators.rollup import (
+    MADE_WITH, complete_rollup, foreign_rollup_rows, monthly_rollup, repeated_rollup_rows,
+    rollup_to_keep,
+)
 from hazeline.params import DEFAULTS, PLAIN_CITIES_MILLION, STATE_CAPITALS, TRACKED_CITIES, Params
-from hazeline.plans.staging import stage
+from hazeline.plans.staging import stage, staged_tables
 from hazeline.sources import readers, writers
 
 
@@ -35,8 +39,12 @@ from hazeline.sources import readers, writers
 class Inputs:
     """Tables a report reads. Stations carry ``latest_data`` and ``status`` columns.
 
-    ``earlier_rollup`` may be a monthly rollup of earlier years kept from other reports; the
-    measurements are then read for the period alone.
+    ``earlier_rollup`` may be a monthly rollup of earlier years kept from other reports (see
+    ``rollup_to_keep``); the measurements are then read for the period alone, and the calendar
+    takes the tracked entities' earlier days from ``earlier_tracked``, which must be given.
+
+    ``landed_rows`` are the landed tables before any filter, by name; rules are evaluated on
+    them, and there is no rule report without them.
     """
 
     measurements: DataFrame
@@ -48,6 +56,8 @@ class Inputs:
     overshoots: DataFrame | None = None
     period_files: DataFrame | None = None
     earlier_rollup: DataFrame | None = None
+    earlier_tracked: DataFrame | None = None
+    landed_rows: dict[str, DataFrame] | None = None
 
     @classmethod
     def landed(
@@ -56,25 +66,38 @@ class Inputs:
     ) -> Inputs:
         """Inputs under one folder, one sub-folder per table."""
         history = readers.history_periods(period, params.history_years)
+        raw = {
+            "measurements": readers.landed_measurements(
+                spark, f"{folder}/measurements", history, fmt
+            ),
+            "station_measurements": readers.landed_measurements(
+                spark, f"{folder}/station_measurements", [(period.start, period.end)], fmt
+            ),
+            "stations": readers.load_stations(spark, f"{folder}/stations", period.start, fmt),
+            "stations_previous": readers.load_stations(
+                spark, f"{folder}/stations", period.previous_month, fmt
+            ),
+            "location_presets": readers.load_groups(spark, f"{folder}/location_presets", fmt),
+            "cities": readers.landed_cities(spark, f"{folder}/cities", fmt),
+        }
 
-        def registry(month):
-            raw = readers.load_stations(spark, f"{folder}/stations", month, fmt)
-            return flatten_attributes(raw, "infos", readers.STATION_INFOS)
+        def registry(name):
+            return flatten_attributes(raw[name], "infos", readers.STATION_INFOS)
 
         return cls(
-            measurements=readers.load_measurements(
-                spark, f"{folder}/measurements", "city", history, fmt=fmt
+            measurements=readers.chosen_measurements(raw["measurements"], "city"),
+            station_measurements=readers.chosen_measurements(
+                raw["station_measurements"], "station"
             ),
-            station_measurements=readers.load_measurements(
-                spark, f"{folder}/station_measurements", "station",
-                [(period.start, period.end)], fmt=fmt,
+            stations=registry("stations"),
+            stations_previous=registry("stations_previous"),
+            groups=raw["location_presets"],
+            cities=raw["cities"].select("id", "longitude", "latitude"),
+            overshoots=readers.load_overshoots(
+                spark, f"{folder}/overshooting", dt.date(period.year, 1, 1)
             ),
-            stations=registry(period.start),
-            stations_previous=registry(period.previous_month),
-            groups=readers.load_groups(spark, f"{folder}/location_presets", fmt),
-            cities=readers.load_cities(spark, f"{folder}/cities", fmt),
-            overshoots=readers.load_overshoots(spark, f"{folder}/overshooting"),
             period_files=readers.load_period_files(spark, f"{folder}/period_files"),
+            landed_rows=raw,
         )
 
 
@@ -99,11 +122,16 @@ class Snapshot:
             years = list(range(first, period.year + 1))
             r = monthly_rollup(m.where(within_years(F.col("date"), period, years)), self.params)
         else:
+            checks.enforce(
+                foreign_rollup_rows(kept, self.params),
+                "The kept rollup was made with other parameters",
+            )
+            checks.enforce(repeated_rollup_rows(kept), "Months more than once in the kept rollup")
             earlier = F.col("year").between(first, period.year - 1) & F.col("month").between(
                 period.start.month, period.end.month
             )
             r = monthly_rollup(filter_period(m, period), self.params)
-            r = r.unionByName(kept.where(earlier))
+            r = r.unionByName(kept.where(earlier).drop(MADE_WITH))
         return stage(r, "rollup")
 
     @cached_property
@@ -131,7 +159,7 @@ class Snapshot:
     def statuses(self) -> DataFrame:
         i = self.inputs
         table = status.status_table(
-            i.stations_previous, i.stations, self.station_months, self.period.days
+            i.stations_previous, i.stations, self.station_months, self.period.days, self.params
         )
         return stage(table, "statuses")
 
@@ -172,15 +200,16 @@ class Snapshot:
         checks.enforce(broken, "Days neither passed nor not passed")
 
     def rule_reports(self) -> DataFrame:
-        """How many rows break each rule of the landed measurements; nothing is stopped."""
-        tables = {"city": self.inputs.measurements, "station": self.inputs.station_measurements}
-        types = readers.type_rules(readers.MEASUREMENTS)
+        """How many rows break each rule of the landed tables; nothing is stopped."""
+        given = self.inputs.landed_rows
         reports = [
-            checks.rule_report(df, readers.measurement_rules(level), types)
-            .withColumn("level", F.lit(level))
-            for level, df in tables.items()
+            checks.rule_report(given[name], rules, readers.type_rules(schema)).select(
+                F.lit(name).alias("table"), "*"
+            )
+            for name, (schema, rules) in readers.table_rules().items()
+            if name in given
         ]
-        return reports[0].unionByName(reports[1])
+        return reduce(DataFrame.unionByName, reports)
 
     def warnings(self) -> DataFrame:
         raw = self.rollup.where(F.col("year") == self.period.year)
@@ -224,6 +253,8 @@ class Snapshot:
             ).orderBy(F.asc_nulls_first("year"), id),
             "warnings": self.warnings(),
         }
+        if i.landed_rows:
+            outputs["rule_reports"] = self.rule_reports().orderBy("table", "rule")
         if i.overshoots is not None:
             outputs["overshooting"] = i.overshoots
         if i.period_files is not None:
@@ -234,16 +265,22 @@ class Snapshot:
         report = status.status_report(self.statuses, self.inputs.groups, self.params)
         return status.report_lines(report).select("line")
 
-    def diagnostics(self) -> dict[str, DataFrame]:
+    @cached_property
+    def completion_tables(self) -> tuple[DataFrame, DataFrame]:
+        """The completion grid, and the entities under the share of days."""
         observed = stage(completion.observed_completion(self.inputs.period_files), "observed")
         grid = stage(completion.completion_grid(observed), "grid")
         order = completion.completion_order(grid, self.params)
+        return grid, stage(completion.under_threshold_entities(order, self.params), "under")
+
+    def diagnostics(self) -> dict[str, DataFrame]:
+        grid, under = self.completion_tables
         name = "measurement_completion"
         return {
             f"{name}_monthly": grid.orderBy("month", "city_name", "gadm1_name", "location_id"),
             f"{name}_monthly_summary": completion.completion_summary(grid, self.params)
             .orderBy("month"),
-            f"{name}_period_under_80": completion.under_threshold_entities(order, self.params),
+            f"{name}_period_under_80": under,
         }
 
     def chart_tables(self) -> dict[str, DataFrame]:
@@ -261,7 +298,7 @@ class Snapshot:
             cells = charts.calendar_cells(self.tracked_series(), self.period, None, p)
         else:
             cells = charts.calendar_cells(self.daily, self.period, self.top, p)
-        return {
+        tables = {
             "compliance_naaqs": charts.donut_slices(
                 summaries.frequency_histogram(frequency, "naaqs_bin")
             ),
@@ -280,18 +317,26 @@ class Snapshot:
             "plain_map_points": charts.map_points(plain),
             "calendar": cells,
         }
+        if i.period_files is not None:
+            grid, under = self.completion_tables
+            under_grid = stage(completion.under_threshold_grid(grid, under), "under-grid")
+            tables["under_threshold_grid"] = under_grid
+            tables["under_threshold_order"] = completion.under_threshold_order(under_grid)
+        return tables
 
     def tracked_series(self) -> DataFrame:
         """Daily rows of the tracked entities in complete years, now and before."""
+        i = self.inputs
+        if i.earlier_rollup is not None and i.earlier_tracked is None:
+            raise checks.DataCheckError(
+                "With a kept rollup the calendar needs the tracked entities' earlier days"
+            )
         first = self.period.year - self.params.history_years
-        years = list(range(first, self.period.year + 1))
-        rows = with_year_month(
-            self.inputs.measurements.where(within_years(F.col("date"), self.period, years))
-        )
-        now = rows.where(F.col("year") == self.period.year)
-        series = rankings.tracked_daily_series(
-            now, rows.where(F.col("year") < self.period.year), self.tracked
-        )
+        years = list(range(first, self.period.year))
+        source = i.measurements if i.earlier_tracked is None else i.earlier_tracked
+        now = with_year_month(filter_period(i.measurements, self.period))
+        before = with_year_month(source.where(within_years(F.col("date"), self.period, years)))
+        series = rankings.tracked_daily_series(now, before, self.tracked)
         return keep_keys(series, self.complete.select("city_id", "year"), ["city_id", "year"])
 
     def missing_coordinates(self) -> DataFrame:
@@ -300,13 +345,23 @@ class Snapshot:
 
 def build_snapshot(
     inputs: Inputs, period: Period, folder: str, params: Params = DEFAULTS, fmt: str = "csv",
-    **lists,
+    keep_rollup: str | None = None, **lists,
 ) -> DataFrame:
     """Check the inputs, write every result and return the entities without a place.
 
-    The returned frame reads a staged table; call ``drop_staged`` once it is no longer needed.
+    Results lie below the period's name, those behind the charts in ``charts`` there. With
+    ``keep_rollup`` the period's own rollup is kept in that folder for later reports. What the
+    report staged is dropped at the end; the returned frame reads a written table.
     """
+    spark, out = inputs.measurements.sparkSession, f"{folder}/{period.text}"
     snapshot = Snapshot(inputs, period, params, **lists)
-    snapshot.check()
-    writers.write_outputs(snapshot.outputs(), f"{folder}/{period.text}", fmt)
-    return snapshot.missing_coordinates()
+    with staged_tables(spark):
+        snapshot.check()
+        writers.write_outputs(snapshot.outputs(), out, fmt)
+        writers.write_outputs(snapshot.chart_tables(), f"{out}/charts", fmt)
+        missing = f"{out}/missing_coordinates"
+        snapshot.missing_coordinates().write.mode("overwrite").parquet(missing)
+        if keep_rollup is not None:
+            own = snapshot.rollup.where(F.col("year") == period.year)
+            rollup_to_keep(own, params).write.mode("overwrite").parquet(f"{keep_rollup}/{period.text}")
+    return spark.read.parquet(missing)

@@ -76,6 +76,18 @@ def city_rules() -> dict[str, Column]:
     return {f"{c} = {v}": F.col(c) == v for c, v in {"country_id": "IN", "level": "city"}.items()}
 
 
+def table_rules() -> dict[str, tuple[T.StructType, dict[str, Column]]]:
+    """Columns and rules of every landed table, by its name."""
+    return {
+        "measurements": (MEASUREMENTS, measurement_rules("city")),
+        "station_measurements": (MEASUREMENTS, measurement_rules("station")),
+        "stations": (STATIONS, station_rules()),
+        "stations_previous": (STATIONS, station_rules()),
+        "location_presets": (GROUPS, {}),
+        "cities": (CITIES, city_rules()),
+    }
+
+
 def type_rules(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema}
 
@@ -100,27 +112,53 @@ def _landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> D
     return require_columns(spark.read.format(fmt).load(path), schema.fieldNames())
 
 
-def load_measurements(
-    spark: SparkSession, path: str, level: str, periods: list[tuple[dt.date, dt.date]],
-    source: str = "cpcb", pollutant: str = "pm25", fmt: str = "parquet",
+def _months(periods: list[tuple[dt.date, dt.date]]) -> list[tuple[int, int]]:
+    """(year, month) of every month that a period touches."""
+    found = set()
+    for start, end in periods:
+        first, last = start.year * 12 + start.month - 1, end.year * 12 + end.month - 1
+        found |= {(m // 12, m % 12 + 1) for m in range(first, last + 1)}
+    return sorted(found)
+
+
+def landed_measurements(
+    spark: SparkSession, path: str, periods: list[tuple[dt.date, dt.date]], fmt: str = "parquet"
 ) -> DataFrame:
-    """Daily values of one level, source and pollutant for one or more date ranges.
+    """All landed rows of one or more date ranges, whatever their level or source.
 
-    On files partitioned by year and month the year is pruned as well as filtered.
+    On files partitioned by year, or by year and month, these are pruned as well as filtered.
     """
     df = _landed(spark, path, MEASUREMENTS, fmt)
     date = F.col("date")
     wanted = F.lit(False)
     for start, end in periods:
         wanted = wanted | date.between(F.lit(start), F.lit(end))
+    months = _months(periods)
     if "year" in df.columns:
-        years = sorted({y for start, end in periods for y in range(start.year, end.year + 1)})
-        df = df.where(F.col("year").isin(years))
-    df = df.where(
+        df = df.where(F.col("year").isin(sorted({year for year, _ in months})))
+    if "month" in df.columns:
+        # The months of the ranges, so a month's report lists one folder a year.
+        df = df.where(F.col("month").cast("int").isin(sorted({month for _, month in months})))
+    return df.where(wanted).select(*MEASUREMENTS.fieldNames())
+
+
+def chosen_measurements(
+    landed: DataFrame, level: str, source: str = "cpcb", pollutant: str = "pm25"
+) -> DataFrame:
+    """Rows of one level, source and pollutant, with broken values NULL."""
+    df = landed.where(
         (F.col("level") == level) & (F.col("process_id") == f"{level}_day_mad")
-        & (F.col("source") == source) & (F.col("pollutant") == pollutant) & wanted
+        & (F.col("source") == source) & (F.col("pollutant") == pollutant)
     )
-    return df.select(*MEASUREMENTS.fieldNames()).withColumn("value", clean_double("value"))
+    return df.withColumn("value", clean_double("value"))
+
+
+def load_measurements(
+    spark: SparkSession, path: str, level: str, periods: list[tuple[dt.date, dt.date]],
+    source: str = "cpcb", pollutant: str = "pm25", fmt: str = "parquet",
+) -> DataFrame:
+    """Daily values of one level, source and pollutant for one or more date ranges."""
+    return chosen_measurements(landed_measurements(spark, path, periods, fmt), level, source, pollutant)
 
 
 def history_periods(period: Period, years: int) -> list[tuple[dt.date, dt.date]]:
@@ -129,6 +167,10 @@ def history_periods(period: Period, years: int) -> list[tuple[dt.date, dt.date]]
     return [*earlier, (period.start, period.end)]
 
 
+def landed_cities(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return _landed(spark, path, CITIES, fmt).select(*CITIES.fieldNames())
+
+
 def load_stations(
     spark: SparkSession, path: str, snapshot_month: dt.date, fmt: str = "parquet"
 ) -> DataFrame:
@@ -144,7 +186,7 @@ def load_groups(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFra
 
 
 def load_cities(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _landed(spark, path, CITIES, fmt).select("id", "longitude", "latitude")
+    return landed_cities(spark, path, fmt).select("id", "longitude", "latitude")
 
 
 def overshoot_rows(documents: DataFrame) -> DataFrame:
@@ -156,10 +198,11 @@ def overshoot_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def load_overshoots(spark: SparkSession, path: str) -> DataFrame:
-    """One JSON document per city, many cities in parallel."""
+def load_overshoots(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """One JSON document per city, many cities in parallel; records from a start date on."""
     schema = T.StructType([T.StructField("data", T.ArrayType(OVERSHOOTS))])
-    return overshoot_rows(spark.read.schema(schema).json(path, multiLine=True))
+    rows = overshoot_rows(spark.read.schema(schema).json(path, multiLine=True))
+    return rows if since is None else rows.where(F.col("date") >= F.lit(since))
 
 
 def load_period_files(spark: SparkSession, root: str) -> DataFrame:

@@ -31,7 +31,7 @@ def test_failed_rules_are_reported(frame):
     df = frame([("observed", 1.0), ("other", 2.0), (None, 3.0)], "variable string, value double")
     report = checks.rule_report(df, {"observed": F.col("variable") == "observed"}, {"value": "double", "variable": "int"})
     assert {tuple(r) for r in rows(report)} == {
-        ("value is double", 0, 3, True), ("variable is int", 3, 3, False), ("observed", 1, 3, False),
+        ("value is double", 0, 0, 3, True), ("variable is int", 3, 0, 3, False), ("observed", 1, 1, 3, False),
     }
 
 
@@ -68,16 +68,24 @@ def test_low_values(frame):
     ]
 
 
-def test_duplicates_stop_and_are_all_in_the_error(frame):
-    data = [day(f"a{i}", 1, 1.0) for i in range(30) for _ in range(2)] + [day("b", 1, 1.0)]
+def test_duplicates_stop_and_are_all_written(spark, frame):
+    data = [day(f"a{i:02}", 1, 1.0) for i in range(50) for _ in range(2)] + [day("b", 1, 1.0)]
     m = frame(data, M)
     found = checks.duplicate_entries(m, month_counts(m))
-    with pytest.raises(checks.DataCheckError, match="Duplicate entries: a") as error:
+    with pytest.raises(checks.DataCheckError, match="Duplicate entries: first 20 of 50: a00, ") as error:
         checks.enforce(found, "Duplicate entries")
-    assert error.value.findings.count() == 30
+    assert error.value.findings.count() == 50
+    folder = str(error.value).rsplit("all in ", 1)[1].rstrip(")")
+    assert spark.read.parquet(folder).count() == 50
     checks.enforce(found.where("entries > 2"), "none")
 
 
+def test_missing_columns_in_a_frame(frame):
+    df = frame([(1, 2)], "a int, b int")
+    assert rows(checks.missing_columns(df, ["b", "c", "d"])) == [("c",), ("d",)]
+    assert rows(checks.missing_columns(df, ["a"])) == []
+
+
 def test_log(spark, frame):
     empty = checks.empty_log(spark)
     assert empty.columns == ["type", "message"] and rows(empty) == []

@@ -6,9 +6,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazeline.functions.periods import period_bounds
-from hazeline.operators import checks, completion, prepare, rankings
+from hazeline.operators import checks, completion, prepare, rankings, status
 from hazeline.operators.rollup import complete_rollup, monthly_rollup
+from hazeline.plans import staging
 from hazeline.plans.staging import drop_staged, stage, staging_folder
+from hazeline.sources import readers
 
 M = (
     "location_id string, city_id string, city_name string, gadm1_id string, gadm1_name string, "
@@ -64,6 +66,8 @@ def test_daily_tops_are_cut_before_the_shuffle(m):
         rankings.stage = original
     cuts, counts = dict(seen)["cuts"], dict(seen)["frequency"]
     assert cuts.count("WindowGroupLimit") == 2
+    assert "ReadSchema: struct<pollutant:string,pollutant_name:string,date:date,value:double>" in cuts
+    assert set(dict(seen)) == {"cuts", "frequency"}
     assert "BroadcastHashJoin" in counts and "Window" not in counts
 
 
@@ -97,6 +101,57 @@ def test_grid_needs_no_join(m):
     assert "Join" not in plan(grid)
 
 
+def test_a_million_names_of_one_class_stay_in_many_tasks(spark):
+    """No exchange by the list alone stands before rows of names."""
+    names = spark.range(1_000_000).select(
+        F.col("id").cast("string"), F.concat(F.lit("S"), F.col("id").cast("string")).alias("name"),
+        F.lit("New").alias("change"),
+    )
+    found = status.change_lists(names)
+    text = plan(found)
+    assert "hashpartitioning(place" not in text and "collect_list" not in text
+    assert "hashpartitioning(_part" in text
+    per_task = found.where("value <> 'No value'").groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in per_task) == 1_000_000 and max(r["count"] for r in per_task) < 600_000
+
+
+def test_months_are_pruned(spark, tmp_path, capsys):
+    fixed = {c: F.lit("x") for c in readers.MEASUREMENTS.fieldNames()}
+    days = spark.range(400).select(F.date_add(F.lit("2024-01-01"), F.col("id").cast("int")).alias("date"))
+    rows = days.withColumns({**fixed, "date": F.col("date"), "value": F.lit(1.0)})
+    path = str(tmp_path / "m")
+    rows.withColumns({"year": F.year("date"), "month": F.month("date")}).write.partitionBy("year", "month").parquet(path)
+    found = readers.landed_measurements(spark, path, [(dt.date(2025, 1, 1), dt.date(2025, 1, 31))])
+    assert found.count() == 31
+    found.explain("formatted")
+    text = capsys.readouterr().out
+    assert "month" in text.split("PartitionFilters")[1].splitlines()[0]
+
+
+def test_the_staging_folder(spark, monkeypatch):
+    class Context:
+        master, applicationId, folder = "spark://host:7077", "app", None
+
+        def getCheckpointDir(self):
+            return self.folder
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        staging.staging_root(Session)
+    Session.conf = {"spark.checkpoint.dir": "file:/tmp/x"}
+    with pytest.raises(RuntimeError, match="local disk"):
+        staging.staging_root(Session)
+    Session.conf = {}
+    Context.folder = "hdfs://host/checkpoints"
+    assert staging.staging_root(Session) == "hdfs://host/checkpoints"
+    Context.folder, Context.master = None, "local[2]"
+    first = staging.staging_root(Session)
+    assert first == staging.staging_root(Session) and Context.folder is None
+
+
 def test_staged_tables_can_be_dropped(spark):
     stage(spark.range(3), "three")
     folder = staging_folder(spark)

@@ -1,5 +1,6 @@
 import datetime as dt
 import random
+from dataclasses import replace
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +8,7 @@ from pyspark.sql.window import Window
 
 from conftest import rows
 from hazeline.operators import rankings
+from hazeline.params import DEFAULTS
 from hazeline.plans.staging import global_row_number
 
 DAILY = (
@@ -15,45 +17,33 @@ DAILY = (
 )
 
 
-def day(d, value, id, city, region):
-    return (dt.date(2026, 6, d), "pm25", "PM2.5", value, id, city, region)
+def week(frame, places):
+    """A value per place and day of a week: places are (id, city, region, value, daily step)."""
+    start = dt.date(2019, 3, 4)
+    data = [
+        (start + dt.timedelta(days=d), "pm25", "PM2.5", value + step * d, id, city, region)
+        for d in range(7) for id, city, region, value, step in places
+    ]
+    return frame(data, DAILY)
 
 
 def test_same_names_show_the_region(frame):
-    df = frame(
-        [
-            day(d, v + d, id, city, region)
-            for d in (1, 2)
-            for v, id, city, region in [
-                (90.0, "bilaspur_ind.7_1_in", "Bilaspur", "Chhattisgarh"),
-                (80.0, "bilaspur_ind.14_1_in", "Bilaspur", "Himachal Pradesh"),
-                (70.0, "raipur_ind.7_1_in", "Raipur", "Chhattisgarh"),
-            ]
-        ],
-        DAILY,
-    )
-    assert rows(rankings.top_n_frequency(df)) == [
-        ("bilaspur_ind.7_1_in", "Bilaspur, CG", 2),
-        ("bilaspur_ind.14_1_in", "Bilaspur, HP", 2),
-        ("raipur_ind.7_1_in", "Raipur", 2),
-    ]
+    df = week(frame, [("u1", "Upton", "Goa", 5.0, 0.0), ("u2", "Upton", "Bihar", 4.0, 1.0), ("v", "Vale", "Goa", 1.0, 0.5)])
+    assert rows(rankings.top_n_frequency(df)) == [("u2", "Upton, BR", 7), ("u1", "Upton, GA", 7), ("v", "Vale", 7)]
 
 
-def test_single_names_stay_short(frame):
-    df = frame(
-        [day(1, 90.0, "d", "Delhi", "Delhi"), day(1, 80.0, "m", "Mumbai", "Maharashtra")], DAILY
-    )
-    assert rows(rankings.top_n_frequency(df)) == [("d", "Delhi", 1), ("m", "Mumbai", 1)]
+def test_names_that_are_single_among_the_listed_stay_short(frame):
+    # u2 is never among the two highest, so nothing tells the name apart.
+    df = week(frame, [("u1", "Upton", "Goa", 9.0, 0.0), ("v", "Vale", "Goa", 8.0, 0.0), ("u2", "Upton", "Bihar", 1.0, 0.0)])
+    found = rankings.top_n_frequency(df, replace(DEFAULTS, top_n=2))
+    assert rows(found) == [("u1", "Upton", 7), ("v", "Vale", 7)]
 
 
-def test_counts_are_by_location(frame):
-    df = frame(
-        [day(1, 90.0, "city_a", "Shared", "Delhi"), day(1, 80.0, "city_b", "Shared", "Delhi")],
-        DAILY,
-    )
-    assert rows(rankings.top_n_frequency(df)) == [
-        ("city_a", "Shared, DL", 1), ("city_b", "Shared, DL", 1),
-    ]
+def test_counts_are_by_location_and_day(frame):
+    # The second place overtakes the first on the fifth day.
+    df = week(frame, [("p", "Port", "Delhi", 8.0, 0.0), ("q", "Port", "Delhi", 0.0, 2.0)])
+    found = rankings.top_n_frequency(df, replace(DEFAULTS, top_n=1))
+    assert rows(found) == [("p", "Port, DL", 5), ("q", "Port, DL", 3)]
 
 
 def test_labels_star_members_and_keep_missing_names(frame):
@@ -89,3 +79,11 @@ def test_row_numbers_cover_the_table_in_order(spark):
     numbered = global_row_number(df, [F.desc("h"), F.asc("id")], "n").collect()
     ordered = sorted(numbered, key=lambda r: (-r["h"], r["id"]))
     assert [r["n"] for r in ordered] == list(range(1, 5001))
+
+
+def test_row_numbers_start_anew_for_each_value(spark):
+    df = spark.range(3000).select((F.col("id") % 3 % 2).alias("k"), F.hash("id").alias("h"), "id").repartition(7)
+    numbered = global_row_number(df, [F.asc("k"), F.desc("h"), F.asc("id")], "n", "k").collect()
+    for k, size in ((0, 2000), (1, 1000)):
+        ordered = sorted((r for r in numbered if r["k"] == k), key=lambda r: (-r["h"], r["id"]))
+        assert [r["n"] for r in ordered] == list(range(1, size + 1))

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from hazeline import Inputs, Params, Snapshot, build_snapshot, period_bounds
-from hazeline.operators.checks import DataCheckError, rule_report
-from hazeline.operators.rollup import monthly_rollup
+from hazeline.operators.checks import DataCheckError
+from hazeline.operators.rollup import monthly_rollup, rollup_to_keep
+from hazeline.plans.staging import staging_folder
 from hazeline.sources import readers
 
 PERIOD = period_bounds("2024-01")
@@ -135,8 +136,8 @@ def test_statuses_and_report(spark, written, inputs):
         "st_bilaspur_7": "No change", "st_bilaspur_14": "No change", "st_agra": "New",
     }
     text = "\n".join(r["line"] for r in Snapshot(inputs, PERIOD, PARAMS).report_text().collect())
-    assert "- New stations: Station Agra 5, Station Kolkata 2\n" in text
-    assert "- Cities with new stations: Agra, Kolkata\n*Please inform" in text
+    assert "- New stations: Station Agra 5\n- New stations: Station Kolkata 2\n" in text
+    assert "- Cities with new stations: Agra\n" in text and "- Cities with new stations: Kolkata\n*Please inform" in text
 
 
 def test_log_and_overshoots(written):
@@ -166,22 +167,77 @@ def test_chart_tables(inputs):
     assert tables["top_city_per_region"].count() == 6
 
 
-def test_a_kept_rollup_stands_in_for_earlier_years(inputs):
-    whole = Snapshot(inputs, PERIOD, PARAMS)
-    kept = monthly_rollup(inputs.measurements.where("date < '2024-01-01'"))
+def kept_inputs(inputs, params=PARAMS, **more):
+    """The same with the earlier years in a kept rollup alone."""
+    kept = rollup_to_keep(monthly_rollup(inputs.measurements.where("date < '2024-01-01'"), params), params)
     only_now = inputs.measurements.where("date >= '2024-01-01'")
-    other = Snapshot(replace(inputs, measurements=only_now, earlier_rollup=kept), PERIOD, PARAMS)
+    return replace(inputs, measurements=only_now, earlier_rollup=kept, **more)
+
+
+def test_a_kept_rollup_stands_in_for_earlier_years(inputs):
+    whole = Snapshot(inputs, PERIOD, PARAMS, tracked=["delhi", "agra"])
+    earlier = inputs.measurements.where("date < '2024-01-01' AND location_id IN ('delhi', 'agra')")
+    other = Snapshot(kept_inputs(inputs, earlier_tracked=earlier), PERIOD, PARAMS, tracked=["delhi", "agra"])
     assert sorted(map(tuple, other.rollup.collect())) == sorted(map(tuple, whole.rollup.collect()))
+    assert sorted(map(tuple, other.tracked_series().collect())) == sorted(map(tuple, whole.tracked_series().collect()))
+
+
+def test_a_calendar_without_its_earlier_days_is_refused(inputs):
+    with pytest.raises(DataCheckError, match="earlier days"):
+        Snapshot(kept_inputs(inputs), PERIOD, PARAMS).chart_tables()
 
 
-def test_landed_tables_keep_their_rules(spark, landed, inputs):
-    report = Snapshot(inputs, PERIOD, PARAMS).rule_reports().collect()
-    assert len(report) == 2 * (8 + 15) and all(r["ok"] for r in report)
-    stations = spark.read.parquet(f"{landed}/stations")
-    found = rule_report(stations, readers.station_rules(), readers.type_rules(readers.STATIONS))
-    assert all(r["ok"] for r in found.collect())
-    found = rule_report(spark.read.parquet(f"{landed}/cities"), readers.city_rules())
-    assert {r["rule"]: r["failed_rows"] for r in found.collect()} == {"country_id = IN": 0, "level = city": 0}
+def test_a_rollup_made_with_other_parameters_is_refused(inputs):
+    other = kept_inputs(inputs, replace(PARAMS, naaqs_limit=1))
+    with pytest.raises(DataCheckError, match="other parameters: first 1 of 1"):
+        Snapshot(other, PERIOD, PARAMS).rollup
+    unmarked = replace(other, earlier_rollup=other.earlier_rollup.drop("made_with"))
+    with pytest.raises(DataCheckError, match="other parameters"):
+        Snapshot(unmarked, PERIOD, PARAMS).rollup
+    kept = kept_inputs(inputs)
+    twice = replace(kept, earlier_rollup=kept.earlier_rollup.unionByName(kept.earlier_rollup))
+    with pytest.raises(DataCheckError, match="more than once in the kept rollup"):
+        Snapshot(twice, PERIOD, PARAMS).rollup
+
+
+def test_rules_see_the_landed_rows_before_any_filter(spark, inputs):
+    report = {(r["table"], r["rule"]): r for r in Snapshot(inputs, PERIOD, PARAMS).rule_reports().collect()}
+    assert {t for t, _ in report} == {
+        "measurements", "station_measurements", "stations", "stations_previous", "location_presets", "cities",
+    }
+    assert all(r["ok"] for r in report.values())
+    landed = dict(inputs.landed_rows)
+    landed["measurements"] = landed["measurements"].withColumns(
+        {
+            "source": F.when(F.col("location_id") == "delhi", "other").otherwise(F.col("source")),
+            "unit": F.when(F.col("location_id") != "agra", F.col("unit")),
+        }
+    )
+    broken = replace(inputs, landed_rows=landed)
+    found = {r["rule"]: r for r in Snapshot(broken, PERIOD, PARAMS).rule_reports().where("table = 'measurements'").collect()}
+    assert found["source = cpcb"]["failed_rows"] == 93 and not found["source = cpcb"]["ok"]
+    assert (found["unit = µg/m3"]["failed_rows"], found["unit = µg/m3"]["unknown_rows"]) == (0, 82)
+
+
+def test_charts_rules_and_the_rollup_are_written(spark, written, landed, inputs, tmp_path):
+    assert written("rule_reports").where("ok = 'false'").count() == 0
+    assert written("charts/calendar").count() > 0 and written("charts/under_threshold_grid").count() == 0
+    assert written("charts/under_threshold_order").count() == 0
+    before = {p.name for p in Path(staging_folder(spark).removeprefix("file:")).iterdir()}
+    build_snapshot(inputs, PERIOD, str(tmp_path / "o"), PARAMS, keep_rollup=str(tmp_path / "kept"))
+    kept = spark.read.parquet(str(tmp_path / "kept/2024-01"))
+    assert kept.select("made_with").distinct().count() == 1 and kept.select("year").distinct().collect() == [(2024,)]
+    assert {p.name for p in Path(staging_folder(spark).removeprefix("file:")).iterdir()} == before
+
+
+def test_overshoots_start_with_the_year(spark, tmp_path):
+    text = '{"data": [%s]}' % ", ".join(
+        f'{{"date": "{d}", "location_id": "x", "is_overshoot": true, "is_overshoot_estimated": false}}'
+        for d in ("2023-12-31", "2024-01-01", "2024-05-05")
+    )
+    (tmp_path / "a.json").write_text(text)
+    found = readers.load_overshoots(spark, str(tmp_path), dt.date(2024, 1, 1))
+    assert sorted(str(r["date"]) for r in found.collect()) == ["2024-01-01", "2024-05-05"]
 
 
 def test_half_year_calendar_takes_the_top_entities(spark, inputs):
@@ -197,7 +253,7 @@ def test_half_year_calendar_takes_the_top_entities(spark, inputs):
         (lambda i: {"stations": i.stations.where("id <> 'st_delhi'")}, "missing from the new registry"),
         (lambda i: {"groups": i.groups.unionByName(i.groups)}, "more than once in ncap_cities"),
         (lambda i: {"measurements": i.measurements.withColumn("value", F.expr("nullif(value, 20.0)"))}, "neither passed"),
-        (lambda i: {"measurements": i.measurements.where("day(date) < 5")}, "Limits not met: days"),
+        (lambda i: {"measurements": i.measurements.where("day(date) < 5")}, "Limits not met: first 1 of 1: days"),
     ],
 )
 def test_hard_stops(inputs, change, message):

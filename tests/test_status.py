@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from hazeline.operators import status as st
 from hazeline.operators.prepare import month_counts
+from hazeline.params import Params
 
 DDL = "id string, name string, city_id string, city_name string, latest_data string, status string"
 
@@ -78,6 +79,12 @@ def test_completeness(frame):
     assert found["3"] == (1.0, ">80% data")
 
 
+def test_the_share_of_days_is_a_parameter(frame):
+    df = frame([(0.5,), (0.7,)], "p double")
+    found = [r[0] for r in rows(df.select(st.completeness_class(df["p"], Params(day_share=0.6))))]
+    assert found == ["<80% data", ">80% data"]
+
+
 def test_completeness_edges(frame):
     df = frame([(0.0,), (0.0099,), (0.01,), (0.7999,), (0.8,), (1.2,), (None,)], "p double")
     found = [r[0] for r in rows(df.select(st.completeness_class(df["p"])))]
@@ -108,7 +115,7 @@ GROUPS = [("ncap_cities", "c1"), ("ncap_cities", "c9"), ("igp_cities", "c2")]
 
 
 def values(df):
-    return [r["value"] for r in df.orderBy("ord", "chunk").collect()]
+    return [r["value"] for r in df.orderBy("ord", "pos").collect()]
 
 
 def test_counts(frame):
@@ -123,7 +130,7 @@ def test_counts(frame):
 
 def test_change_lists_and_new_cities(frame):
     df = statuses(frame)
-    assert values(st.change_lists(df)) == ["A, B, C", "E", "F"]
+    assert values(st.change_lists(df)) == ["A", "B", "C", "E", "F"]
     assert rows(st.new_cities(df)) == [("c1", "One")]
     nothing = df.where("change = 'No change'")
     assert values(st.change_lists(nothing)) == ["No value"] * 3
@@ -132,11 +139,13 @@ def test_change_lists_and_new_cities(frame):
     assert len(rows(st.new_city_notice(df))) == 1
 
 
-def test_long_lists_go_on_in_rows(frame):
-    data = [(str(i), f"S{i:03}", "c", "C", "New", 1.0, ">80% data") for i in range(25)]
-    found = rows(st.change_lists(frame(data, STATUSES), 10).where("ord = 1").orderBy("chunk"), "chunk", "value")
-    assert [c for c, _ in found] == [1, 2, 3]
-    assert ", ".join(v for _, v in found) == ", ".join(f"S{i:03}" for i in range(25))
+@pytest.mark.parametrize("n", [1, 25, 3000])
+def test_lists_of_any_size_have_a_row_per_name(frame, n):
+    data = [(str(i), f"S{i % 1000:04}", "c", "C", "New", 1.0, ">80% data") for i in range(n)]
+    data.append(("x", None, "c", "C", "New", 1.0, ">80% data"))
+    found = rows(st.change_lists(frame(data, STATUSES).repartition(5)).where("ord = 1").orderBy("pos"), "pos", "value")
+    assert [p for p, _ in found] == list(range(1, n + 2))
+    assert [v for _, v in found] == sorted(f"S{i % 1000:04}" for i in range(n)) + ["NA"]
 
 
 def test_report_text(frame):
@@ -144,6 +153,6 @@ def test_report_text(frame):
     lines = [r["line"] for r in st.report_lines(st.status_report(statuses(frame), groups)).collect()]
     text = "\n".join(lines)
     assert text.startswith("## Station Statuses\n\n- CAAQMS installed in India: 6\n")
-    assert "\n\n## Changes in Stations\n\n- New stations: A, B, C\n" in text
+    assert "\n\n## Changes in Stations\n\n- New stations: A\n- New stations: B\n- New stations: C\n" in text
     assert "- Cities with new stations: One\n*Please inform the Data team" in text
     assert text.endswith("- Non-NCAP cities with <1% data: 1")

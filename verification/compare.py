@@ -54,8 +54,8 @@ def difference(spark_df, con, sql) -> tuple[int, str]:
     if mine[0] != theirs[0]:
         return rows, f"columns {mine[0]} != {theirs[0]}"
     if mine[1] != theirs[1]:
-        only = [r for r in mine[1] if r not in set(theirs[1])][:3]
-        other = [r for r in theirs[1] if r not in set(mine[1])][:3]
+        only = sorted(set(mine[1]) - set(theirs[1]))[:3]
+        other = sorted(set(theirs[1]) - set(mine[1]))[:3]
         return rows, f"{len(mine[1])} rows != {len(theirs[1])}; spark {only}; sql {other}"
     return rows, ""
 

@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+# Ids of two standards.
+YEARLY_WHO, YEARLY_INDIA = (
+    "ae5dc5c0-863c-11ef-b57b-e6cf434e9f43", "ae5e689a-863c-11ef-b57b-e6cf434e9f43",
+)
+
 # Regions that get a name with a known short form; the rest keep their nation's name.
 REGION_NAMES = {"NATION_0": "Andhra Pradesh", "NATION_1": "West Bengal"}
 
@@ -65,6 +70,26 @@ def landed(spark: SparkSession, folder: str) -> DataFrame:
     return daily(spark, folder).withColumns({c: F.lit(v) for c, v in fixed.items()})
 
 
+def mixed(spark: SparkSession, folder: str) -> DataFrame:
+    """An event per landed row, of which levels, sources, pollutants, units and years vary."""
+    kind, id = F.col("event_type"), F.col("event_id")
+    back = F.when(id % 3 == 1, 1).when(id % 3 == 2, 9).otherwise(0)
+    level = F.when(kind == "click", "station").otherwise("city")
+    return table(spark, folder, "events").select(
+        F.add_months(F.col("ts").cast("date"), -12 * back).alias("date"),
+        F.concat(level, F.lit("_day_mad")).alias("process_id"), _loc("user_id").alias("location_id"),
+        F.lit("observed").alias("variable"), "value",
+        F.when(kind == "error", "ppm").when(kind != "signup", "µg/m3").alias("unit"),
+        F.when(kind == "purchase", "other").otherwise("cpcb").alias("source"),
+        F.when(kind == "error", "no2").otherwise("pm25").alias("pollutant"),
+        F.lit("PM2.5").alias("pollutant_name"),
+        F.when(F.col("user_id") % 50 != 0, "IN").alias("country_id"), level.alias("level"),
+        _loc("user_id").alias("city_id"),
+        F.concat(F.lit("City "), F.col("user_id").cast("string")).alias("city_name"),
+        F.lit("Region").alias("gadm1_name"), F.lit("r").alias("gadm1_id"),
+    )
+
+
 def groups(spark: SparkSession, folder: str) -> DataFrame:
     users = table(spark, folder, "events").select("user_id").distinct()
     rest = F.col("user_id") % 3
@@ -223,12 +248,28 @@ def period_rows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def overshoot_documents(spark: SparkSession, folder: str) -> DataFrame:
-    """A document with one record per line item; one in three standards is unknown."""
+def period_file_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Shipments with all columns of a landed file, and the name of their monthly file."""
+    fixed = {
+        "process_id": "city_day_mad", "variable": "observed", "unit": "µg/m3", "source": "cpcb",
+        "pollutant": "pm25", "pollutant_name": "PM2.5", "country_id": "IN", "level": "city",
+    }
+    month = F.trunc("date", "MM")
+    rows = _shipments(spark, folder).select(
+        "date", F.col("n_name").alias("location_id"), "value", F.col("n_name").alias("city_id"),
+        F.col("n_name").alias("city_name"), F.col("r_name").alias("gadm1_name"),
+        F.col("r_name").alias("gadm1_id"),
+        F.concat_ws("_", F.lit("measurements"), month, F.last_day("date")).alias("file"),
+    )
+    return rows.withColumns({c: F.lit(v) for c, v in fixed.items()})
+
+
+def overshoot_records(spark: SparkSession, folder: str) -> DataFrame:
+    """A record per line item; one in three standards is unknown."""
     lines = table(spark, folder, "lineitem")
     standard = (
-        F.when(F.col("l_returnflag") == "A", "ae5dc5c0-863c-11ef-b57b-e6cf434e9f43")
-        .when(F.col("l_returnflag") == "N", "ae5e689a-863c-11ef-b57b-e6cf434e9f43")
+        F.when(F.col("l_returnflag") == "A", YEARLY_WHO)
+        .when(F.col("l_returnflag") == "N", YEARLY_INDIA)
         .otherwise("unknown")
     )
     record = F.struct(
@@ -241,4 +282,9 @@ def overshoot_documents(spark: SparkSession, folder: str) -> DataFrame:
         (F.col("l_discount") > 0.05).alias("is_overshoot"),
         (F.col("l_linestatus") == "O").alias("is_overshoot_estimated"),
     )
-    return lines.select(F.array(record).alias("data"))
+    return lines.select("l_suppkey", record.alias("record"))
+
+
+def overshoot_documents(spark: SparkSession, folder: str) -> DataFrame:
+    """A document for each record."""
+    return overshoot_records(spark, folder).select(F.array("record").alias("data"))

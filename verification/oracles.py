@@ -1,12 +1,100 @@
-"""The same results in plain SQL over the given tables."""
+"""The same results in plain SQL over the given tables. Nothing here comes from the library."""
 
 from __future__ import annotations
 
-from hazeline.operators import status as st
-from hazeline.params import (
-    BAND_COLOURS, BANDS, CALENDAR_BINS, FREQUENCY_LABELS, FREQUENCY_SHARES, NEW_CITY_NOTICE,
-    OVERSHOOT_STANDARDS, STATE_ABBREVIATIONS, column_name,
+import re
+
+# --- Fixed values: published standards and report texts, written out once more. ---
+
+BANDS = {
+    "Good": 30,
+    "Satisfactory": 60,
+    "Moderate": 90,
+    "Poor": 120,
+    "Very Poor": 250,
+    "Severe": 1500,
+}
+BAND_COLOURS = {
+    "Good": "#5A8E42",
+    "Satisfactory": "#00FF40",
+    "Moderate": "#FF8000",
+    "Poor": "#FF0000",
+    "Very Poor": "#800000",
+    "Severe": "#000000",
+}
+CALENDAR_BINS = {
+    "0-30": 30,
+    "31-60": 60,
+    "61-90": 90,
+    "91-120": 120,
+    "121-250": 250,
+    ">250": float("inf"),
+}
+FREQUENCY_SHARES = [-0.01, 0.01, 0.25, 0.5, 0.75, 0.99, 1]
+FREQUENCY_LABELS = ["0%", "25%", "50%", "75%", "99%", "100%"]
+YEARLY_WHO, YEARLY_INDIA = "WHO PM2.5 (2021, yearly)", "India PM2.5 (yearly)"
+STATE_ABBREVIATIONS = {
+    "Andaman and Nicobar": "AN",
+    "Andaman and Nicobar Islands": "AN",
+    "Andhra Pradesh": "AP",
+    "Arunachal Pradesh": "AR",
+    "Assam": "AS",
+    "Bihar": "BR",
+    "Chandigarh": "CH",
+    "Chhattisgarh": "CG",
+    "Dadra and Nagar Haveli": "DN",
+    "Dadra and Nagar Haveli and Daman and Diu": "DNHDD",
+    "Daman and Diu": "DD",
+    "Delhi": "DL",
+    "Goa": "GA",
+    "Gujarat": "GJ",
+    "Haryana": "HR",
+    "Himachal Pradesh": "HP",
+    "Jammu and Kashmir": "JK",
+    "Jharkhand": "JH",
+    "Karnataka": "KA",
+    "Kerala": "KL",
+    "Ladakh": "LA",
+    "Lakshadweep": "LD",
+    "Madhya Pradesh": "MP",
+    "Maharashtra": "MH",
+    "Manipur": "MN",
+    "Meghalaya": "ML",
+    "Mizoram": "MZ",
+    "Nagaland": "NL",
+    "Odisha": "OD",
+    "Orissa": "OD",
+    "Puducherry": "PY",
+    "Punjab": "PB",
+    "Rajasthan": "RJ",
+    "Sikkim": "SK",
+    "Tamil Nadu": "TN",
+    "Telangana": "TG",
+    "Tripura": "TR",
+    "Uttar Pradesh": "UP",
+    "Uttarakhand": "UK",
+    "West Bengal": "WB",
+}
+NEW_CITY_NOTICE = (
+    "Please inform the Data team if any of the new cities needs to be added to NCAP cities or "
+    "other groups. This analysis will need to be rerun if that is the case."
 )
+SECTIONS = [
+    "Station Statuses", "City Statuses", "Changes in Stations", "Changes in Cities",
+    "NCAP cities", "Non-NCAP cities",
+]
+STATION_STATS = ["CAAQMS installed in India", "CAAQMS with"]
+CITY_STATS = ["Cities covered by CAAQMS", "Cities with"]
+IN_GROUP_STATS = ["NCAP cities covered by CAAQMS", "NCAP cities with"]
+OUT_GROUP_STATS = ["Non-NCAP cities covered by CAAQMS", "Non-NCAP cities with"]
+SHARE_STATS = [">80% data", "<80% data but >1% data", "<1% data"]
+
+# --- End of the fixed values. ---
+
+
+def column_name(label: str) -> str:
+    return re.sub(r"\W+", "_", label.lower())
+
 
 BAND_COLUMNS = [*map(column_name, BANDS), "unbanded"]
 GOOD_TO_WORST = ", ".join(map(column_name, BANDS))
@@ -113,6 +201,18 @@ CTES: dict[str, tuple[list[str], str]] = {
     FROM entity_pass"""),
     "bins": ([], "SELECT * FROM (VALUES " + ", ".join(
         f"({i + 1}, '{b}')" for i, b in enumerate(FREQUENCY_LABELS)) + ") AS b(bin_ord, bin)"),
+    "mixed": ([], """
+    SELECT CAST(CAST(ts AS DATE) - INTERVAL 1 YEAR * CASE event_id % 3 WHEN 1 THEN 1 WHEN 2 THEN 9 ELSE 0 END AS DATE) AS date,
+           CASE event_type WHEN 'click' THEN 'station_day_mad' ELSE 'city_day_mad' END AS process_id,
+           concat('loc_', user_id) AS location_id, 'observed' AS variable, value,
+           CASE event_type WHEN 'signup' THEN NULL WHEN 'error' THEN 'ppm' ELSE 'µg/m3' END AS unit,
+           CASE event_type WHEN 'purchase' THEN 'other' ELSE 'cpcb' END AS source,
+           CASE event_type WHEN 'error' THEN 'no2' ELSE 'pm25' END AS pollutant,
+           'PM2.5' AS pollutant_name, CASE WHEN user_id % 50 = 0 THEN NULL ELSE 'IN' END AS country_id,
+           CASE event_type WHEN 'click' THEN 'station' ELSE 'city' END AS level,
+           concat('loc_', user_id) AS city_id, concat('City ', user_id) AS city_name,
+           'Region' AS gadm1_name, 'r' AS gadm1_id
+    FROM events"""),
     # --- years ---
     "history": ([], """
     SELECT n_name AS location_id, n_name AS city_id, n_name AS city_name, r_name AS gadm1_id,
@@ -122,6 +222,7 @@ CTES: dict[str, tuple[list[str], str]] = {
     FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
          JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
     GROUP BY ALL"""),
+    "now": (["history"], "SELECT * FROM history WHERE year = 2001 AND month <= 6"),
     "halves": (["history"], """
     SELECT * FROM history h WHERE month <= 6 AND year BETWEEN 1993 AND 2001
       AND (SELECT count(DISTINCT date) FROM history i
@@ -237,81 +338,88 @@ def sql(body: str, *needs: str) -> str:
 
 
 def four_counts(section: str, stats: list[str], source: str, counted: str, below: str = "") -> str:
-    shares = [*zip(st.SHARE_STATS, ["'>80% data'", "'<80% data'" + below, "'No data'"])]
+    shares = [*zip(SHARE_STATS, ["'>80% data'", "'<80% data'" + below, "'No data'"])]
     rows = [f"SELECT 1 AS ord, '{stats[0]}' AS stat, count(*) AS n FROM {source}"]
     rows += [
         f"SELECT {i + 2}, '{stats[1]} {label}', count(*) FILTER (percent_category = {test}) FROM {source}"
         for i, (label, test) in enumerate(shares)
     ]
     return (
-        f"SELECT '{section}' AS section, CAST(ord AS INTEGER) AS ord, CAST(1 AS BIGINT) AS chunk, stat, "
+        f"SELECT '{section}' AS section, CAST(ord AS INTEGER) AS ord, CAST(1 AS BIGINT) AS pos, stat, "
         f"CAST(n AS VARCHAR) AS value FROM ({' UNION ALL '.join(rows)})"
     )
 
 
 NOT_TINY = " AND percent_complete > 0.01"
-STATION_COUNTS = four_counts(st.SECTIONS[0], st.STATION_STATS, "statuses", "")
-CITY_COUNTS = four_counts(st.SECTIONS[1], st.CITY_STATS, "city_share", "", NOT_TINY)
+STATION_COUNTS = four_counts(SECTIONS[0], STATION_STATS, "statuses", "")
+CITY_COUNTS = four_counts(SECTIONS[1], CITY_STATS, "city_share", "", NOT_TINY)
 IN_COUNTS = four_counts(
-    st.SECTIONS[4], st.IN_GROUP_STATS,
+    SECTIONS[4], IN_GROUP_STATS,
     "(SELECT * FROM city_share WHERE city_id IN (SELECT location_id FROM member WHERE name = 'ncap_cities'))",
     "", NOT_TINY,
 )
 OUT_COUNTS = four_counts(
-    st.SECTIONS[5], st.OUT_GROUP_STATS,
+    SECTIONS[5], OUT_GROUP_STATS,
     """(SELECT * FROM city_share c WHERE NOT EXISTS (
         SELECT 1 FROM member WHERE name = 'ncap_cities' AND location_id = c.city_id))""",
     "", NOT_TINY,
 )
 
 
-def name_lists(per_row: int) -> str:
-    return f"""
-    SELECT 'Changes in Stations' AS section, CAST(ord AS INTEGER) AS ord,
-           coalesce(chunk, 1) AS chunk, stat, coalesce(value, 'No value') AS value
+NAME_LISTS = """
+    SELECT 'Changes in Stations' AS section, CAST(ord AS INTEGER) AS ord, coalesce(pos, 1) AS pos, stat,
+           CASE WHEN pos IS NULL THEN 'No value' ELSE coalesce(name, 'NA') END AS value
     FROM (VALUES (1, 'New stations', 'New'), (2, 'Reactivated stations', 'Reactivated'),
                  (3, 'Removed stations', 'Removed this month')) AS s(ord, stat, class)
-    LEFT JOIN (
-      SELECT change, CAST((place - 1) // {per_row} + 1 AS BIGINT) AS chunk,
-             string_agg(coalesce(name, 'NA'), ', ' ORDER BY place) AS value
-      FROM (SELECT *, row_number() OVER (PARTITION BY change ORDER BY name NULLS LAST, id) AS place
-            FROM statuses) GROUP BY ALL) l ON l.change = s.class"""
+    LEFT JOIN (SELECT *, row_number() OVER (PARTITION BY change ORDER BY name NULLS LAST, id) AS pos
+               FROM statuses) l ON l.change = s.class"""
 
 
 NEW_CITY_LIST = """
-    SELECT 'Changes in Cities' AS section, 1 AS ord, CAST(1 AS BIGINT) AS chunk,
-           'Cities with new stations' AS stat,
-           coalesce(string_agg(city_name, ', ' ORDER BY city_name, city_id), 'No value') AS value
-    FROM fresh_city"""
+    SELECT 'Changes in Cities' AS section, 1 AS ord,
+           row_number() OVER (ORDER BY city_name NULLS LAST, city_id) AS pos,
+           'Cities with new stations' AS stat, coalesce(city_name, 'NA') AS value
+    FROM fresh_city
+    UNION ALL
+    SELECT 'Changes in Cities', 1, 1, 'Cities with new stations', 'No value'
+    WHERE NOT EXISTS (SELECT 1 FROM fresh_city)"""
 NOTICE = f"""
-    SELECT 'Changes in Cities' AS section, 2 AS ord, CAST(1 AS BIGINT) AS chunk,
+    SELECT 'Changes in Cities' AS section, 2 AS ord, CAST(1 AS BIGINT) AS pos,
            CAST(NULL AS VARCHAR) AS stat, '{NEW_CITY_NOTICE}' AS value
     WHERE EXISTS (SELECT 1 FROM fresh_city)"""
-PLACE = case_map("section", {s: i + 1 for i, s in enumerate(st.SECTIONS)})
+PLACE = case_map("section", {s: i + 1 for i, s in enumerate(SECTIONS)})
 REPORT = f"""
     SELECT CAST({PLACE} AS INTEGER) AS section_ord, * FROM (
       {' UNION ALL '.join(f'({p})' for p in (
-          STATION_COUNTS, CITY_COUNTS, name_lists(st.NAMES_PER_ROW), NEW_CITY_LIST, NOTICE,
+          STATION_COUNTS, CITY_COUNTS, NAME_LISTS, NEW_CITY_LIST, NOTICE,
           IN_COUNTS, OUT_COUNTS))})"""
 
-HIGH = f"""
+def high(source: str) -> str:
+    return f"""
     SELECT concat('high_pm25_gt', cut) AS type,
            concat('City ', city_id, ' in ', month, ' has an average PM2.5 concentration above ',
                   cut, ' µg/m³: ', {text('mean')}) AS message
-    FROM (SELECT city_id, month(date) AS month, {MEAN} AS mean FROM daily GROUP BY ALL)
+    FROM (SELECT city_id, month(date) AS month, {MEAN} AS mean FROM {source} GROUP BY ALL)
          JOIN (VALUES (50), (60)) AS c(cut) ON mean > cut
     WHERE month IN (10, 11, 12, 1, 2)"""
+
+
+HIGH = high("daily")
 UNEXPECTED = f"""
     SELECT 'southern_city_in_top_10' AS type, concat('City ', city_name, ' is in the top 10') AS message
     FROM (SELECT city_id, city_name, gadm1_id, {MEAN} AS mean FROM daily GROUP BY ALL
           ORDER BY mean DESC, city_id LIMIT 10)
     WHERE gadm1_id IN ('IND.16_1', 'IND.17_1', 'IND.31_1', 'IND.2_1')"""
-LOW = f"""
+def low(source: str) -> str:
+    return f"""
     SELECT CASE WHEN value < 5 THEN 'low_value_lt5' ELSE 'low_value_lt10' END AS type,
            concat('City ', city_id, ' on ', date,
                   CASE WHEN value < 5 THEN ' has a value less than 5: '
                        ELSE ' has a value between 5 and 10: ' END, {text('value')}) AS message
-    FROM daily WHERE value < 10"""
+    FROM {source} WHERE value < 10"""
+
+
+LOW = low("daily")
 COVERAGE = """
     SELECT 'wrong_state_number' AS type,
            concat('Number of states in India in analysis was ', count(DISTINCT gadm1_name),
@@ -372,24 +480,75 @@ def calendar(source: str, first: str, months: str) -> str:
     WHERE NOT EXISTS (SELECT 1 FROM {source} m WHERE m.location_id = y.location_id AND m.date = day)"""
 
 
+REPORT_TOP_PREV = sql(f"""
+    SELECT location_id, city_name, gadm1_name AS "State/UT", monitored_days, {OUT}, exceedance_pct,
+           {GOOD_TO_WORST}, year
+    FROM year_table WHERE year = 2000 AND location_id IN (SELECT location_id FROM top_now)""",
+    "year_table", "top_now")
+
 ORACLES: dict[str, str] = {
     "load_measurements": sql("""
-    SELECT date, 'city_day_mad' AS process_id, location_id, 'observed' AS variable, value,
-           'µg/m3' AS unit, 'cpcb' AS source, pollutant, pollutant_name, 'IN' AS country_id,
-           'city' AS level, city_id, city_name, gadm1_name, gadm1_id FROM daily""", "daily"),
+    SELECT * FROM mixed
+    WHERE level = 'city' AND process_id = 'city_day_mad' AND source = 'cpcb' AND pollutant = 'pm25'
+      AND year(date) BETWEEN 2016 AND 2024 AND month(date) = 1""", "mixed"),
+    "landed_rules": sql("""
+    , n AS (SELECT count(*) AS total_rows,
+                   count(*) FILTER (unit <> 'µg/m3') AS unit, count(*) FILTER (unit IS NULL) AS no_unit,
+                   count(*) FILTER (source <> 'cpcb') AS source, count(*) FILTER (pollutant <> 'pm25') AS pollutant,
+                   count(*) FILTER (level <> 'city') AS station, count(*) FILTER (country_id IS NULL) AS no_country
+            FROM mixed),
+    r AS (SELECT unnest(['variable = observed', 'source = cpcb', 'unit = µg/m3', 'pollutant = pm25',
+                         'pollutant_name = PM2.5', 'country_id = IN', 'level = city', 'process_id = city_day_mad',
+                         'date is date', 'process_id is string', 'location_id is string', 'variable is string',
+                         'value is double', 'unit is string', 'source is string', 'pollutant is string',
+                         'pollutant_name is string', 'country_id is string', 'level is string', 'city_id is string',
+                         'city_name is string', 'gadm1_name is string', 'gadm1_id is string']) AS rule),
+    g AS (SELECT unnest(['name is string', 'location_id is string']) AS rule)
+    SELECT 'measurements' AS "table", rule,
+           CASE rule WHEN 'source = cpcb' THEN source WHEN 'unit = µg/m3' THEN unit
+                     WHEN 'pollutant = pm25' THEN pollutant WHEN 'level = city' THEN station
+                     WHEN 'process_id = city_day_mad' THEN station ELSE 0 END AS failed_rows,
+           CASE rule WHEN 'unit = µg/m3' THEN no_unit WHEN 'country_id = IN' THEN no_country ELSE 0 END AS unknown_rows,
+           total_rows, failed_rows + unknown_rows = 0 AS ok
+    FROM r CROSS JOIN n
+    UNION ALL
+    SELECT 'location_presets', rule, 0, 0, (SELECT count(*) FROM member), TRUE FROM g""",
+        "mixed", "member").replace("\n\n    , n AS", ", n AS"),
+    "missing_columns": """
+    SELECT w.t AS "table", w.c AS "column", n.n AS rows
+    FROM (VALUES ('events', 'ts'), ('events', 'unit'), ('events', 'value'), ('nation', 'n_name'), ('nation', 'n_code'),
+                 ('orders', 'o_orderdate'), ('lineitem', 'l_shipdate'), ('lineitem', 'l_country'), ('lineitem', 'l_level')) w(t, c)
+    JOIN (SELECT 'events' AS t, count(*) AS n FROM events UNION ALL SELECT 'nation', count(*) FROM nation
+          UNION ALL SELECT 'orders', count(*) FROM orders UNION ALL SELECT 'lineitem', count(*) FROM lineitem) n USING (t)
+    WHERE NOT EXISTS (SELECT 1 FROM information_schema.columns i WHERE i.table_name = w.t AND i.column_name = w.c)""",
+    "load_period_files": """
+    SELECT CAST(l_shipdate AS DATE) AS date, n_name AS location_id, l_quantity AS value, n_name AS city_name,
+           r_name AS gadm1_name,
+           concat('measurements_', strftime(date_trunc('month', l_shipdate), '%Y-%m-%d'), '_',
+                  strftime(last_day(l_shipdate), '%Y-%m-%d'), '.csv') AS file
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+         JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+    WHERE l_shipdate >= DATE '2000-01-01'""",
     "load_stations": sql("""
     SELECT id, name, city_id, city_name, 'cpcb' AS source, 'IN' AS country_id, 'station' AS level,
            latest_data, status FROM registry_old""", "registry_old"),
     "load_groups": sql("SELECT name, location_id FROM member", "member"),
     "load_cities": sql("SELECT id, longitude, latitude FROM city", "city"),
-    "load_overshoots": f"""
+    "overshoot_rows": f"""
     SELECT CAST(l_shipdate AS DATE) AS date, concat('loc_', l_suppkey) AS location_id, 'µg/m3' AS unit,
            'cpcb' AS source, 'pm25' AS pollutant, 'IN' AS country_id,
-           CASE l_returnflag WHEN 'A' THEN '{list(OVERSHOOT_STANDARDS.values())[0]}'
-                WHEN 'N' THEN '{list(OVERSHOOT_STANDARDS.values())[2]}' END AS target_id,
+           CASE l_returnflag WHEN 'A' THEN '{YEARLY_WHO}'
+                WHEN 'N' THEN '{YEARLY_INDIA}' END AS target_id,
            l_quantity AS target_value, l_extendedprice AS value_overshoot, '1y' AS averaging_period,
            l_discount AS value_avg_so_far, TRUE AS is_overshoot, FALSE AS is_overshoot_estimated
     FROM lineitem WHERE l_discount > 0.05 AND l_linestatus <> 'O'""",
+    "load_overshoots": f"""
+    SELECT CAST(l_shipdate AS DATE) AS date, concat('loc_', l_suppkey) AS location_id, 'µg/m3' AS unit,
+           'cpcb' AS source, 'pm25' AS pollutant, 'IN' AS country_id,
+           CASE l_returnflag WHEN 'A' THEN '{YEARLY_WHO}' WHEN 'N' THEN '{YEARLY_INDIA}' END AS target_id,
+           l_quantity AS target_value, l_extendedprice AS value_overshoot, '1y' AS averaging_period,
+           l_discount AS value_avg_so_far, TRUE AS is_overshoot, FALSE AS is_overshoot_estimated
+    FROM lineitem WHERE l_discount > 0.05 AND l_linestatus <> 'O' AND l_shipdate >= DATE '1994-01-01'""",
     "filter_period": sql("""
     SELECT location_id, date, value, year, month FROM history
     WHERE date BETWEEN DATE '2001-01-01' AND DATE '2001-06-30'""", "history"),
@@ -520,7 +679,7 @@ ORACLES: dict[str, str] = {
     SELECT rule, total_rows,
            CASE rule WHEN 'date is string' THEN total_rows WHEN 'value over 5' THEN low
                      WHEN 'known region' THEN west ELSE 0 END AS failed_rows,
-           failed_rows = 0 AS ok
+           CAST(0 AS BIGINT) AS unknown_rows, failed_rows = 0 AS ok
     FROM r CROSS JOIN n""", "daily").replace("\n\n    , n AS", ", n AS"),
     "limit_checks": sql("""
     SELECT 'entities' AS check, count(DISTINCT city_id) AS observed, CAST(289 AS DOUBLE) AS "limit",
@@ -581,24 +740,51 @@ ORACLES: dict[str, str] = {
     UNION ALL SELECT 'measurement_completion_period_under_80', count(*) FROM (
       SELECT location_id FROM daily GROUP BY location_id HAVING round(count(DISTINCT date) / 31, 9) <= 0.8)""",
         "statuses", "city_share", "fresh_city", "member", "summary"),
+    "report_top_prev": REPORT_TOP_PREV,
+    "report_kept_rollup": REPORT_TOP_PREV,
+    "report_tracked": sql(f"""
+    SELECT location_id, city_name, round(mean, 6) AS mean, {GOOD_TO_WORST}, unbanded, monitored_days,
+           exceedance_pct, CASE WHEN year < 2001 THEN year END AS year,
+           CASE WHEN year < 2001 THEN not_pass_naaqs END AS not_pass_naaqs
+    FROM year_means JOIN year_days USING (location_id, year)
+    WHERE location_id IN (SELECT location_id FROM tracked)""", "year_means", "year_days", "tracked"),
+    "report_warnings": sql(f"""
+    SELECT type, message FROM (({high('now')}) UNION ALL ({low('now')}) UNION ALL ({NEW_CITY_WARNING})
+      UNION ALL SELECT 'wrong_state_number', concat('Number of states in India in analysis was ',
+                       count(DISTINCT gadm1_name), ' less than 26')
+                FROM halves WHERE year = 2001 HAVING count(DISTINCT gadm1_name) < 26)""",
+        "now", "halves", "fresh_city"),
+    "report_completion": sql("""
+    SELECT month, snapshot_month, count(DISTINCT location_id) AS total_locations,
+           count(*) FILTER (days_with_data > 0) AS locations_with_any_data,
+           count(*) FILTER (percent_days >= 0.6) AS locations_with_80_percent_data,
+           round(round(avg(percent_days), 9), 6) AS mean_percent_days,
+           round(median(percent_days), 6) AS median_percent_days
+    FROM grid GROUP BY month, snapshot_month""", "grid"),
+    "top_n_frequency_ties": sql(f"""
+    , ranked AS (SELECT *, rank() OVER (PARTITION BY date, pollutant, pollutant_name
+                                        ORDER BY floor(value / 20) DESC NULLS LAST) AS place FROM daily),
+    counted AS (SELECT location_id, city_name, gadm1_name, count(*) AS count FROM ranked
+                WHERE place <= 10 GROUP BY ALL)
+    SELECT location_id, city_label, count FROM ({labels('counted', False)})""", "daily").replace(
+        "\n\n    , ranked", ", ranked"),
     "status_change": sql("SELECT * FROM changed", "changed"),
     "completeness": sql("SELECT * REPLACE (round(percent_complete, 6) AS percent_complete) FROM share", "share"),
     "status_table": sql("""
     SELECT * REPLACE (round(percent_complete, 6) AS percent_complete) FROM statuses""", "statuses"),
     "status_counts": sql(STATION_COUNTS, "statuses"),
     "group_completeness": sql(CITY_COUNTS, "city_share"),
-    "change_lists": sql(name_lists(10), "statuses"),
+    "change_lists": sql(NAME_LISTS, "statuses"),
     "new_cities": sql("SELECT * FROM fresh_city", "fresh_city"),
     "group_in": sql(IN_COUNTS, "city_share", "member"),
     "group_out": sql(OUT_COUNTS, "city_share", "member"),
     "status_report": sql(REPORT, "statuses", "city_share", "fresh_city", "member"),
     "status_report_lines": sql(f"""
-    SELECT section_ord, ord, chunk,
-           concat(CASE WHEN ord = 1 AND chunk = 1 THEN
+    SELECT section_ord, ord, pos,
+           concat(CASE WHEN ord = 1 AND pos = 1 THEN
                     concat(CASE WHEN section_ord > 1 THEN chr(10) ELSE '' END, '## ', section, chr(10), chr(10))
                   ELSE '' END,
                   CASE WHEN stat IS NULL THEN concat('*', value, '*')
-                       WHEN chunk > 1 THEN concat('  ', value)
                        ELSE concat('- ', stat, ': ', value) END) AS line
     FROM ({REPORT})""", "statuses", "city_share", "fresh_city", "member"),
     "observed_completion": sql("""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from dataclasses import replace
 from functools import reduce
@@ -15,7 +16,7 @@ from hazeline.functions.numbers import clean_double
 from hazeline.functions.periods import period_bounds, period_struct
 from hazeline.operators import charts, checks, completion, rankings, status, summaries
 from hazeline.operators import prepare
-from hazeline.operators.rollup import complete_rollup, monthly_rollup
+from hazeline.operators.rollup import complete_rollup, monthly_rollup, rollup_to_keep
 from hazeline.params import DEFAULTS
 from hazeline.plans.snapshot import Inputs, Snapshot
 from hazeline.plans.staging import stage, staging_folder
@@ -67,7 +68,8 @@ def history_rollup(spark, d) -> DataFrame:
     """Complete rollup of the half-year and the same half of the years before."""
     years = list(range(HALF_YEAR.year - DEFAULTS.history_years, HALF_YEAR.year + 1))
     rows = fx.history(spark, d).where(periods.within_years(F.col("date"), HALF_YEAR, years))
-    return complete_rollup(stage(monthly_rollup(rows), "history"), HALF_THRESHOLD)
+    r = complete_rollup(stage(monthly_rollup(rows), "history"), HALF_THRESHOLD)
+    return stage(r, "complete")
 
 
 def now_and_before(spark, d) -> tuple[DataFrame, DataFrame]:
@@ -105,12 +107,43 @@ def land(df: DataFrame, name: str, *by: str) -> str:
 
 @query
 def load_measurements(spark, d):
-    landed = fx.landed(spark, d).withColumn("year", F.year("date"))
-    path = land(landed, "measurements", "year")
+    """January and its eight earlier years out of rows of many years, levels and sources."""
+    landed = fx.mixed(spark, d).withColumns({"year": F.year("date"), "month": F.month("date")})
+    path = land(landed, "measurements", "year", "month")
     ranges = readers.history_periods(JANUARY, DEFAULTS.history_years)
     return readers.load_measurements(spark, path, "city", ranges)
 
 
+@query
+def landed_rules(spark, d):
+    """Rules on landed rows before any filter, of two tables."""
+    rows = fx.mixed(spark, d)
+    inputs = Inputs(
+        measurements=rows, station_measurements=rows, stations=rows, stations_previous=rows,
+        groups=fx.groups(spark, d), cities=rows,
+        landed_rows={"measurements": rows, "location_presets": fx.groups(spark, d)},
+    )
+    return Snapshot(inputs, JANUARY).rule_reports()
+
+
+WANTED_COLUMNS = {
+    "events": ["ts", "unit", "value"], "nation": ["n_name", "n_code"], "orders": ["o_orderdate"],
+    "lineitem": ["l_shipdate", "l_country", "l_level"],
+}
+
+
+@query
+def missing_columns(spark, d):
+    """Columns that given tables lack, and how many rows lack them."""
+    found = []
+    for name, columns in WANTED_COLUMNS.items():
+        table = fx.table(spark, d, name)
+        missing = checks.missing_columns(table, columns)
+        rows = table.agg(F.count("*").alias("rows"), F.lit(name).alias("table"))
+        found.append(missing.withColumn("table", F.lit(name)).join(rows, "table"))
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def load_stations(spark, d):
     """The registry of the month before, out of a table of months, attributes unpacked."""
@@ -130,10 +163,40 @@ def load_cities(spark, d):
 
 
 @query
-def load_overshoots(spark, d):
+def overshoot_rows(spark, d):
     return readers.overshoot_rows(fx.overshoot_documents(spark, d))
 
 
+@query
+def load_overshoots(spark, d):
+    """JSON documents as they land, a file for each of fifty cities, from a start date on."""
+    records = fx.overshoot_records(spark, d).groupBy((F.col("l_suppkey") % 50).alias("city"))
+    documents = records.agg(F.to_json(F.struct(F.collect_list("record").alias("data"))).alias("value"))
+    path = f"{staging_folder(spark)}/landed-overshoots-{uuid.uuid4().hex}"
+    documents.write.partitionBy("city").text(path)
+    return readers.load_overshoots(spark, path, dt.date(1994, 1, 1))
+
+
+@query
+def load_period_files(spark, d):
+    """CSV files under the names they land with, a folder for each; those before 2000 have
+    names that are no period files'."""
+    path = f"{staging_folder(spark)}/landed-files-{uuid.uuid4().hex}"
+    rows = fx.period_file_rows(spark, d)
+    rows.repartition("file").write.partitionBy("file").option("header", True).csv(path)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in files.globStatus(hadoop.Path(f"{path}/file=*")):
+        name = folder.getPath().getName().removeprefix("file=")
+        (part,) = files.globStatus(hadoop.Path(folder.getPath(), "part-*"))
+        files.rename(part.getPath(), hadoop.Path(folder.getPath(), f"{name}.csv"))
+    found = readers.load_period_files(spark, path)
+    return found.select(
+        "date", "location_id", "value", "city_name", "gadm1_name",
+        F.substring_index("file_name", "/", -1).alias("file"),
+    )
+
+
 @query
 def filter_period(spark, d):
     rows = prepare.filter_period(fx.history(spark, d), HALF_YEAR)
@@ -301,7 +364,14 @@ def top_n_frequency(spark, d):
     rows = prepare.complete_entities(
         fx.daily(spark, d), JANUARY.day_threshold(DEFAULTS.day_share)
     )
-    return rankings.top_n_frequency(stage(rows, "daily"))
+    return rankings.top_n_frequency(rows)
+
+
+@query
+def top_n_frequency_ties(spark, d):
+    """Values in steps of twenty, so that many entities tie at the tenth place."""
+    rows = fx.daily(spark, d).withColumn("value", F.floor(F.col("value") / 20).cast("double"))
+    return rankings.top_n_frequency(rows)
 
 
 @query
@@ -343,10 +413,12 @@ def tracked_all_years(spark, d):
 
 @query
 def tracked_daily(spark, d):
-    rows = stage(fx.history(spark, d), "rows")
+    # The listed entities first: their filter reaches the scan of the days.
+    listed = stage(fx.history_tracked(spark, d), "listed")
+    rows = prepare.keep_keys(fx.history(spark, d), listed, ["location_id"])
     now = prepare.with_year_month(prepare.filter_period(rows, HALF_YEAR))
     before = prepare.previous_periods(rows, HALF_YEAR, HALF_THRESHOLD)
-    series = rankings.tracked_daily_series(now, before, fx.history_tracked(spark, d))
+    series = rankings.tracked_daily_series(now, before, listed)
     return series.select("location_id", "date", "value", "year", "month")
 
 
@@ -481,6 +553,54 @@ def report_sizes(spark, d):
     return reduce(DataFrame.unionByName, sizes)
 
 
+HALF_PARAMS = replace(DEFAULTS, high_season_cuts=[50, 60], day_share=0.6)
+
+
+def history_report(spark, d, **changes) -> Snapshot:
+    """A half-year's report with eight earlier years."""
+    history = fx.history(spark, d)
+    inputs = Inputs(
+        measurements=history, station_measurements=history, stations=fx.registry_new(spark, d),
+        stations_previous=fx.registry_old(spark, d), groups=fx.history_groups(spark, d),
+        cities=no_places(spark), period_files=fx.period_rows(spark, d),
+    )
+    inputs = replace(inputs, **changes)
+    return Snapshot(inputs, HALF_YEAR, HALF_PARAMS, tracked=fx.history_tracked(spark, d))
+
+
+@query
+def report_top_prev(spark, d):
+    return rounded(history_report(spark, d).outputs()["top10_polluted_cities_prev"])
+
+
+@query
+def report_kept_rollup(spark, d):
+    """The same with the earlier years out of a kept rollup and no earlier days."""
+    history = fx.history(spark, d)
+    earlier = history.where(F.col("date") < F.lit(HALF_YEAR.start))
+    path = f"{staging_folder(spark)}/kept-{uuid.uuid4().hex}"
+    rollup_to_keep(monthly_rollup(earlier, HALF_PARAMS), HALF_PARAMS).write.parquet(path)
+    now = history.where(F.col("date") >= F.lit(HALF_YEAR.start))
+    report = history_report(spark, d, measurements=now, earlier_rollup=spark.read.parquet(path))
+    return rounded(report.outputs()["top10_polluted_cities_prev"])
+
+
+@query
+def report_tracked(spark, d):
+    return rounded(history_report(spark, d).outputs()["top5_populous_cities"])
+
+
+@query
+def report_warnings(spark, d):
+    return history_report(spark, d).outputs()["warnings"]
+
+
+@query
+def report_completion(spark, d):
+    summary = history_report(spark, d).outputs()["measurement_completion_monthly_summary"]
+    return rounded(summary, "mean_percent_days", "median_percent_days")
+
+
 # --- status ---
 
 
@@ -511,7 +631,7 @@ def group_completeness(spark, d):
 
 @query
 def change_lists(spark, d):
-    return status.change_lists(statuses(spark, d), names_per_row=10)
+    return status.change_lists(stage(statuses(spark, d), "statuses"))
 
 
 @query
