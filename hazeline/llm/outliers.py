@@ -24,6 +24,8 @@ from hazeline.plans.staging import stage
 
 MIN_WORDS, WINDOW_WORDS, MAX_REPEATED = 20, 8, 30
 SHARE, STEPS, MIN_GROUP = 0.75, 5, 50
+#: Parts into which joins with the estimates deal every group.
+SALTS = 16
 #: Consistency of the covariance of the nearest three quarters at five normal dimensions.
 CONSISTENCY = 1.41
 #: Squared distance from which a row goes: far beyond all normal quantiles, as counts are skewed.
@@ -145,6 +147,13 @@ def squared_distance() -> Column:
     return reduce(add, [p * p for p in parts])
 
 
+def with_estimates(vectors: DataFrame, estimates: DataFrame, how: str = "inner") -> DataFrame:
+    """Rows with the estimates of their group. Groups are dealt in parts, so that the largest one
+    fills many tasks also where the estimates are too many to be sent around."""
+    parts = estimates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return vectors.join(parts, ["g", "salt"], how)
+
+
 def first_estimates(vectors: DataFrame, least: int) -> DataFrame:
     """Medians and quartile ranges per group, of groups that are large enough."""
     quartiles = [F.percentile_approx(_x(i), [0.25, 0.5, 0.75], 10000).alias(f"q{i}") for i in DIMS]
@@ -159,7 +168,7 @@ def concentrated(vectors: DataFrame, estimates: DataFrame, share: float) -> Data
     """One concentration step: estimates from the nearest bins that hold the share of a group."""
     at = F.floor(BINS_PER_DOUBLING * F.log2(squared_distance() + LEAST)).cast("int")
     sums = [F.sum(_x(i)).alias(f"s{i}") for i in DIMS] + [F.sum(_x(i) * _x(j)).alias(f"s{i}_{j}") for i, j in PAIRS]
-    bins = vectors.join(estimates, "g").withColumn("bin", at).groupBy("g", "bin").agg(F.count("*").alias("n"), *sums)
+    bins = with_estimates(vectors, estimates).withColumn("bin", at).groupBy("g", "bin").agg(F.count("*").alias("n"), *sums)
     group = Window.partitionBy("g")
     before = F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     near = bins.withColumn("before", before).withColumn("all", F.sum("n").over(group))
@@ -188,9 +197,10 @@ def quality_verdicts(docs: DataFrame, cut: float = CUT, least: int = MIN_GROUP)
     grouped = found.join(groups, "_key", "left").withColumns(
         {"g": F.when(passed, F.col("g"))} | {f"x{i}": F.when(passed, c) for i, c in enumerate(vector())}
     )
-    vectors = stage(grouped.drop("_key"), "vectors")
+    salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")
+    vectors = stage(grouped.drop("_key").withColumn("salt", salt), "vectors")
     estimates = robust_estimates(vectors.where(passed), least)
-    judged = vectors.join(estimates, "g", "left").withColumn("distance", F.sqrt(squared_distance()))
+    judged = with_estimates(vectors, estimates, "left").withColumn("distance", F.sqrt(squared_distance()))
     kept = passed & F.coalesce(F.col("distance") <= cut**0.5, F.lit(True))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",

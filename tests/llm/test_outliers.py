@@ -55,8 +55,8 @@ def test_estimates_equal_numpy(spark):
     rng = np.random.default_rng(5)
     groups = {"a": rng.normal(0, 1, (400, 5)) @ rng.normal(0, 0.5, (5, 5)), "b": rng.normal(3, 0.2, (120, 5))}
     groups["a"][:60] += 40
-    rows = [(g, *map(float, x)) for g, xs in groups.items() for x in xs]
-    vectors = spark.createDataFrame(rows, "g string, " + ", ".join(f"x{i} double" for i in range(5)))
+    rows = [(g, i % outliers.SALTS, *map(float, x)) for g, xs in groups.items() for i, x in enumerate(xs)]
+    vectors = spark.createDataFrame(rows, "g string, salt int, " + ", ".join(f"x{i} double" for i in range(5)))
     for r in outliers.robust_estimates(vectors).collect():
         middle, white = numpy_estimate(groups[r.g])
         np.testing.assert_allclose([r[f"m{i}"] for i in range(5)], middle, rtol=1e-6, atol=1e-8)
