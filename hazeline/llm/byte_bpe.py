@@ -20,6 +20,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.llm.inputs import in_slices
+
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_CHARS = 1 << 16
 BOUNDARY = re.compile(r"(?<=\S)(?=\s)")
@@ -64,7 +66,7 @@ def with_ids(docs: DataFrame, ranks: str = RANKS, pattern: str = public_tokenize
 
     def per_batch(batches):
         coder = encoding(ranks, pattern)
-        for batch in batches:
+        for batch in in_slices(batches):
             ids = [encode(t or "", coder).tobytes() for t in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(ids, pa.binary())], ["doc_id", "ids"])
 
@@ -78,7 +80,7 @@ def with_bytes(encoded: DataFrame, ranks: str = RANKS, pattern: str = public_tok
 
     def per_batch(batches):
         coder = encoding(ranks, pattern)
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = [decode(np.frombuffer(b, "<u4"), coder) for b in batch["ids"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["ids"], pa.array(texts, pa.binary())], ["doc_id", "ids", "decoded"]

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.inputs import text_bytes
+from hazeline.llm.inputs import in_slices, text_bytes
 
 # Phrases that name a licence, and notices of public licences in lower case.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
@@ -212,7 +212,7 @@ def licence_scan(docs: DataFrame, min_cover: float = MIN_COVER) -> DataFrame:
     """
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             rows = [scan(t, min_cover) for t in batch["_text"].to_pylist()]
             rows = [r | {"doc_id": d} for r, d in zip(rows, batch["doc_id"].to_pylist())]
             yield pa.RecordBatch.from_pylist(rows, SCHEMA)

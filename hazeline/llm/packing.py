@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.inputs import text_bytes
+from hazeline.llm.inputs import in_slices, text_bytes
 from hazeline.llm.word_ids import WORD_BPE, chunk_ids
 
 WINDOW, END_ID, SHARD_TOKENS, QUERY_TERMS, NEIGHBOURS, K1, B = 4096, 2, 1 << 20, 32, 64, 1.2, 0.75
@@ -135,7 +135,7 @@ def packed(docs: DataFrame, tokenizer: str = WORD_BPE, size: int = WINDOW, with_
     def shards(batches):
         keys, held, tokens = [], [], 0
         coder = chunk_ids(tokenizer)
-        for batch in batches:
+        for batch in in_slices(batches):
             for key, text in zip(batch["doc_id"].to_pylist(), batch["_text"].to_pylist()):
                 ids = np.append(coder.encode(text), np.uint16(END_ID))
                 keys.append(key)

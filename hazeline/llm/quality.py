@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazeline.llm.inputs import fold_of, text_bytes, texts_of
+from hazeline.llm.inputs import fold_of, in_slices, text_bytes, texts_of
 from hazeline.plans.staging import stage
 
 SAMPLE, BUCKETS, ROUNDS, RIDGE, KEEP_TAIL = 8192, 1 << 15, 150, 1e-3, 0.5
@@ -159,7 +159,7 @@ def fit(docs: DataFrame, rated: DataFrame, most: int = SAMPLE) -> OrdinalModel:
     sample = known.where((F.xxhash64("_id") / F.lit(2.0**64) + 0.5) <= share)
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             vectors = [hashed(t) for t in batch["_text"].to_pylist()]
             places = [np.fromiter(v.keys(), "<i4", len(v)).tobytes() for v in vectors]
             values = [np.fromiter(v.values(), "<f4", len(v)).tobytes() for v in vectors]
@@ -190,7 +190,7 @@ def score(docs: DataFrame, model: OrdinalModel, keep_tail: float = KEEP_TAIL) ->
     """
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             tails = [model.tails(hashed(t)) for t in batch["_text"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -211,7 +211,7 @@ def selected_documents(docs: DataFrame, labels: DataFrame, keep_tail: float = KE
     model = fit(docs, ratings(labels))
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             keep = [bool(model.tails(hashed(t))[0] >= keep_tail) for t in texts_of(batch)]
             yield batch.filter(pa.array(keep, pa.bool_()))
 

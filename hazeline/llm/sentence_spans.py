@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hazeline.llm.inputs import spare_name, text_bytes
+from hazeline.llm.inputs import in_slices, spare_name, text_bytes
 from hazeline.plans.staging import stage
 
 MIN_SENTENCES, MIN_WORDS, MAX_WORDS, SEED = 2, 16, 25, 42
@@ -72,7 +72,7 @@ def spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, _row, starts, hashes): the spans of each text, in order."""
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             both = [span_hashes(sentences(t), min_words) for t in batch["_text"].to_pylist()]
             starts = pa.array([b[0] for b in both], pa.list_(pa.int32()))
             hashes = pa.array([np.array(b[1], np.uint64).view(np.int64) for b in both], pa.list_(pa.int64()))
@@ -115,7 +115,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     found = repeated(keys, min_words).select(F.col("_row").alias(again), F.col("starts").alias(starts))
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             texts, counts, gone = [], [], []
             for text, first in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[starts].to_pylist()):
                 parts = sentences(text or b"")

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from hazeline.llm.components import connected_components
 from hazeline.llm.golay import codeword_indices
-from hazeline.llm.inputs import text_bytes
+from hazeline.llm.inputs import in_slices, text_bytes
 from hazeline.plans.staging import stage
 
 SHINGLE_WORDS, SEED, LINK_BITS, PAIRED = 3, 42, 2, 64
@@ -54,7 +54,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp): the fingerprint as a signed long. Null, empty and blank texts give 0."""
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [fingerprint(t, words) for t in batch["_text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["doc_id"], pa.array(found, pa.int64())], ["doc_id", "fp"])
 

@@ -20,6 +20,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazeline.llm.inputs import in_slices
+
 LAMBDA, KERNEL = 0.12, (0.25, 0.5, 0.25)
 ARTICLE_BONUS, LINK_SHARE = 3.0, 0.6
 
@@ -225,7 +227,7 @@ def extracted(pages: DataFrame) -> DataFrame:
     """(page_id, url, text, n_chars, n_paths) of every row; a null page is an empty one."""
 
     def per_batch(batches):
-        for batch in batches:
+        for batch in in_slices(batches):
             found = [main_text(h) for h in batch["html"].to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
