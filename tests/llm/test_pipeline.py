@@ -13,9 +13,7 @@ def test_stages_in_order_and_columns(spark, documents):
         assert docs.columns == documents.columns
         docs = spark.createDataFrame(docs.collect(), documents.schema)
         kept.append(docs.count())
-    assert kept[0] > kept[1] >= kept[2] == kept[3] > 0
-    prints = [simhash.fingerprint((r.text or "").encode()) for r in docs.collect()]
-    assert prints
+    assert documents.count() > kept[0] >= kept[1] >= kept[2] == kept[3] > 0
 
 
 def test_run_equals_the_operators_one_after_another(spark, documents, labels):
