@@ -229,5 +229,6 @@ def query(spark, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     scored = score(docs, fit(docs, ratings(table(spark, folder, "labels"))))
     return scored.select(
-        "doc_id", "expected_grade", tail_of(1).alias("p_grade_1"), tail_of(2).alias("p_grade_2"), "selected"
+        "doc_id", "expected_grade", tail_of(1).alias("p_grade_1"), tail_of(2).alias("p_grade_2"),
+        F.col("selected").alias("kept"),
     )
