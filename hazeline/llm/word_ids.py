@@ -15,7 +15,7 @@ import numpy as np
 import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-CACHED, TOGETHER = 300_000, 1000
+CACHED, TOGETHER = 150_000, 1000
 PLAIN = re.compile("[a-zà-öø-ÿ]+")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
