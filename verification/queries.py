@@ -138,9 +138,9 @@ def missing_columns(spark, d):
     found = []
     for name, columns in WANTED_COLUMNS.items():
         table = fx.table(spark, d, name)
+        rows = table.agg(F.count("*")).scalar()
         missing = checks.missing_columns(table, columns)
-        rows = table.agg(F.count("*").alias("rows"), F.lit(name).alias("table"))
-        found.append(missing.withColumn("table", F.lit(name)).join(rows, "table"))
+        found.append(missing.select(F.lit(name).alias("table"), "column", rows.alias("rows")))
     return reduce(DataFrame.unionByName, found)
 
 
