@@ -7,6 +7,11 @@ keeps its first occurrence, in order of doc_id and place; the sentences of all o
 A sentence ends at a line's end, or after a full stop, exclamation or question mark before
 white space; one of more than ``MAX_WORDS`` words is divided after each ``MAX_WORDS``, so text
 without marks still has spans. White space around sentences doesn't count in a span.
+
+With ``by_content``, as the query and the pipeline have it, a long sentence is divided before the
+smallest word hash of each ``PIECE_WORDS`` words in a row instead, so equal words are divided
+alike wherever they stand, but for the first and last few of a passage; and every sentence ends
+a span too, the fewest up to it, so that short sentences at a passage's end go.
 """
 
 from __future__ import annotations
@@ -23,13 +28,25 @@ from pyspark.sql import types as T
 from hazeline.llm.inputs import in_slices, spare_name, text_bytes
 from hazeline.plans.staging import stage
 
-MIN_SENTENCES, MIN_WORDS, MAX_WORDS, SEED = 2, 16, 25, 42
+MIN_SENTENCES, MIN_WORDS, MAX_WORDS, PIECE_WORDS, SEED = 2, 16, 25, 8, 42
 LAST = (1 << 63) - 1
 ENDS = re.compile(rb"[.!?]+(?=\s)[^\S\n]*\n?|\n")
 LONG = re.compile(rb"(?:\s*\S+){1,%d}\s*" % MAX_WORDS)
+WORD = re.compile(rb"\S+")
+
+
+def pieces(sentence: bytes) -> list[bytes]:
+    """A long sentence in pieces of at most ``PIECE_WORDS`` words, cut by its words alone."""
+    places, hashes = [], []
+    for word in WORD.finditer(sentence):
+        places.append(word.start())
+        hashes.append(xxhash.xxh64_intdigest(word[0], SEED))
+    runs = np.lib.stride_tricks.sliding_window_view(np.array(hashes, np.uint64), PIECE_WORDS)
+    cuts = [places[i] for i in np.unique(runs.argmin(axis=1) + np.arange(len(runs))) if i]
+    return [sentence[i:j] for i, j in zip([0, *cuts], [*cuts, len(sentence)])]
 
 
-def sentences(text: bytes) -> list[bytes]:
+def sentences(text: bytes, by_content: bool = False) -> list[bytes]:
     """Sentences with the white space after them; joined they are the text."""
     found, start = [], 0
     for stop in [*(m.end() for m in ENDS.finditer(text)), len(text)]:
@@ -37,7 +54,7 @@ def sentences(text: bytes) -> list[bytes]:
         if not part:
             continue
         if len(part) > 2 * MAX_WORDS and len(part.split()) > MAX_WORDS:
-            found += LONG.findall(part)
+            found += pieces(part) if by_content else LONG.findall(part)
         else:
             found.append(part)
     return found
@@ -58,47 +75,57 @@ def span_ends(counts: list[int], min_words: int) -> list[int]:
     return ends
 
 
-def span_hashes(parts: list[bytes], min_words: int) -> tuple[list[int], list[int]]:
-    """Starts of the spans in a text and their hashes."""
+def span_bounds(counts: list[int], min_words: int, by_content: bool = False) -> list[tuple[int, int]]:
+    """(start, end) of the spans that start at a sentence, or end at one too, in order."""
+    n = len(counts)
+    onward = {(i, end) for i, end in enumerate(span_ends(counts, min_words)) if end}
+    if not by_content:
+        return sorted(onward)
+    back = {(n - end, n - i) for i, end in enumerate(span_ends(counts[::-1], min_words)) if end}
+    return sorted(onward | back)
+
+
+def span_hashes(parts: list[bytes], min_words: int, by_content: bool = False) -> tuple[list[int], list[int], list[int]]:
+    """Starts and ends of the spans in a text and their hashes."""
     words = [p.split() for p in parts]
     joined = [b" ".join(w) for w in words]
-    ends = span_ends([len(w) for w in words], min_words)
-    starts = [i for i, end in enumerate(ends) if end]
+    bounds = span_bounds([len(w) for w in words], min_words, by_content)
     digest = xxhash.xxh64_intdigest
-    return starts, [digest(b" ".join([j for j in joined[i : ends[i]] if j]), SEED) for i in starts]
+    hashes = [digest(b" ".join([j for j in joined[i:end] if j]), SEED) for i, end in bounds]
+    return [i for i, _ in bounds], [end for _, end in bounds], hashes
 
 
-def spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _row, starts, hashes): the spans of each text, in order."""
+def spans(docs: DataFrame, min_words: int = MIN_WORDS, by_content: bool = False) -> DataFrame:
+    """(doc_id, _row, starts, ends, hashes): the spans of each text, in order."""
 
     def per_batch(batches):
         for batch in in_slices(batches):
-            both = [span_hashes(sentences(t), min_words) for t in batch["_text"].to_pylist()]
-            starts = pa.array([b[0] for b in both], pa.list_(pa.int32()))
-            hashes = pa.array([np.array(b[1], np.uint64).view(np.int64) for b in both], pa.list_(pa.int64()))
+            found = [span_hashes(sentences(t, by_content), min_words, by_content) for t in batch["_text"].to_pylist()]
+            starts, ends = (pa.array([f[k] for f in found], pa.list_(pa.int32())) for k in (0, 1))
+            hashes = pa.array([np.array(f[2], np.uint64).view(np.int64) for f in found], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["_row"], starts, hashes], ["doc_id", "_row", "starts", "hashes"]
+                [batch["doc_id"], batch["_row"], starts, ends, hashes], ["doc_id", "_row", "starts", "ends", "hashes"]
             )
 
     return docs.select("doc_id", "_row", text_bytes().alias("_text")).mapInArrow(
-        per_batch, "doc_id bigint, _row bigint, starts array<int>, hashes array<bigint>"
+        per_batch, "doc_id bigint, _row bigint, starts array<int>, ends array<int>, hashes array<bigint>"
     )
 
 
-def repeated(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(_row, starts): the spans of each row that occurred before, by their first sentences."""
-    held = stage(spans(docs, min_words).where(F.size("hashes") > 0), "spans")
+def repeated(docs: DataFrame, min_words: int = MIN_WORDS, by_content: bool = False) -> DataFrame:
+    """(_row, bounds): the spans of each row that occurred before, as (start, end)."""
+    held = stage(spans(docs, min_words, by_content).where(F.size("hashes") > 0), "spans")
     each = held.select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "_row", F.explode(F.arrays_zip("starts", "hashes")).alias("s")
-    ).select("doc", "_row", F.col("s.starts").alias("start"), F.col("s.hashes").alias("hash"))
+        F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "_row", F.explode(F.arrays_zip("starts", "ends", "hashes")).alias("s")
+    ).select("doc", "_row", F.col("s.starts").alias("start"), F.col("s.ends").alias("end"), F.col("s.hashes").alias("hash"))
     place = F.struct("doc", "_row", "start")
     twice = each.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
     twice = stage(twice.select("hash", "first"), "repeated")
     again = each.join(twice, "hash").where(place != F.col("first"))
-    return again.groupBy("_row").agg(F.collect_set("start").alias("starts"))
+    return again.groupBy("_row").agg(F.collect_set(F.struct("start", "end")).alias("bounds"))
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, by_content: bool = False) -> DataFrame:
     """Documents with their text cut, and (n_sentences, n_removed, removed) added.
 
     ``removed`` holds the removed sentences' numbers. No row is dropped: a text of which all
@@ -109,21 +136,19 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     added = ["n_sentences", "n_removed", "removed"]
     docs = docs.drop(*added)
     names = docs.columns
-    row, starts, again = (spare_name(docs, n) for n in ("_row", "_starts", "_again"))
+    row, bounds, again = (spare_name(docs, n) for n in ("_row", "_bounds", "_again"))
     rows = docs.withColumn(row, F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
     keys = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(row).alias("_row"), "text")
-    found = repeated(keys, min_words).select(F.col("_row").alias(again), F.col("starts").alias(starts))
+    found = repeated(keys, min_words, by_content).select(F.col("_row").alias(again), F.col("bounds").alias(bounds))
 
     def per_batch(batches):
         for batch in in_slices(batches):
             texts, counts, gone = [], [], []
-            for text, first in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[starts].to_pylist()):
-                parts = sentences(text or b"")
+            for text, again in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[bounds].to_pylist()):
+                parts = sentences(text or b"", by_content)
                 drop: set[int] = set()
-                if first:
-                    ends = span_ends([len(p.split()) for p in parts], min_words)
-                    for start in first:
-                        drop.update(range(start, ends[start]))
+                for span in again or []:
+                    drop.update(range(span["start"], span["end"]))
                 texts.append(text if not drop else b"".join(p for i, p in enumerate(parts) if i not in drop).strip())
                 counts.append(len(parts))
                 gone.append(sorted(drop))
@@ -136,11 +161,11 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     kinds = [T.LongType(), T.LongType(), T.ArrayType(T.IntegerType())]
     schema = T.StructType([*docs.schema.fields, *map(T.StructField, added, kinds)])
-    source = rows.join(found, rows[row] == found[again], "left").select(*names, starts)
+    source = rows.join(found, rows[row] == found[again], "left").select(*names, bounds)
     return source.mapInArrow(per_batch, schema)
 
 
 def query(spark, folder: str) -> DataFrame:
     from hazeline.llm.inputs import table
 
-    return without_repeats(table(spark, folder, "documents").select("doc_id", "text"))
+    return without_repeats(table(spark, folder, "documents").select("doc_id", "text"), by_content=True)

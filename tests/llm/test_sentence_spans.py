@@ -65,6 +65,25 @@ def test_long_text_without_marks_is_cut_too(spark):
     assert found == {1: same, 2: ""}
 
 
+def test_unmarked_passage_goes_at_any_offset(spark):
+    same = words(7, 60)
+    rows = [(i, f"{words(100 + i, n)} {same} {words(200 + i, 15)}") for i, n in enumerate((3, 10, 17, 24, 31))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: r.text.split() for r in spans.without_repeats(docs, by_content=True).collect()}
+    assert " ".join(found[0]) == rows[0][1]
+    for i in range(1, 5):
+        before, after = rows[i][1].split(same)
+        assert found[i][: len(before.split())] == before.split() and found[i][-15:] == after.split()
+        assert len(found[i]) - len(before.split()) - 15 <= 2 * spans.PIECE_WORDS
+
+
+def test_short_sentences_at_the_end_of_a_passage_go(spark):
+    same = f"{words(8, 12)}. {words(9, 12)}. Three more words. So be it."
+    rows = [(i, f"{words(100 + i, 20)}. {same} {words(200 + i, 20)}.") for i in range(3)]
+    found = {r.doc_id: r.text for r in spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), by_content=True).collect()}
+    assert found == {0: rows[0][1]} | {i: f"{words(100 + i, 20)}. {words(200 + i, 20)}." for i in (1, 2)}
+
+
 def test_awkward_rows(awkward):
     found = spans.without_repeats(awkward)
     assert found.columns == awkward.columns + ["n_sentences", "n_removed", "removed"]
