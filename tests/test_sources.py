@@ -145,3 +145,23 @@ def test_outputs_are_written_with_their_titles(spark, tmp_path):
     assert rows(written) == [("a", "1", "2.0", "NA")]
     assert written.columns == ["x", "Very Poor", "% days > NAAQS", "name"]
     assert [r[0] for r in rows(spark.read.text(paths[1]))] == ["## Head", "", "- a: 1", "- b: 2"]
+
+
+def test_landed_documents_and_files_stay_small(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from verification import fixtures as fx
+    from verification.queries import land_overshoots, land_period_files
+
+    folder = "/root/testdata/sf0.001"
+    records = fx.overshoot_records(spark, folder)
+    land_overshoots(records, str(tmp_path / "documents"), most=40)
+    sizes = spark.read.schema("data array<struct<date: date>>").json(str(tmp_path / "documents"), multiLine=True)
+    total, most = sizes.agg(F.sum(F.size("data")), F.max(F.size("data"))).first()
+    assert total == records.count() and most < 80
+    rows = fx.period_file_rows(spark, folder)
+    land_period_files(rows, str(tmp_path / "files"), most=3000)
+    names = [p.name for p in (tmp_path / "files").rglob("measurements_*.csv")]
+    assert len(names) > len(set(names)) == rows.select("file").distinct().count()
+    landed = spark.read.option("header", True).option("recursiveFileLookup", True).csv(str(tmp_path / "files"))
+    assert landed.count() == rows.count()

@@ -167,29 +167,46 @@ def overshoot_rows(spark, d):
     return readers.overshoot_rows(fx.overshoot_documents(spark, d))
 
 
+def parts_of(rows, most: int):
+    """A part number for each row by its hash: about ``most`` rows a part, more parts for more rows."""
+    parts = -(-rows.count() // most) or 1
+    return F.pmod(F.xxhash64(*rows.columns), F.lit(parts))
+
+
+def land_overshoots(records, path: str, most: int = 4000):
+    """JSON documents as they land, one file each, of about ``most`` records at any table size."""
+    dealt = records.withColumn("city", parts_of(records, most))
+    documents = dealt.groupBy("city").agg(F.to_json(F.struct(F.collect_list("record").alias("data"))).alias("value"))
+    documents.write.partitionBy("city").text(path)
+
+
+def land_period_files(rows, path: str, most: int = 500_000):
+    """CSV files under the names they land with, of about ``most`` rows or fewer, a folder for
+    each: a month of more rows has several of its name, written by as many tasks."""
+    dealt = rows.withColumn("part", parts_of(rows, most))
+    dealt.repartition("file", "part").write.partitionBy("file", "part").option("header", True).csv(path)
+    spark = rows.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    files = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for folder in files.globStatus(hadoop.Path(f"{path}/file=*/part=*")):
+        name = folder.getPath().getParent().getName().removeprefix("file=")
+        (part,) = files.globStatus(hadoop.Path(folder.getPath(), "part-*"))
+        files.rename(part.getPath(), hadoop.Path(folder.getPath(), f"{name}.csv"))
+
+
 @query
 def load_overshoots(spark, d):
-    """JSON documents as they land, a file for each of fifty cities, from a start date on."""
-    records = fx.overshoot_records(spark, d).groupBy((F.col("l_suppkey") % 50).alias("city"))
-    documents = records.agg(F.to_json(F.struct(F.collect_list("record").alias("data"))).alias("value"))
+    """Landed JSON documents, from a start date on."""
     path = f"{staging_folder(spark)}/landed-overshoots-{uuid.uuid4().hex}"
-    documents.write.partitionBy("city").text(path)
+    land_overshoots(fx.overshoot_records(spark, d), path)
     return readers.load_overshoots(spark, path, dt.date(1994, 1, 1))
 
 
 @query
 def load_period_files(spark, d):
-    """CSV files under the names they land with, a folder for each; those before 2000 have
-    names that are no period files'."""
+    """Landed CSV files; those before 2000 have names that are no period files'."""
     path = f"{staging_folder(spark)}/landed-files-{uuid.uuid4().hex}"
-    rows = fx.period_file_rows(spark, d)
-    rows.repartition("file").write.partitionBy("file").option("header", True).csv(path)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    files = hadoop.Path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for folder in files.globStatus(hadoop.Path(f"{path}/file=*")):
-        name = folder.getPath().getName().removeprefix("file=")
-        (part,) = files.globStatus(hadoop.Path(folder.getPath(), "part-*"))
-        files.rename(part.getPath(), hadoop.Path(folder.getPath(), f"{name}.csv"))
+    land_period_files(fx.period_file_rows(spark, d), path)
     found = readers.load_period_files(spark, path)
     return found.select(
         "date", "location_id", "value", "city_name", "gadm1_name",
