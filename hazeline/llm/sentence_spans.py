@@ -8,7 +8,7 @@ A sentence ends at a line's end, or after a full stop, exclamation or question m
 white space; one of more than ``MAX_WORDS`` words is divided after each ``MAX_WORDS``, so text
 without marks still has spans. White space around sentences doesn't count in a span.
 
-With ``by_content``, as the query and the pipeline have it, a long sentence is divided before the
+With ``by_content``, as the query has it, a long sentence is divided before the
 smallest word hash of each ``PIECE_WORDS`` words in a row instead, so equal words are divided
 alike wherever they stand, but for the first and last few of a passage; and every sentence ends
 a span too, the fewest up to it, so that short sentences at a passage's end go.
