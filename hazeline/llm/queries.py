@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from hazeline.llm import (
-    byte_bpe, licences, outliers, packing, projections, quality, sentence_spans, simhash, tag_paths, toxicity,
+    byte_bpe, licences, merkle, minhash, oracles, outliers, packing, periodic_runs, projections, quality,
+    sentence_spans, simhash, tag_paths, toxicity,
 )
 
 QUERIES = {
@@ -17,6 +18,9 @@ QUERIES = {
     "op8_ordinal_quality": quality.query,
     "op9_sentence_spans": sentence_spans.query,
     "op10_toxicity": toxicity.query,
+    "op11_periodic_runs": periodic_runs.query,
+    "op12_merkle_manifest": merkle.query,
+    "op13_minhash_fingerprints": minhash.query,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op12_merkle_manifest": oracles.merkle()}

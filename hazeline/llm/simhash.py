@@ -6,14 +6,6 @@ on. Fingerprints under a key of at most ``PAIRED`` are compared in pairs. Under
 each gives the 65 centres of radius one around it instead: two fingerprints that differ in at
 most two bits have a centre in common and two that share one differ in at most two, so a link
 to the smallest under each centre keeps every component, in work linear in the group.
-
-As a pipeline stage (``keep_first``) near copies are texts whose sets of five-word shingles have
-a Jaccard similarity of 0.8 or more. Their fingerprints differ in up to about 12 bits, for which
-Golay keys would be too short, so candidates come from MinHash bands instead: distinct sets give
-``BANDS`` keys of ``BAND_ROWS`` minima each, which miss a pair at 0.8 with a chance of
-(1 - 0.8 ** 5) ** 32 = 3e-6 and closer ones less. Every candidate is verified on its sets. All
-sets under a key are first compared with the smallest one, in work linear in the group; then
-in pairs, but only across what those links left apart.
 """
 
 from __future__ import annotations
@@ -31,8 +23,6 @@ from hazeline.plans.staging import stage
 
 SHINGLE_WORDS, SEED, LINK_BITS, PAIRED = 3, 42, 2, 64
 SEGMENTS = [(0, 23), (23, 23), (46, 18)]
-STAGE_WORDS, SIMILARITY, BANDS, BAND_ROWS = 5, 0.8, 32, 5
-FLIPS, FACTORS = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64) | np.uint64(1)
 
 
 def shingle_hashes(text: bytes, words: int = SHINGLE_WORDS) -> np.ndarray:
@@ -141,113 +131,13 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, paired: int = P
     return fps.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component_id")
 
 
-def band_keys(hashes: np.ndarray) -> list[int]:
-    """A signed key per band: the hash of its minima over the shingles. No shingles give none."""
-    if not len(hashes):
-        return []
-    least = np.full(BANDS * BAND_ROWS, np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(hashes), 1024):
-        np.minimum(least, ((hashes[at : at + 1024, None] ^ FLIPS) * FACTORS).min(axis=0), out=least)
-    rows = least.astype("<u8").reshape(BANDS, BAND_ROWS)
-    keys = [xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)]
-    return np.array(keys, np.uint64).view(np.int64).tolist()
-
-
-def set_id(distinct: np.ndarray) -> int:
-    """A signed hash of a sorted set of shingles; that of no shingles is 0."""
-    digest = xxhash.xxh64_intdigest(distinct.astype("<u8").tobytes(), SEED) if len(distinct) else 0
-    return int(np.uint64(digest).astype(np.int64))
-
-
-def _text_key() -> Column:
-    return F.xxhash64(F.coalesce("text", F.lit("")))
-
-
-def signatures(docs: DataFrame, words: int = STAGE_WORDS) -> DataFrame:
-    """(doc_id, text_key, set_id, size, keys) of each row: its set of shingles and the band keys."""
-
-    def per_batch(batches):
-        for batch in in_slices(batches):
-            sets = [np.unique(shingle_hashes(t, words)) for t in batch["_text"].to_pylist()]
-            columns = [
-                batch["doc_id"], batch["text_key"], pa.array(map(set_id, sets), pa.int64()),
-                pa.array(map(len, sets), pa.int64()), pa.array(map(band_keys, sets), pa.list_(pa.int64())),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "text_key", "set_id", "size", "keys"])
-
-    source = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), _text_key().alias("text_key"), text_bytes().alias("_text"))
-    return source.mapInArrow(per_batch, "doc_id bigint, text_key bigint, set_id bigint, size bigint, keys array<bigint>")
-
-
-def shingle_sets(texts: DataFrame, words: int = STAGE_WORDS) -> DataFrame:
-    """(set_id, hashes) of each text."""
-
-    def per_batch(batches):
-        for batch in in_slices(batches):
-            sets = [np.unique(shingle_hashes(t, words)) for t in batch["_text"].to_pylist()]
-            hashes = pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(map(set_id, sets), pa.int64()), hashes], ["set_id", "hashes"])
-
-    return texts.select(text_bytes().alias("_text")).mapInArrow(per_batch, "set_id bigint, hashes array<bigint>")
-
-
-def similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of sets that are similar enough."""
-    both = pairs.join(sets.select(F.col("set_id").alias("a"), F.col("hashes").alias("_a")), "a")
-    both = both.join(sets.select(F.col("set_id").alias("b"), F.col("hashes").alias("_b")), "b")
-    both = both.select("a", "b", (F.size("_a") + F.size("_b")).alias("total"), F.size(F.array_intersect("_a", "_b")).alias("common"))
-    return both.where(F.col("common") / (F.col("total") - F.col("common")) >= similarity).select("a", "b")
-
-
-def similar_sets(docs: DataFrame, distinct: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(a, b) edges between distinct sets with the components of all similar pairs."""
-    each = distinct.select("set_id", "size", F.explode("keys").alias("key"))
-    leaders = each.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("set_id", "size")).alias("least")).where("n > 1")
-    shared = stage(each.join(leaders.select("key", "least"), "key"), "shared")
-    texts = stage(shared.select("set_id").distinct().join(distinct, "set_id").select(F.col("text_key").alias("_wanted")), "texts")
-    wanted = docs.withColumn("_key", _text_key()).join(texts, F.col("_key") == F.col("_wanted"), "left_semi")
-    sets = stage(shingle_sets(wanted.dropDuplicates(["_key"]), words), "sets")
-
-    fits = lambda m, n: F.least(m, n) >= similarity * F.greatest(m, n) - 1e-6
-    stars = shared.where((F.col("set_id") != F.col("least.set_id")) & fits(F.col("size"), F.col("least.size")))
-    stars = stage(stars.select(F.col("set_id").alias("a"), F.col("least.set_id").alias("b")).distinct(), "stars")
-    near = stage(similar(stars, sets, similarity), "near")
-    roots = connected_components(near).withColumnRenamed("node", "set_id")
-    rooted = shared.join(roots, "set_id", "left").select("key", "set_id", "size", F.coalesce("root", "set_id").alias("root"))
-    rooted = stage(rooted, "rooted")
-    apart = rooted.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q")).where("p < q").select("key")
-    split = stage(rooted.join(apart, "key"), "split")
-    a, b = (split.select("key", *[F.col(c).alias(f"{c}_{side}") for c in ("set_id", "size", "root")]) for side in "ab")
-    pairs = a.join(b, "key").where((F.col("root_a") < F.col("root_b")) & fits(F.col("size_a"), F.col("size_b")))
-    pairs = pairs.select(F.col("set_id_a").alias("a"), F.col("set_id_b").alias("b")).distinct()
-    return near.union(similar(stage(pairs, "pairs"), sets, similarity))
-
-
-def similar_groups(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """(doc_id, component_id) of each row: the smallest doc_id reachable by similar shingle sets."""
-    found = stage(signatures(docs, words), "signatures")
-    distinct = found.groupBy("set_id", "size").agg(
-        F.min("doc_id").alias("first"), F.min("text_key").alias("text_key"), F.any_value("keys").alias("keys")
-    )
-    distinct = stage(distinct, "distinct")
-    roots = connected_components(stage(similar_sets(docs, distinct, words, similarity), "similar"))
-    rooted = distinct.join(roots, distinct["set_id"] == roots["node"], "left").select(
-        "set_id", "first", F.coalesce("root", "set_id").alias("root")
-    )
-    rooted = stage(rooted, "roots")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    classes = stage(rooted.join(least, "root").select("set_id", "component_id"), "classes")
-    return found.join(classes, "set_id").select("doc_id", "component_id")
-
-
-def keep_first(docs: DataFrame, words: int = STAGE_WORDS, similarity: float = SIMILARITY) -> DataFrame:
-    """One document of each group of near copies stays: the one with the smallest doc_id.
+def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
+    """One document of each group of near duplicates stays: the one with the smallest doc_id.
 
-    Near copies are texts whose shingle sets are similar, and those linked through others. Rows
-    that repeat that doc_id stay too; rows without a doc_id stay, as nothing tells them apart
-    from others. All columns are kept.
+    Rows that repeat that doc_id stay too; rows without a doc_id stay, as nothing tells them
+    apart from others. Null, empty and blank texts are one group. All columns are kept.
     """
-    classes = similar_groups(docs.where(F.col("doc_id").isNotNull()), words, similarity)
+    classes = near_duplicates(docs.where(F.col("doc_id").isNotNull()), words)
     gone = classes.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_gone")).distinct()
     gone = stage(gone, "gone")
     return docs.join(gone, docs["doc_id"] == gone["_gone"], "left_anti")
