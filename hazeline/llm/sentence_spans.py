@@ -1,17 +1,18 @@
 """Substring dedup by sliding runs of consecutive sentences.
 
 Every sentence starts a span: the fewest consecutive sentences, two at least, that hold
-``MIN_WORDS`` words. Spans are hashed and joined over all documents. A span that occurs again
-keeps its first occurrence, in order of doc_id and place; the sentences of all others go.
+``MIN_WORDS`` words. Every sentence ends one too, the fewest up to it, so that short sentences
+at a passage's end go with it. Spans are hashed and joined over all documents. A span that
+occurs again keeps its first occurrence, in order of doc_id and place; the sentences of all
+others go.
 
 A sentence ends at a line's end, or after a full stop, exclamation or question mark before
-white space; one of more than ``MAX_WORDS`` words is divided after each ``MAX_WORDS``, so text
-without marks still has spans. White space around sentences doesn't count in a span.
+white space; one of more than ``MAX_WORDS`` words is divided before the smallest word hash of
+each ``PIECE_WORDS`` words in a row, so equal words are divided alike wherever they stand, but
+for the first and last few of a passage. White space around sentences doesn't count in a span.
 
-With ``by_content``, as the query has it, a long sentence is divided before the
-smallest word hash of each ``PIECE_WORDS`` words in a row instead, so equal words are divided
-alike wherever they stand, but for the first and last few of a passage; and every sentence ends
-a span too, the fewest up to it, so that short sentences at a passage's end go.
+The first pass keeps the byte places of the sentences, so the second only cuts, and passes on
+texts without repeats as they are.
 """
 
 from __future__ import annotations
@@ -31,22 +32,26 @@ from hazeline.plans.staging import stage
 MIN_SENTENCES, MIN_WORDS, MAX_WORDS, PIECE_WORDS, SEED = 2, 16, 25, 8, 42
 LAST = (1 << 63) - 1
 ENDS = re.compile(rb"[.!?]+(?=\s)[^\S\n]*\n?|\n")
-LONG = re.compile(rb"(?:\s*\S+){1,%d}\s*" % MAX_WORDS)
 WORD = re.compile(rb"\S+")
 
 
 def pieces(sentence: bytes) -> list[bytes]:
     """A long sentence in pieces of at most ``PIECE_WORDS`` words, cut by its words alone."""
-    places, hashes = [], []
-    for word in WORD.finditer(sentence):
-        places.append(word.start())
-        hashes.append(xxhash.xxh64_intdigest(word[0], SEED))
-    runs = np.lib.stride_tricks.sliding_window_view(np.array(hashes, np.uint64), PIECE_WORDS)
-    cuts = [places[i] for i in np.unique(runs.argmin(axis=1) + np.arange(len(runs))) if i]
+    digest = xxhash.xxh64_intdigest
+    hashes = np.array([digest(w, SEED) for w in sentence.split()], np.uint64)
+    places = [m.start() for m in WORD.finditer(sentence)]
+    runs = len(hashes) - PIECE_WORDS + 1
+    lowest, least = hashes[:runs].copy(), np.arange(runs)
+    for k in range(1, PIECE_WORDS):
+        lower = hashes[k : k + runs] < lowest
+        lowest = np.where(lower, hashes[k : k + runs], lowest)
+        least = np.where(lower, np.arange(k, k + runs), least)
+    # Least places never fall, so equal ones are neighbours.
+    cuts = [places[i] for i in least[np.flatnonzero(np.diff(least, prepend=-1))].tolist() if i]
     return [sentence[i:j] for i, j in zip([0, *cuts], [*cuts, len(sentence)])]
 
 
-def sentences(text: bytes, by_content: bool = False) -> list[bytes]:
+def sentences(text: bytes) -> list[bytes]:
     """Sentences with the white space after them; joined they are the text."""
     found, start = [], 0
     for stop in [*(m.end() for m in ENDS.finditer(text)), len(text)]:
@@ -54,7 +59,7 @@ def sentences(text: bytes, by_content: bool = False) -> list[bytes]:
         if not part:
             continue
         if len(part) > 2 * MAX_WORDS and len(part.split()) > MAX_WORDS:
-            found += pieces(part) if by_content else LONG.findall(part)
+            found += pieces(part)
         else:
             found.append(part)
     return found
@@ -75,47 +80,48 @@ def span_ends(counts: list[int], min_words: int) -> list[int]:
     return ends
 
 
-def span_bounds(counts: list[int], min_words: int, by_content: bool = False) -> list[tuple[int, int]]:
-    """(start, end) of the spans that start at a sentence, or end at one too, in order."""
+def span_bounds(counts: list[int], min_words: int) -> list[tuple[int, int]]:
+    """(start, end) of the spans that start or end at a sentence, in order."""
     n = len(counts)
     onward = {(i, end) for i, end in enumerate(span_ends(counts, min_words)) if end}
-    if not by_content:
-        return sorted(onward)
     back = {(n - end, n - i) for i, end in enumerate(span_ends(counts[::-1], min_words)) if end}
     return sorted(onward | back)
 
 
-def span_hashes(parts: list[bytes], min_words: int, by_content: bool = False) -> tuple[list[int], list[int], list[int]]:
+def span_hashes(parts: list[bytes], min_words: int) -> tuple[list[int], list[int], list[int]]:
     """Starts and ends of the spans in a text and their hashes."""
     words = [p.split() for p in parts]
     joined = [b" ".join(w) for w in words]
-    bounds = span_bounds([len(w) for w in words], min_words, by_content)
+    bounds = span_bounds([len(w) for w in words], min_words)
     digest = xxhash.xxh64_intdigest
     hashes = [digest(b" ".join([j for j in joined[i:end] if j]), SEED) for i, end in bounds]
     return [i for i, _ in bounds], [end for _, end in bounds], hashes
 
 
-def spans(docs: DataFrame, min_words: int = MIN_WORDS, by_content: bool = False) -> DataFrame:
-    """(doc_id, _row, starts, ends, hashes): the spans of each text, in order."""
+def spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """(doc_id, _row, places, starts, ends, hashes): the byte ends of each text's sentences and
+    its spans, in order."""
 
     def per_batch(batches):
         for batch in in_slices(batches):
-            found = [span_hashes(sentences(t, by_content), min_words, by_content) for t in batch["_text"].to_pylist()]
+            parts = [sentences(t) for t in batch["_text"].to_pylist()]
+            found = [span_hashes(p, min_words) for p in parts]
+            places = pa.array([np.cumsum([len(x) for x in p], dtype=np.int32) for p in parts], pa.list_(pa.int32()))
             starts, ends = (pa.array([f[k] for f in found], pa.list_(pa.int32())) for k in (0, 1))
             hashes = pa.array([np.array(f[2], np.uint64).view(np.int64) for f in found], pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["_row"], starts, ends, hashes], ["doc_id", "_row", "starts", "ends", "hashes"]
+                [batch["doc_id"], batch["_row"], places, starts, ends, hashes],
+                ["doc_id", "_row", "places", "starts", "ends", "hashes"],
             )
 
     return docs.select("doc_id", "_row", text_bytes().alias("_text")).mapInArrow(
-        per_batch, "doc_id bigint, _row bigint, starts array<int>, ends array<int>, hashes array<bigint>"
+        per_batch, "doc_id bigint, _row bigint, places array<int>, starts array<int>, ends array<int>, hashes array<bigint>"
     )
 
 
-def repeated(docs: DataFrame, min_words: int = MIN_WORDS, by_content: bool = False) -> DataFrame:
+def repeated(held: DataFrame) -> DataFrame:
     """(_row, bounds): the spans of each row that occurred before, as (start, end)."""
-    held = stage(spans(docs, min_words, by_content).where(F.size("hashes") > 0), "spans")
-    each = held.select(
+    each = held.where(F.size("hashes") > 0).select(
         F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "_row", F.explode(F.arrays_zip("starts", "ends", "hashes")).alias("s")
     ).select("doc", "_row", F.col("s.starts").alias("start"), F.col("s.ends").alias("end"), F.col("s.hashes").alias("hash"))
     place = F.struct("doc", "_row", "start")
@@ -125,7 +131,7 @@ def repeated(docs: DataFrame, min_words: int = MIN_WORDS, by_content: bool = Fal
     return again.groupBy("_row").agg(F.collect_set(F.struct("start", "end")).alias("bounds"))
 
 
-def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, by_content: bool = False) -> DataFrame:
+def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Documents with their text cut, and (n_sentences, n_removed, removed) added.
 
     ``removed`` holds the removed sentences' numbers. No row is dropped: a text of which all
@@ -136,36 +142,42 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS, by_content: boo
     added = ["n_sentences", "n_removed", "removed"]
     docs = docs.drop(*added)
     names = docs.columns
-    row, bounds, again = (spare_name(docs, n) for n in ("_row", "_bounds", "_again"))
+    row, own, places, bounds, size = (spare_name(docs, n) for n in ("_row", "_own", "_places", "_bounds", "_size"))
     rows = docs.withColumn(row, F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
     keys = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(row).alias("_row"), "text")
-    found = repeated(keys, min_words, by_content).select(F.col("_row").alias(again), F.col("bounds").alias(bounds))
+    held = stage(spans(keys, min_words), "spans")
+    sizes = held.groupBy("_row").agg(F.max(F.size("places")).alias("n"))
+    cut = repeated(held)
+    cut = held.select("_row", "places").join(cut, "_row").dropDuplicates(["_row"])
+    found = sizes.join(cut, "_row", "left").select(
+        F.col("_row").alias(own), F.col("n").alias(size), F.col("places").alias(places), F.col("bounds").alias(bounds)
+    )
 
     def per_batch(batches):
         for batch in in_slices(batches):
-            texts, counts, gone = [], [], []
-            for text, again in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[bounds].to_pylist()):
-                parts = sentences(text or b"", by_content)
+            texts, gone = [], []
+            for text, ends, again in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[places].to_pylist(), batch[bounds].to_pylist()):
                 drop: set[int] = set()
                 for span in again or []:
                     drop.update(range(span["start"], span["end"]))
-                texts.append(text if not drop else b"".join(p for i, p in enumerate(parts) if i not in drop).strip())
-                counts.append(len(parts))
+                if drop:
+                    text = b"".join(text[i:j] for k, (i, j) in enumerate(zip([0, *ends], ends)) if k not in drop).strip()
+                texts.append(text)
                 gone.append(sorted(drop))
             columns = {name: batch[name] for name in names}
             columns["text"] = pa.array(texts, pa.binary()).cast(pa.string())
-            columns["n_sentences"] = pa.array(counts, pa.int64())
+            columns["n_sentences"] = batch[size].cast(pa.int64())
             columns["n_removed"] = pa.array([len(g) for g in gone], pa.int64())
             columns["removed"] = pa.array(gone, pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
     kinds = [T.LongType(), T.LongType(), T.ArrayType(T.IntegerType())]
     schema = T.StructType([*docs.schema.fields, *map(T.StructField, added, kinds)])
-    source = rows.join(found, rows[row] == found[again], "left").select(*names, bounds)
+    source = rows.join(found, rows[row] == found[own]).select(*names, size, places, bounds)
     return source.mapInArrow(per_batch, schema)
 
 
 def query(spark, folder: str) -> DataFrame:
     from hazeline.llm.inputs import table
 
-    return without_repeats(table(spark, folder, "documents").select("doc_id", "text"), by_content=True)
+    return without_repeats(table(spark, folder, "documents").select("doc_id", "text"))

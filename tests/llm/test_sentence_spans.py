@@ -23,20 +23,22 @@ def test_span_ends_equal_brute_force():
 
 
 def brute(texts):
-    """Removed sentences by doc_id, in one pass in order."""
-    seen, found = set(), {}
+    """Removed sentences by doc_id, by the rule's words, in one pass in order."""
+    first, held = {}, {}
     for i in sorted(texts):
-        parts = spans.sentences(texts[i].encode())
-        tokens = [tuple(p.split()) for p in parts]
-        ends = spans.span_ends([len(t) for t in tokens], spans.MIN_WORDS)
-        gone = set()
-        for start, end in enumerate(ends):
-            if end:
-                run = sum(tokens[start:end], ())
-                gone |= set(range(start, end)) if run in seen else set()
-                seen.add(run)
-        found[i] = sorted(gone)
-    return found
+        tokens = [tuple(p.split()) for p in spans.sentences(texts[i].encode())]
+        enough = lambda a, b: sum(map(len, tokens[a:b])) >= spans.MIN_WORDS and sum(map(bool, tokens[a:b])) >= 2
+        n, held[i] = len(tokens), []
+        for k in range(n):
+            if tokens[k]:
+                held[i] += [next(((k, j) for j in range(k + 1, n + 1) if enough(k, j)), None)]
+                held[i] += [next(((j, k + 1) for j in range(k, -1, -1) if enough(j, k + 1)), None)]
+        held[i] = {b: sum(tokens[b[0] : b[1]], ()) for b in held[i] if b}
+        for bounds, run in sorted(held[i].items()):
+            first.setdefault(run, (i, bounds[0]))
+    return {
+        i: sorted({k for b, run in found.items() if first[run] != (i, b[0]) for k in range(*b)}) for i, found in held.items()
+    }
 
 
 def test_given_documents_equal_brute_force(spark):
@@ -61,15 +63,17 @@ def test_passage_goes_but_for_its_first_place(spark, glue):
 
 def test_long_text_without_marks_is_cut_too(spark):
     same = words(5, 300)
-    found = {r.doc_id: r.text for r in spans.without_repeats(spark.createDataFrame([(1, same), (2, same)], "doc_id long, text string")).collect()}
-    assert found == {1: same, 2: ""}
+    rows = [(1, same), (2, same), (3, f" {same}\n")]
+    found = {r.doc_id: r.text for r in spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {1: same, 2: "", 3: ""}
+    assert all(len(p.split()) <= spans.PIECE_WORDS for p in spans.sentences(same.encode()))
 
 
 def test_unmarked_passage_goes_at_any_offset(spark):
     same = words(7, 60)
     rows = [(i, f"{words(100 + i, n)} {same} {words(200 + i, 15)}") for i, n in enumerate((3, 10, 17, 24, 31))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = {r.doc_id: r.text.split() for r in spans.without_repeats(docs, by_content=True).collect()}
+    found = {r.doc_id: r.text.split() for r in spans.without_repeats(docs).collect()}
     assert " ".join(found[0]) == rows[0][1]
     for i in range(1, 5):
         before, after = rows[i][1].split(same)
@@ -80,7 +84,7 @@ def test_unmarked_passage_goes_at_any_offset(spark):
 def test_short_sentences_at_the_end_of_a_passage_go(spark):
     same = f"{words(8, 12)}. {words(9, 12)}. Three more words. So be it."
     rows = [(i, f"{words(100 + i, 20)}. {same} {words(200 + i, 20)}.") for i in range(3)]
-    found = {r.doc_id: r.text for r in spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string"), by_content=True).collect()}
+    found = {r.doc_id: r.text for r in spans.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found == {0: rows[0][1]} | {i: f"{words(100 + i, 20)}. {words(200 + i, 20)}." for i in (1, 2)}
 
 
