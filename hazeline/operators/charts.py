@@ -21,8 +21,8 @@ def calendar_cells(
 ) -> DataFrame:
     """A cell per entity, year and day of the period's months, weeks starting on Monday.
 
-    Values meet as one map per entity and month, whose absent days stay empty. ``m`` holds
-    the years to show.
+    Values meet as one map per entity and year, whose absent days stay empty. An entity's years
+    run from its first to its last in ``m``; a year without rows has empty cells.
     """
     rows = m if ids is None else _tracked(m, ids)
     rows = rows.where(F.month("date").between(period.start.month, period.end.month))
@@ -32,9 +32,17 @@ def calendar_cells(
     years = daily.groupBy("location_id", "city_name", F.year("date").alias("year")).agg(
         F.map_from_entries(F.collect_list(F.struct("date", "value"))).alias("_values")
     )
+    # A year stands for those up to the entity's next one too, which have no values.
+    following = F.lead("year").over(Window.partitionBy("location_id", "city_name").orderBy("year"))
+    until = F.coalesce(following - 1, "year")
+    spans = years.withColumn("_until", until)
+    shown = spans.withColumn("_year", F.explode(F.sequence("year", "_until"))).select(
+        "location_id", "city_name", F.col("_year").alias("year"),
+        F.when(F.col("_year") == F.col("year"), F.col("_values")).alias("_values"),
+    )
     first = F.make_date("year", F.lit(period.start.month), F.lit(1))
     last = F.last_day(F.make_date("year", F.lit(period.end.month), F.lit(1)))
-    days = years.withColumn("date", F.explode(F.sequence(first, last)))
+    days = shown.withColumn("date", F.explode(F.sequence(first, last)))
     value = F.try_element_at("_values", "date")
     offset = F.weekday(F.trunc("date", "MM"))
     bins = right_closed_bin("value", [0, *CALENDAR_BINS.values()], list(CALENDAR_BINS))

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazeline.functions.numbers import days_mask, mean_of
 from hazeline.params import DEFAULTS, Params
 from hazeline.plans.staging import stage
 
+#: The first and last day in the name of a period file.
+FILE_DAYS = r"_(\d{4}-\d{2}-\d{2})_(\d{4}-\d{2}-\d{2})(?:[.][A-Za-z]+)?$"
 PLACE = ["location_id", "city_name", "gadm1_name", "gadm1_id"]
 
 
@@ -16,22 +18,44 @@ def days_in_month(month):
     return F.dayofmonth(F.last_day(month))
 
 
+def file_period(name: Column) -> tuple[Column, Column]:
+    """First and last day of the period in a file's name; NULL where it has none."""
+    days = [F.try_to_date(F.regexp_extract(name.cast("string"), FILE_DAYS, k)) for k in (1, 2)]
+    return days[0], days[1]
+
+
 def observed_completion(m: DataFrame, file_col: str = "file_name") -> DataFrame:
     """Distinct days per file and location, over the days of the file's first month.
 
-    A file longer than a month can thus pass 100 %; name a month column as ``file_col`` to
-    count by real month.
+    A file whose name has a period of several months counts by month instead: a location has a
+    row for each month of the period, of no days if it has no rows there, and one for each other
+    month with rows. So no share passes 100 %, whatever the file's length. Without a period in
+    its name, a file counts by its first month with rows.
     """
-    # The one pass over the rows; the file's first month comes from its small result.
+    # The one pass over the rows; all else comes from its small result.
     masks = m.groupBy(F.col(file_col).alias("_file"), *PLACE, F.trunc("date", "MM").alias("_month"))
     masks = stage(masks.agg(days_mask("date").alias("_mask")), "file-months")
-    starts = masks.groupBy(F.col("_file").alias("_f")).agg(F.min("_month").alias("month"))
+    first, last = (F.trunc(day, "MM") for day in file_period(F.col("_file")))
+    several = F.coalesce(first < last, F.lit(False))
+
+    short = masks.where(~several)
+    starts = short.groupBy(F.col("_file").alias("_f")).agg(F.min("_month").alias("month"))
     # Staged, so that the few files are what the join sends around, not all locations of one.
     starts = stage(starts, "file-starts")
-    days = masks.groupBy("_file", *PLACE).agg(F.sum(F.bit_count("_mask")).alias("days_with_data"))
-    dated = days.join(starts, days["_file"].eqNullSafe(starts["_f"]))
+    days = short.groupBy("_file", *PLACE).agg(F.sum(F.bit_count("_mask")).alias("days_with_data"))
+    dated = days.join(starts, days["_file"].eqNullSafe(starts["_f"])).select(*PLACE, "days_with_data", "month")
+
+    own = F.collect_list(F.struct(F.col("_month").alias("month"), F.bit_count("_mask").cast("bigint").alias("days_with_data")))
+    long = masks.where(several).groupBy("_file", *PLACE).agg(own.alias("_own"))
+    asked = F.sequence(first, last, F.expr("INTERVAL 1 MONTH"))
+    absent = F.transform(
+        F.array_except(asked, F.col("_own.month")),
+        lambda month: F.struct(month.alias("month"), F.lit(0).cast("bigint").alias("days_with_data")),
+    )
+    by_month = long.select(*PLACE, F.inline(F.concat("_own", absent))).select(*PLACE, "days_with_data", "month")
+
     length = days_in_month(F.col("month"))
-    return dated.select(
+    return dated.unionByName(by_month).select(
         *PLACE, "days_with_data", "month",
         F.date_format("month", "yyyy-MM").alias("snapshot_month"),
         length.alias("days_in_month"),

@@ -9,6 +9,7 @@ carries partial aggregates only, so an entity with a third of all rows is no hea
 from __future__ import annotations
 
 import json
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -93,6 +94,23 @@ def repeated_rollup_rows(kept: DataFrame) -> DataFrame:
     return counts.where(F.col("entries") > 1)
 
 
+def united_rollup(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two rollups of different days as one: sums and counts add up, masks unite."""
+    merge = {c: f"bit_or({c})" if c == "days_mask" else f"sum({c})" for c in a.columns if c not in KEYS}
+    both = a.unionByName(b).groupBy(*KEYS).agg(*[F.expr(f"{e} AS {c}") for c, e in merge.items()])
+    return both.select(*a.columns)
+
+
+def days_in_both(a: DataFrame, b: DataFrame) -> DataFrame:
+    """Entity months with days that two rollups share, and how many."""
+    keys = ["location_id", "year", "month"]
+    masks = [r.groupBy(*keys).agg(F.bit_or("days_mask").alias(f"_{i}")) for i, r in enumerate((a, b))]
+    right = masks[1].withColumnsRenamed({c: f"_{c}" for c in keys})
+    same = reduce(lambda x, y: x & y, [masks[0][c].eqNullSafe(right[f"_{c}"]) for c in keys])
+    days = F.bit_count(F.col("_0").bitwiseAND(F.col("_1")))
+    return masks[0].join(right, same).select(*keys, days.alias("days")).where("days > 0")
+
+
 def rollup_days(r: DataFrame, keys: list[str]) -> DataFrame:
     """Distinct days with a row, per key; masks of one month are united before counting."""
     months = [c for c in ("year", "month") if c not in keys]

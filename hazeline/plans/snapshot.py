@@ -31,8 +31,9 @@ from hazeline.operators.rollup import (
     rollup_to_keep,
 )
 from hazeline.params import DEFAULTS, PLAIN_CITIES_MILLION, STATE_CAPITALS, TRACKED_CITIES, Params
+from hazeline.plans.kept import KeptStore, earlier_periods
 from hazeline.plans.staging import stage, staged_tables
-from hazeline.sources import readers, writers
+from hazeline.sources import manifests, readers, writers
 
 
 @dataclass
@@ -42,6 +43,7 @@ class Inputs:
     ``earlier_rollup`` may be a monthly rollup of earlier years kept from other reports (see
     ``rollup_to_keep``); the measurements are then read for the period alone, and the calendar
     takes the tracked entities' earlier days from ``earlier_tracked``, which must be given.
+    ``store`` has both, kept by the reports of the earlier years, and replaces them.
 
     ``landed_rows`` are the landed tables before any filter, by name; rules are evaluated on
     them, and there is no rule report without them.
@@ -58,14 +60,19 @@ class Inputs:
     earlier_rollup: DataFrame | None = None
     earlier_tracked: DataFrame | None = None
     landed_rows: dict[str, DataFrame] | None = None
+    store: KeptStore | None = None
 
     @classmethod
     def landed(
         cls, spark: SparkSession, folder: str, period: Period, params: Params = DEFAULTS,
-        fmt: str = "parquet",
+        fmt: str = "parquet", store: str | None = None,
     ) -> Inputs:
-        """Inputs under one folder, one sub-folder per table."""
-        history = readers.history_periods(period, params.history_years)
+        """Inputs under one folder, one sub-folder per table.
+
+        With ``store``, the folder of a kept store, no earlier days are read.
+        """
+        years = 0 if store else params.history_years
+        history = readers.history_periods(period, years)
         raw = {
             "measurements": readers.landed_measurements(
                 spark, f"{folder}/measurements", history, fmt
@@ -73,16 +80,16 @@ class Inputs:
             "station_measurements": readers.landed_measurements(
                 spark, f"{folder}/station_measurements", [(period.start, period.end)], fmt
             ),
-            "stations": readers.load_stations(spark, f"{folder}/stations", period.start, fmt),
-            "stations_previous": readers.load_stations(
+            "stations": readers.landed_stations(spark, f"{folder}/stations", period.start, fmt),
+            "stations_previous": readers.landed_stations(
                 spark, f"{folder}/stations", period.previous_month, fmt
             ),
-            "location_presets": readers.load_groups(spark, f"{folder}/location_presets", fmt),
+            "location_presets": readers.landed_groups(spark, f"{folder}/location_presets", fmt),
             "cities": readers.landed_cities(spark, f"{folder}/cities", fmt),
         }
 
         def registry(name):
-            return flatten_attributes(raw[name], "infos", readers.STATION_INFOS)
+            return flatten_attributes(readers.parsed(raw[name]), "infos", readers.STATION_INFOS)
 
         return cls(
             measurements=readers.chosen_measurements(raw["measurements"], "city"),
@@ -91,13 +98,14 @@ class Inputs:
             ),
             stations=registry("stations"),
             stations_previous=registry("stations_previous"),
-            groups=raw["location_presets"],
-            cities=raw["cities"].select("id", "longitude", "latitude"),
+            groups=readers.parsed(raw["location_presets"]),
+            cities=readers.parsed(raw["cities"]).select("id", "longitude", "latitude"),
             overshoots=readers.load_overshoots(
                 spark, f"{folder}/overshooting", dt.date(period.year, 1, 1)
             ),
             period_files=readers.load_period_files(spark, f"{folder}/period_files"),
             landed_rows=raw,
+            store=KeptStore(spark, store) if store else None,
         )
 
 
@@ -112,11 +120,17 @@ class Snapshot:
         self.tracked, self.capitals, self.plain_cities = tracked, capitals, plain_cities
         self.threshold = period.day_threshold(params.day_share)
 
+    @property
+    def earlier(self) -> list[str]:
+        return earlier_periods(self.period, self.params.history_years)
+
     # --- staged tables ---
 
     @cached_property
     def rollup(self) -> DataFrame:
         m, kept, period = self.inputs.measurements, self.inputs.earlier_rollup, self.period
+        if self.inputs.store is not None:
+            kept = stage(self.inputs.store.rollup(self.earlier, self.params), "kept-rollup")
         first = period.year - self.params.history_years
         if kept is None:
             years = list(range(first, period.year + 1))
@@ -203,9 +217,8 @@ class Snapshot:
         """How many rows break each rule of the landed tables; nothing is stopped."""
         given = self.inputs.landed_rows
         reports = [
-            checks.rule_report(given[name], rules, readers.type_rules(schema)).select(
-                F.lit(name).alias("table"), "*"
-            )
+            checks.rule_report(given[name], rules | readers.parse_rules(given[name]), readers.type_rules(schema))
+            .select(F.lit(name).alias("table"), "*")
             for name, (schema, rules) in readers.table_rules().items()
             if name in given
         ]
@@ -327,13 +340,16 @@ class Snapshot:
     def tracked_series(self) -> DataFrame:
         """Daily rows of the tracked entities in complete years, now and before."""
         i = self.inputs
-        if i.earlier_rollup is not None and i.earlier_tracked is None:
+        kept = i.earlier_tracked
+        if i.store is not None:
+            kept = i.store.tracked_days(self.earlier, self.tracked)
+        elif i.earlier_rollup is not None and kept is None:
             raise checks.DataCheckError(
                 "With a kept rollup the calendar needs the tracked entities' earlier days"
             )
         first = self.period.year - self.params.history_years
         years = list(range(first, self.period.year))
-        source = i.measurements if i.earlier_tracked is None else i.earlier_tracked
+        source = i.measurements if kept is None else kept
         now = with_year_month(filter_period(i.measurements, self.period))
         before = with_year_month(source.where(within_years(F.col("date"), self.period, years)))
         series = rankings.tracked_daily_series(now, before, self.tracked)
@@ -343,25 +359,58 @@ class Snapshot:
         return checks.missing_coordinates(self.summary)
 
 
+def keep_period(snapshot: Snapshot, store: KeptStore) -> dict:
+    """Keep a report's own rollup and its tracked entities' days for the reports of later years."""
+    own = snapshot.rollup.where(F.col("year") == snapshot.period.year)
+    return store.keep(snapshot.period, own, snapshot.inputs.measurements, snapshot.tracked, snapshot.params)
+
+
 def build_snapshot(
     inputs: Inputs, period: Period, folder: str, params: Params = DEFAULTS, fmt: str = "csv",
-    keep_rollup: str | None = None, **lists,
+    keep_rollup: str | None = None, store: str | None = None, publish: bool = False, **lists,
 ) -> DataFrame:
     """Check the inputs, write every result and return the entities without a place.
 
     Results lie below the period's name, those behind the charts in ``charts`` there. With
-    ``keep_rollup`` the period's own rollup is kept in that folder for later reports. What the
-    report staged is dropped at the end; the returned frame reads a written table.
+    ``publish`` they lie in a fresh folder there instead, which ``published_output`` sees once
+    all are complete; a report that dies changes nothing for its readers. With ``keep_rollup``
+    the period's own rollup is kept in that folder for later reports, with ``store`` its rollup
+    and its tracked days in that kept store. What the report staged is dropped at the end; the
+    returned frame reads a written table.
     """
-    spark, out = inputs.measurements.sparkSession, f"{folder}/{period.text}"
+    spark = inputs.measurements.sparkSession
     snapshot = Snapshot(inputs, period, params, **lists)
+
+    def write(out: str) -> list[str]:
+        outputs = snapshot.outputs()
+        writers.write_outputs(outputs, out, fmt)
+        tables = snapshot.chart_tables()
+        writers.write_outputs(tables, f"{out}/charts", fmt)
+        snapshot.missing_coordinates().write.mode("overwrite").parquet(f"{out}/missing_coordinates")
+        return [*outputs, *[f"charts/{name}" for name in tables], "missing_coordinates"]
+
     with staged_tables(spark):
         snapshot.check()
-        writers.write_outputs(snapshot.outputs(), out, fmt)
-        writers.write_outputs(snapshot.chart_tables(), f"{out}/charts", fmt)
-        missing = f"{out}/missing_coordinates"
-        snapshot.missing_coordinates().write.mode("overwrite").parquet(missing)
+        out = f"{folder}/{period.text}"
+        if publish:
+            out = manifests.publish(spark, out, write, {"period": period.text, "format": fmt})["path"]
+        else:
+            write(out)
         if keep_rollup is not None:
             own = snapshot.rollup.where(F.col("year") == period.year)
             rollup_to_keep(own, params).write.mode("overwrite").parquet(f"{keep_rollup}/{period.text}")
-    return spark.read.parquet(missing)
+        if store is not None:
+            keep_period(snapshot, KeptStore(spark, store))
+    return spark.read.parquet(f"{out}/missing_coordinates")
+
+
+def published_output(spark: SparkSession, folder: str, period: Period, name: str) -> DataFrame:
+    """A result of the newest whole report of a period, as it was written."""
+    versions = manifests.versions(spark, f"{folder}/{period.text}")
+    if not versions:
+        raise FileNotFoundError(f"No report of {period.text} is published in {folder}")
+    newest = versions[-1]
+    if name not in newest["tables"]:
+        raise FileNotFoundError(f"The report of {period.text} has no {name}")
+    fmt = "parquet" if name == "missing_coordinates" else "text" if name.endswith(".md") else newest["format"]
+    return spark.read.options(header=True, nullValue="NA").format(fmt).load(f"{newest['path']}/{name}")

@@ -53,6 +53,8 @@ OVERSHOOTS = _schema(
     }
 )
 STATION_INFOS = _schema({"latest_data": TEXT, "status": TEXT})
+#: The column that holds what doesn't parse.
+BROKEN = "_broken"
 PERIOD_FILE = r"^measurements_20\d{2}-\d{2}-\d{2}_20\d{2}-\d{2}-\d{2}[.]csv$"
 PERIOD_GLOB = "measurements_20??-??-??_20??-??-??.csv"
 
@@ -88,6 +90,11 @@ def table_rules() -> dict[str, tuple[T.StructType, dict[str, Column]]]:
     }
 
 
+def parse_rules(df: DataFrame) -> dict[str, Column]:
+    """The rule that a row parses, where the table tells; types of others are checked on the schema."""
+    return {"row parses": F.col(BROKEN).isNull()} if BROKEN in df.columns else {}
+
+
 def type_rules(schema: T.StructType) -> dict[str, str]:
     return {f.name: f.dataType.simpleString() for f in schema}
 
@@ -95,23 +102,67 @@ def type_rules(schema: T.StructType) -> dict[str, str]:
 def _csv(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
     """CSV files with the declared types, columns in the order of their header.
 
-    A file whose header has another order is an error, not a mix-up.
+    A file whose header has another order is an error, not a mix-up. ``BROKEN`` holds the line
+    of a row that doesn't parse, and is NULL for others.
     """
-    options = {"header": True, "enforceSchema": False, "nullValue": "NA", **options}
+    options = {
+        "header": True, "enforceSchema": False, "nullValue": "NA",
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN, **options,
+    }
     # Names only, from a header line; types are never inferred.
     found = require_columns(spark.read.options(**options).csv(path), schema.fieldNames())
     types = {f.name: f.dataType for f in schema}
     as_landed = T.StructType([T.StructField(c, types.get(c, TEXT)) for c in found.columns])
-    return spark.read.options(**options).schema(as_landed).csv(path)
+    rows = spark.read.options(**options).schema(as_landed.add(BROKEN, TEXT)).csv(path)
+    return _whole_rows(rows)
+
+
+def _whole_rows(df: DataFrame) -> DataFrame:
+    """``BROKEN`` of whole rows: the reader only parses columns that a query needs, so telling
+    which rows are broken has to need them all."""
+    needed = F.xxhash64(*[c for c in df.columns if c != BROKEN]) >= F.lit(-(1 << 63))
+    return df.withColumn(BROKEN, F.when(needed, F.col(BROKEN)))
+
+
+def parsed(df: DataFrame) -> DataFrame:
+    """Rows that parsed, without the column that tells."""
+    return df.where(F.col(BROKEN).isNull()).drop(BROKEN) if BROKEN in df.columns else df
+
+
+def _broken(df: DataFrame) -> DataFrame:
+    """(file_name, record) of what didn't parse, as it stands in its file."""
+    where = F.col("_metadata.file_path").alias("file_name")
+    return df.where(F.col(BROKEN).isNotNull()).select(where, F.col(BROKEN).alias("record"))
+
+
+def broken_rows(spark: SparkSession, path: str, schema: T.StructType = MEASUREMENTS) -> DataFrame:
+    """(file_name, record): the lines of CSV files that don't parse, for a quarantine table.
+
+    A line is broken if it has a value of another type or fewer columns than the header.
+    """
+    return _broken(_csv(spark, path, schema))
+
+
+def broken_period_rows(spark: SparkSession, root: str) -> DataFrame:
+    """The same of the period files below a folder."""
+    df = _period_files(spark, root)
+    if df is None:
+        return spark.range(0).select(*[F.lit(None).cast(TEXT).alias(c) for c in ("file_name", "record")])
+    return _broken(df)
 
 
 def _landed(spark: SparkSession, path: str, schema: T.StructType, fmt: str) -> DataFrame:
-    """A landed table with at least the declared columns."""
+    """A landed table with at least the declared columns; broken CSV rows are left in."""
     if fmt == "csv":
         return _csv(spark, path, schema)
     return require_columns(spark.read.format(fmt).load(path), schema.fieldNames())
 
 
+def _as_landed(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The declared columns, and the one that tells broken rows if there is one."""
+    return df.select(*schema.fieldNames(), *([BROKEN] if BROKEN in df.columns else []))
+
+
 def _months(periods: list[tuple[dt.date, dt.date]]) -> list[tuple[int, int]]:
     """(year, month) of every month that a period touches."""
     found = set()
@@ -127,6 +178,8 @@ def landed_measurements(
     """All landed rows of one or more date ranges, whatever their level or source.
 
     On files partitioned by year, or by year and month, these are pruned as well as filtered.
+    Rows of CSV files that don't parse are among them, whatever their date, with their line in
+    ``BROKEN``, so that rule reports count them; ``chosen_measurements`` leaves them out.
     """
     df = _landed(spark, path, MEASUREMENTS, fmt)
     date = F.col("date")
@@ -139,14 +192,16 @@ def landed_measurements(
     if "month" in df.columns:
         # The months of the ranges, so a month's report lists one folder a year.
         df = df.where(F.col("month").cast("int").isin(sorted({month for _, month in months})))
-    return df.where(wanted).select(*MEASUREMENTS.fieldNames())
+    if BROKEN in df.columns:
+        wanted = wanted | F.col(BROKEN).isNotNull()
+    return _as_landed(df.where(wanted), MEASUREMENTS)
 
 
 def chosen_measurements(
     landed: DataFrame, level: str, source: str = "cpcb", pollutant: str = "pm25"
 ) -> DataFrame:
-    """Rows of one level, source and pollutant, with broken values NULL."""
-    df = landed.where(
+    """Rows that parsed, of one level, source and pollutant, with values that are no numbers NULL."""
+    df = parsed(landed).where(
         (F.col("level") == level) & (F.col("process_id") == f"{level}_day_mad")
         & (F.col("source") == source) & (F.col("pollutant") == pollutant)
     )
@@ -168,56 +223,90 @@ def history_periods(period: Period, years: int) -> list[tuple[dt.date, dt.date]]
 
 
 def landed_cities(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _landed(spark, path, CITIES, fmt).select(*CITIES.fieldNames())
+    return _as_landed(_landed(spark, path, CITIES, fmt), CITIES)
 
 
-def load_stations(
+def landed_stations(
     spark: SparkSession, path: str, snapshot_month: dt.date, fmt: str = "parquet"
 ) -> DataFrame:
     """The registry as it was in a month; ``path`` is partitioned by snapshot_month=YYYY-MM."""
     df = _landed(spark, path, STATIONS, fmt)
     # Partition values may be read as dates or as text.
     month = F.substring(F.col("snapshot_month").cast("string"), 1, 7)
-    return df.where(month == f"{snapshot_month:%Y-%m}").select(*STATIONS.fieldNames())
+    return _as_landed(df.where(month == f"{snapshot_month:%Y-%m}"), STATIONS)
+
+
+def landed_groups(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    return _as_landed(_landed(spark, path, GROUPS, fmt), GROUPS)
+
+
+def load_stations(
+    spark: SparkSession, path: str, snapshot_month: dt.date, fmt: str = "parquet"
+) -> DataFrame:
+    return parsed(landed_stations(spark, path, snapshot_month, fmt))
 
 
 def load_groups(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return _landed(spark, path, GROUPS, fmt).select(*GROUPS.fieldNames())
+    return parsed(landed_groups(spark, path, fmt))
 
 
 def load_cities(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return landed_cities(spark, path, fmt).select("id", "longitude", "latitude")
+    return parsed(landed_cities(spark, path, fmt)).select("id", "longitude", "latitude")
 
 
 def overshoot_rows(documents: DataFrame) -> DataFrame:
     """Confirmed overshoots out of documents with an array ``data``; unknown standards are NULL."""
-    rows = documents.select(F.inline("data"))
+    rows = parsed(documents).select(F.inline("data"))
     confirmed = rows.where(F.col("is_overshoot") & ~F.col("is_overshoot_estimated"))
     return confirmed.select(*OVERSHOOTS.fieldNames()).withColumn(
         "target_id", lookup(F.col("target_id"), OVERSHOOT_STANDARDS)
     )
 
 
+def overshoot_documents(spark: SparkSession, path: str) -> DataFrame:
+    """JSON documents with an array ``data``; one that doesn't parse has its text in ``BROKEN``."""
+    schema = T.StructType([T.StructField("data", T.ArrayType(OVERSHOOTS)), T.StructField(BROKEN, TEXT)])
+    return _whole_rows(spark.read.schema(schema).json(path, multiLine=True, columnNameOfCorruptRecord=BROKEN))
+
+
 def load_overshoots(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
-    """One JSON document per city, many cities in parallel; records from a start date on."""
-    schema = T.StructType([T.StructField("data", T.ArrayType(OVERSHOOTS))])
-    rows = overshoot_rows(spark.read.schema(schema).json(path, multiLine=True))
+    """One JSON document per city, many cities in parallel; records from a start date on.
+
+    Documents that don't parse are left out; ``broken_documents`` has them.
+    """
+    rows = overshoot_rows(overshoot_documents(spark, path))
     return rows if since is None else rows.where(F.col("date") >= F.lit(since))
 
 
-def load_period_files(spark: SparkSession, root: str) -> DataFrame:
-    """All period files below a folder, with the name each row came from.
+def broken_documents(spark: SparkSession, path: str, shown: int = 200) -> DataFrame:
+    """(file_name, n_chars, start) of documents that don't parse: where, how long, how they begin."""
+    text = F.col("record")
+    return _broken(overshoot_documents(spark, path)).select(
+        "file_name", F.length(text).cast("bigint").alias("n_chars"), F.substring(text, 1, shown).alias("start")
+    )
 
-    Files of other names are left out; with none left the frame is empty.
-    """
+
+def _period_files(spark: SparkSession, root: str) -> DataFrame | None:
+    """Rows of the period files below a folder, broken ones included; None without files."""
     options = {"recursiveFileLookup": True, "pathGlobFilter": PERIOD_GLOB}
     try:
         df = _csv(spark, root, MEASUREMENTS, **options)
     except AnalysisException as error:
         if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
             raise
+        return None
+    return df.where(F.col("_metadata.file_name").rlike(PERIOD_FILE))
+
+
+def load_period_files(spark: SparkSession, root: str) -> DataFrame:
+    """All period files below a folder, with the name each row came from.
+
+    Files of other names are left out; with none left the frame is empty. Rows that don't parse
+    are left out too; ``broken_period_rows`` has them.
+    """
+    df = _period_files(spark, root)
+    if df is None:
         columns = {f.name: f.dataType for f in MEASUREMENTS} | {"file_name": TEXT}
         return spark.range(0).select(*[F.lit(None).cast(t).alias(c) for c, t in columns.items()])
-    return df.where(F.col("_metadata.file_name").rlike(PERIOD_FILE)).select(
-        *MEASUREMENTS.fieldNames(), F.col("_metadata.file_path").alias("file_name")
-    )
+    rows = df.where(F.col(BROKEN).isNull())
+    return rows.select(*MEASUREMENTS.fieldNames(), F.col("_metadata.file_path").alias("file_name"))

@@ -44,6 +44,26 @@ def test_long_files_count_against_their_first_month(frame):
     assert (found["b"]["month"], found["b"]["percent_days"]) == (JAN, 29 / 31)
 
 
+HALF = "measurements_2024-01-01_2024-06-30.csv"
+
+
+def test_files_named_for_several_months_count_by_month(frame):
+    df = frame(days("a", JAN, 60, HALF) + days("b", FEB, 29, HALF) + days("a", JAN, 31, "measurements_2024-01-01_2024-01-31.csv"), M)
+    found = sorted(rows(completion.observed_completion(df), "location_id", "snapshot_month", "days_with_data", "percent_days"))
+    months = [f"2024-0{m}" for m in range(1, 7)]
+    a = dict(zip(months, (31, 29, 0, 0, 0, 0)))
+    b = dict(zip(months, (0, 29, 0, 0, 0, 0)))
+    length = dict(zip(months, (31, 29, 31, 30, 31, 30)))
+    expected = [("a", m, n, n / length[m]) for m, n in a.items()] + [("b", m, n, n / length[m]) for m, n in b.items()]
+    assert found == sorted(expected + [("a", "2024-01", 31, 1.0)])
+
+
+def test_days_outside_a_named_period_keep_their_own_month(frame):
+    df = frame(days("a", dt.date(2024, 7, 1), 5, HALF), M)
+    found = {r["snapshot_month"]: r["days_with_data"] for r in completion.observed_completion(df).collect()}
+    assert found == {f"2024-0{m}": 0 for m in range(1, 7)} | {"2024-07": 5}
+
+
 def test_no_files(frame):
     observed = completion.observed_completion(frame([], M))
     assert rows(completion.completion_grid(observed)) == []

@@ -11,8 +11,10 @@ from conftest import rows
 from hazeline import Inputs, Params, Snapshot, build_snapshot, period_bounds
 from hazeline.operators.checks import DataCheckError
 from hazeline.operators.rollup import monthly_rollup, rollup_to_keep
+from hazeline.plans.kept import KeptStore
+from hazeline.plans.snapshot import keep_period, published_output
 from hazeline.plans.staging import staging_folder
-from hazeline.sources import readers
+from hazeline.sources import manifests, readers
 
 PERIOD = period_bounds("2024-01")
 CITIES = ["Delhi", "Mumbai", "Kolkata", "Bilaspur", "Bilaspur", "Agra"]
@@ -160,7 +162,10 @@ def test_chart_tables(inputs):
     assert rows(tables["plain_cities"], "label") == [("Agra,\nUttar Pradesh*",)]
     assert tables["map_points"].count() == 5 and tables["plain_map_points"].count() == 1
     years = {(r["location_id"], r["year"]) for r in tables["calendar"].select("location_id", "year").distinct().collect()}
-    assert years == {("delhi", y) for y in (2022, 2023, 2024)} | {("agra", y) for y in (2022, 2024)}
+    assert years == {(city, y) for city in ("delhi", "agra") for y in (2022, 2023, 2024)}
+    # Agra's incomplete year is shown empty.
+    gap = tables["calendar"].where("location_id = 'agra' AND year = 2023")
+    assert gap.count() == 31 and gap.where("value IS NOT NULL").count() == 0
     assert tables["top10_year_on_year"].count() == 5
     assert {r["centre"] for r in tables["compliance_naaqs"].collect()} == {2, 4}
     assert tables["compliance_who"].count() == 12 and tables["top10_labels"].count() == 3
@@ -230,6 +235,45 @@ def test_charts_rules_and_the_rollup_are_written(spark, written, landed, inputs,
     assert {p.name for p in Path(staging_folder(spark).removeprefix("file:")).iterdir()} == before
 
 
+def test_a_report_out_of_the_kept_store_equals_the_whole_one(spark, landed, tmp_path):
+    params = replace(PARAMS, history_years=2)
+    store, out = str(tmp_path / "store"), str(tmp_path / "reports")
+    for text in ("2022-01", "2023-01"):
+        period = period_bounds(text)
+        # The registry is of 2024; only what the store keeps matters here.
+        given = replace(Inputs.landed(spark, landed, PERIOD, params), landed_rows=None)
+        keep_period(Snapshot(given, period, params, tracked=["delhi", "agra"]), KeptStore(spark, store))
+    inputs = Inputs.landed(spark, landed, PERIOD, params, store=store)
+    assert inputs.measurements.where("date < '2024-01-01'").isEmpty()
+    lists = {"tracked": ["delhi", "agra"]}
+    build_snapshot(inputs, PERIOD, out, params, publish=True, store=store, **lists)
+    whole = Snapshot(Inputs.landed(spark, landed, PERIOD, params), PERIOD, params, **lists)
+    expected, charts = whole.outputs(), whole.chart_tables()
+    text = lambda df: sorted(tuple("" if v is None else str(v) for v in r) for r in df.collect())
+    for name, df in {"top5_populous_cities": expected["top5_populous_cities"], "charts/calendar": charts["calendar"]}.items():
+        found = published_output(spark, out, PERIOD, name)
+        assert text(found.select(*found.columns)) == text(df) and found.count() > 0
+    assert published_output(spark, out, PERIOD, "statuses_summary.md").count() >= expected["statuses_summary.md"].count()
+    assert KeptStore(spark, store).periods() == ["2022-01", "2023-01", "2024-01"]
+
+
+def test_a_report_that_dies_leaves_the_one_before(spark, inputs, tmp_path, monkeypatch):
+    out = str(tmp_path / "reports")
+    with pytest.raises(FileNotFoundError):
+        published_output(spark, out, PERIOD, "statuses")
+    build_snapshot(inputs, PERIOD, out, PARAMS, publish=True)
+    before = published_output(spark, out, PERIOD, "statuses").collect()
+
+    def dies(self):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(Snapshot, "chart_tables", dies)
+    with pytest.raises(RuntimeError, match="lost"):
+        build_snapshot(replace(inputs, stations=inputs.stations.where("id <> 'st_agra'")), PERIOD, out, PARAMS, publish=True)
+    assert published_output(spark, out, PERIOD, "statuses").collect() == before
+    assert len(manifests.versions(spark, f"{out}/{PERIOD.text}")) == 1
+
+
 def test_overshoots_start_with_the_year(spark, tmp_path):
     text = '{"data": [%s]}' % ", ".join(
         f'{{"date": "{d}", "location_id": "x", "is_overshoot": true, "is_overshoot_estimated": false}}'

@@ -5,7 +5,7 @@ import pytest
 
 from conftest import rows
 from hazeline.functions.periods import period_bounds
-from hazeline.operators.checks import DataCheckError
+from hazeline.operators.checks import DataCheckError, rule_report
 from hazeline.sources import readers
 from hazeline.sources.writers import write_outputs
 
@@ -49,6 +49,51 @@ def test_measurements_from_csv(spark, tmp_path):
     assert both.count() == 5
 
 
+def test_broken_rows_are_left_out_counted_and_listed(spark, tmp_path):
+    bad = [line("2024-01-02", "high"), line("soon", 3), "2024-01-03,city_day_mad,a"]
+    write(tmp_path / "m" / "a.csv", HEADER, line("2024-01-01", 5.5), *bad)
+    write(tmp_path / "m" / "b.csv", HEADER, line("2024-01-04", 6))
+    folder, range_ = str(tmp_path / "m"), [(JANUARY.start, JANUARY.end)]
+    found = readers.load_measurements(spark, folder, "city", range_, fmt="csv")
+    assert sorted(rows(found, "date")) == [(dt.date(2024, 1, 1),), (dt.date(2024, 1, 4),)]
+    assert found.select("location_id").count() == 2
+    listed = readers.broken_rows(spark, folder).collect()
+    assert sorted(r["record"] for r in listed) == sorted(bad)
+    assert {r["file_name"].rsplit("/", 1)[1] for r in listed} == {"a.csv"}
+    raw = readers.landed_measurements(spark, folder, range_, "csv")
+    report = {r["rule"]: r for r in rule_report(raw, readers.parse_rules(raw)).collect()}
+    assert (report["row parses"]["failed_rows"], report["row parses"]["total_rows"]) == (3, 5)
+    assert readers.parse_rules(found) == {}
+
+
+def test_broken_rows_of_period_files(spark, tmp_path):
+    name = "measurements_2024-01-01_2024-01-31.csv"
+    write(tmp_path / "x" / name, HEADER, line("2024-01-01", 1), line("never", 1))
+    write(tmp_path / "x" / "other.csv", HEADER, line("never", 1))
+    assert readers.load_period_files(spark, str(tmp_path / "x")).count() == 1
+    assert rows(readers.broken_period_rows(spark, str(tmp_path / "x")), "record") == [(line("never", 1),)]
+    write(tmp_path / "y" / "other.csv", HEADER, line("never", 1))
+    assert readers.broken_period_rows(spark, str(tmp_path / "y")).collect() == []
+
+
+def test_broken_documents_are_left_out_and_listed(spark, tmp_path):
+    good = '{"data": [{"date": "2024-01-02", "location_id": "a", "is_overshoot": true, "is_overshoot_estimated": false}]}'
+    write(tmp_path / "o" / "good.json", good)
+    write(tmp_path / "o" / "cut.json", good[:-20])
+    write(tmp_path / "o" / "wrong.json", good.replace("true", '"often"'))
+    assert readers.load_overshoots(spark, str(tmp_path / "o")).count() == 1
+    found = {r["file_name"].rsplit("/", 1)[1]: r for r in readers.broken_documents(spark, str(tmp_path / "o"), 9).collect()}
+    assert set(found) == {"cut.json", "wrong.json"} and found["cut.json"]["start"] == good[:9]
+    assert found["cut.json"]["n_chars"] == len(good) - 20 + 1
+
+
+def test_broken_groups_and_stations_are_left_out(spark, tmp_path):
+    write(tmp_path / "c" / "a.csv", "id,name,gadm1_id,country_id,level,longitude,latitude", "a,A,r,IN,city,77.5,12.9", "b,B,r,IN,city,east,1")
+    assert rows(readers.load_cities(spark, str(tmp_path / "c"), "csv")) == [("a", 77.5, 12.9)]
+    raw = readers.landed_cities(spark, str(tmp_path / "c"), "csv")
+    assert rule_report(raw, readers.parse_rules(raw)).collect()[0]["failed_rows"] == 1
+
+
 def test_column_order_in_csv_is_free_and_extra_columns_go(spark, tmp_path):
     write(tmp_path / "g" / "a.csv", "extra,location_id,name", "1,loc,group")
     assert rows(readers.load_groups(spark, str(tmp_path / "g"), "csv")) == [("group", "loc")]

@@ -460,12 +460,14 @@ def labels(source: str, star: bool) -> str:
 
 def calendar(source: str, first: str, months: str) -> str:
     bins = case_bin("value", [0, *CALENDAR_BINS.values()], list(CALENDAR_BINS))
+    years = f"""(SELECT location_id, city_name, unnest(generate_series(min(year(date)), max(year(date)))) AS year
+           FROM {source} WHERE month(date) <= {months} GROUP BY location_id, city_name)"""
     return f"""
     SELECT location_id, city_name, CAST(y.year AS INTEGER) AS year, day AS date, round(value, 6) AS value,
            CAST(month(day) AS INTEGER) AS month,
            CAST((day(day) - 1 + isodow(date_trunc('month', day)) - 1) // 7 + 1 AS BIGINT) AS week_row,
            CAST(isodow(day) - 1 AS INTEGER) AS weekday, {bins} AS bin
-    FROM (SELECT DISTINCT location_id, city_name, year(date) AS year FROM {source} WHERE month(date) <= {months}) y
+    FROM {years} y
     JOIN (SELECT CAST(unnest(generate_series(DATE '{first}', DATE '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS day) d
       ON year(day) = y.year AND month(day) <= {months}
     LEFT JOIN {source} m USING (location_id, city_name)
@@ -474,12 +476,18 @@ def calendar(source: str, first: str, months: str) -> str:
     SELECT location_id, city_name, CAST(y.year AS INTEGER), day, NULL, CAST(month(day) AS INTEGER),
            CAST((day(day) - 1 + isodow(date_trunc('month', day)) - 1) // 7 + 1 AS BIGINT),
            CAST(isodow(day) - 1 AS INTEGER), NULL
-    FROM (SELECT DISTINCT location_id, city_name, year(date) AS year FROM {source} WHERE month(date) <= {months}) y
+    FROM {years} y
     JOIN (SELECT CAST(unnest(generate_series(DATE '{first}', DATE '2024-12-31', INTERVAL 1 DAY)) AS DATE) AS day) d
       ON year(day) = y.year AND month(day) <= {months}
     WHERE NOT EXISTS (SELECT 1 FROM {source} m WHERE m.location_id = y.location_id AND m.date = day)"""
 
 
+JUNE_MEANS = """
+    SELECT location_id, year, round(round(avg(value), 9), 6) AS mean, count(DISTINCT date) AS days
+    FROM history WHERE month = 6 AND year BETWEEN 1999 AND 2001
+    GROUP BY location_id, year HAVING count(DISTINCT date) >= 15"""
+
+
 REPORT_TOP_PREV = sql(f"""
     SELECT location_id, city_name, gadm1_name AS "State/UT", monitored_days, {OUT}, exceedance_pct,
            {GOOD_TO_WORST}, year
@@ -808,6 +816,60 @@ ORACLES: dict[str, str] = {
     FROM grid g JOIN under USING (location_id)""", "grid", "under"),
     "under_threshold_order": sql("""
     SELECT * REPLACE (round(mean_percent_days, 6) AS mean_percent_days) FROM under""", "under"),
+    "calendar_gap_years": sql(
+        ", gaps AS (SELECT * FROM history WHERE year NOT IN (1994, 1996, 1997))" + calendar("gaps", "1990-01-01", "6"),
+        "history"),
+    "kept_store_days": sql("""
+    SELECT location_id, date, value, year, month FROM history
+    WHERE month = 6 AND year BETWEEN 1999 AND 2001 AND location_id IN (SELECT location_id FROM tracked)
+      AND (city_id, year) IN (SELECT (city_id, year) FROM history WHERE month = 6
+                              GROUP BY city_id, year HAVING count(DISTINCT date) >= 15)""", "history", "tracked"),
+    "kept_store_corrected": sql(JUNE_MEANS, "history"),
+    "kept_store_added": sql(JUNE_MEANS, "history"),
+    "quarantined_rows": sql("""
+    SELECT location_id, CASE WHEN CAST(location_id[5:] AS BIGINT) % 7 = 0 OR CAST(location_id[5:] AS BIGINT) % 11 = 0
+                             THEN 'broken' ELSE 'read' END AS kind, count(*) AS rows
+    FROM daily GROUP BY ALL""", "daily"),
+    "broken_row_rule": sql("""
+    SELECT 'measurements' AS "table", unnest(['row parses', 'level = city']) AS rule,
+           unnest([count(*) FILTER (CAST(location_id[5:] AS BIGINT) % 7 = 0), 0]) AS failed_rows,
+           CAST(0 AS BIGINT) AS unknown_rows, count(*) AS total_rows,
+           unnest([count(*) FILTER (CAST(location_id[5:] AS BIGINT) % 7 = 0) = 0, true]) AS ok
+    FROM daily WHERE date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'
+       OR CAST(location_id[5:] AS BIGINT) % 7 = 0""", "daily"),
+    "broken_documents": """
+    SELECT concat('loc_', l_suppkey) AS location_id,
+           CASE WHEN l_suppkey % 9 <> 0
+                THEN count(*) FILTER (l_discount > 0.05 AND l_linestatus <> 'O') END AS records,
+           CASE WHEN l_suppkey % 9 = 0 THEN '{"data":[' END AS start
+    FROM lineitem GROUP BY l_suppkey
+    HAVING l_suppkey % 9 = 0 OR count(*) FILTER (l_discount > 0.05 AND l_linestatus <> 'O') > 0""",
+    "landed_twice": """
+    SELECT strftime(l_shipdate, '%Y-%m') AS period,
+           concat('measurements_', strftime(date_trunc('month', l_shipdate), '%Y-%m-%d'), '_',
+                  strftime(last_day(l_shipdate), '%Y-%m-%d')) AS file,
+           count(*) AS rows, round(sum(l_quantity), 6) AS quantity,
+           CAST(CASE WHEN any_value(month(l_shipdate)) % 2 = 0 THEN 2 ELSE 1 END AS INTEGER) AS number,
+           CAST(0 AS BIGINT) AS landed_again
+    FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+    GROUP BY ALL""",
+    "published_report": sql("""
+    SELECT s.location_id, round(s.mean, 6) AS mean, e.exceedance_pct FROM summary s
+    JOIN band_day e USING (location_id)""", "summary", "band_day"),
+    "observed_completion_half_year": """
+    WITH rows AS (
+      SELECT n_nationkey AS location_id, n_name AS city_name, r_name AS gadm1_name, n_regionkey AS gadm1_id,
+             CAST(l_shipdate AS DATE) AS date,
+             make_date(year(l_shipdate), CASE WHEN month(l_shipdate) < 7 THEN 1 ELSE 7 END, 1) AS half
+      FROM lineitem JOIN supplier ON l_suppkey = s_suppkey
+           JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+    asked AS (SELECT DISTINCT location_id, city_name, gadm1_name, gadm1_id, half, CAST(half + to_months(CAST(k AS INTEGER)) AS DATE) AS month
+              FROM rows, range(6) t(k))
+    SELECT a.location_id, a.city_name, a.gadm1_name, a.gadm1_id, count(DISTINCT r.date) AS days_with_data, a.month,
+           strftime(a.month, '%Y-%m') AS snapshot_month, CAST(day(last_day(a.month)) AS INTEGER) AS days_in_month,
+           round(count(DISTINCT r.date) / day(last_day(a.month)), 6) AS percent_days
+    FROM asked a LEFT JOIN rows r ON r.location_id = a.location_id AND date_trunc('month', r.date) = a.month
+    GROUP BY a.location_id, a.city_name, a.gadm1_name, a.gadm1_id, a.month""",
     "calendar_cells": sql(calendar("daily", "2024-01-01", "1"), "daily"),
     "calendar_cells_half_year": sql(calendar("history", "1990-01-01", "6"), "history"),
     "map_points": sql(f"""

@@ -18,9 +18,11 @@ from hazeline.operators import charts, checks, completion, rankings, status, sum
 from hazeline.operators import prepare
 from hazeline.operators.rollup import complete_rollup, monthly_rollup, rollup_to_keep
 from hazeline.params import DEFAULTS
-from hazeline.plans.snapshot import Inputs, Snapshot
+from hazeline.functions.numbers import merged_mean
+from hazeline.plans.kept import KeptStore
+from hazeline.plans.snapshot import Inputs, Snapshot, keep_period
 from hazeline.plans.staging import stage, staging_folder
-from hazeline.sources import readers
+from hazeline.sources import landing, manifests, readers
 from verification import fixtures as fx
 
 JANUARY = period_bounds("2024-01")
@@ -214,6 +216,82 @@ def load_period_files(spark, d):
     )
 
 
+def fresh_folder(spark, name: str) -> str:
+    return f"{staging_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def quarantined_rows(spark, d):
+    """Rows read from landed CSV files and lines that don't parse, by location: every seventh
+    user has values that are no numbers, every eleventh dates that are none."""
+    user = F.substring("location_id", 5, 99).cast("bigint")
+    rows = fx.landed(spark, d).select(*readers.MEASUREMENTS.fieldNames()).withColumns({
+        "value": F.when(user % 7 == 0, "high").otherwise(F.col("value").cast("string")),
+        "date": F.when(user % 11 == 0, "soon").otherwise(F.col("date").cast("string")),
+    })
+    path = fresh_folder(spark, "landed-csv")
+    rows.write.option("header", True).csv(path)
+    good = readers.load_measurements(spark, path, "city", [(JANUARY.start, JANUARY.end)], fmt="csv")
+    lines = F.split("record", ",")[2].alias("location_id")
+    counts = [
+        df.groupBy("location_id").agg(F.count("*").alias("rows")).select("location_id", F.lit(kind).alias("kind"), "rows")
+        for kind, df in (("read", good), ("broken", readers.broken_rows(spark, path).select(lines)))
+    ]
+    return counts[0].union(counts[1])
+
+
+@query
+def broken_row_rule(spark, d):
+    """The same as a rule of the landed table, beside what the rules say of the other rows."""
+    user = F.substring("location_id", 5, 99).cast("bigint")
+    value = F.when(user % 7 == 0, "high").otherwise(F.col("value").cast("string"))
+    rows = fx.landed(spark, d).select(*readers.MEASUREMENTS.fieldNames()).withColumn("value", value)
+    path = fresh_folder(spark, "landed-csv")
+    rows.write.option("header", True).csv(path)
+    found = readers.landed_measurements(spark, path, [(JANUARY.start, JANUARY.end)], "csv")
+    inputs = Inputs(
+        measurements=found, station_measurements=found, stations=found, stations_previous=found,
+        groups=found, cities=found, landed_rows={"measurements": found},
+    )
+    report = Snapshot(inputs, JANUARY).rule_reports()
+    return report.where(F.col("rule").isin("row parses", "level = city"))
+
+
+@query
+def broken_documents(spark, d):
+    """Records of landed documents, one per supplier, and the documents that don't parse: those
+    of every ninth supplier are cut off."""
+    records = fx.overshoot_records(spark, d).groupBy(F.col("l_suppkey").alias("city"))
+    texts = records.agg(F.to_json(F.struct(F.collect_list("record").alias("data"))).alias("value"))
+    cut = F.expr("substring(value, 1, length(value) - 9)")
+    texts = texts.withColumn("value", F.when(F.col("city") % 9 == 0, cut).otherwise(F.col("value")))
+    path = fresh_folder(spark, "landed-documents")
+    texts.write.partitionBy("city").text(path)
+    read = readers.load_overshoots(spark, path).groupBy("location_id").agg(F.count("*").alias("records"))
+    city = F.regexp_extract("file_name", "city=([0-9]+)", 1)
+    broken = readers.broken_documents(spark, path).select(
+        F.concat(F.lit("loc_"), city).alias("location_id"), F.lit(None).cast("bigint").alias("records"),
+        F.substring("start", 1, 9).alias("start"),
+    )
+    return read.select("location_id", "records", F.lit(None).cast("string").alias("start")).union(broken)
+
+
+@query
+def landed_twice(spark, d):
+    """Period files landed wrong in even months, then right, then once more the same."""
+    rows = fx.period_file_rows(spark, d).withColumn("period", F.substring("file", 14, 7))
+    wrong = F.month("date") % 2 == 0
+    path = fresh_folder(spark, "landing")
+    landing.land(rows.withColumn("value", F.when(wrong, F.col("value") + 1).otherwise(F.col("value"))), path)
+    landing.land(rows, path)
+    again = landing.land(rows, path).agg(F.count("*")).scalar()
+    found = landing.landed_rows(spark, path).groupBy("period", "file").agg(
+        F.count("*").alias("rows"), F.round(F.sum("value"), 6).alias("quantity")
+    )
+    numbers = landing.landed_files(spark, path).select("period", "file", "number")
+    return found.join(numbers, ["period", "file"]).withColumn("landed_again", again)
+
+
 @query
 def filter_period(spark, d):
     rows = prepare.filter_period(fx.history(spark, d), HALF_YEAR)
@@ -602,6 +680,84 @@ def report_kept_rollup(spark, d):
     return rounded(report.outputs()["top10_polluted_cities_prev"])
 
 
+JUNE = period_bounds("2001-06")
+JUNE_PARAMS = replace(DEFAULTS, high_season_cuts=[50, 60], day_share=0.5, history_years=2)
+
+
+def june_report(spark, d, period, rows, **changes) -> Snapshot:
+    """A June's report with two earlier years."""
+    inputs = Inputs(
+        measurements=rows, station_measurements=rows, stations=fx.registry_new(spark, d),
+        stations_previous=fx.registry_old(spark, d), groups=fx.history_groups(spark, d),
+        cities=no_places(spark), **changes,
+    )
+    return Snapshot(inputs, period, JUNE_PARAMS, tracked=fx.history_tracked(spark, d))
+
+
+def report_from_store(spark, d, store: KeptStore) -> Snapshot:
+    """The report of June 2001 that reads no earlier day."""
+    now = fx.history(spark, d).where(F.col("date") >= F.lit(JUNE.start))
+    return june_report(spark, d, JUNE, now, store=store)
+
+
+def june_means(report: Snapshot) -> DataFrame:
+    """Means and days per entity and year, earlier years included."""
+    return rounded(report.complete.groupBy("location_id", "year").agg(
+        merged_mean().alias("mean"), F.sum(F.bit_count("days_mask")).alias("days")
+    ))
+
+
+@query
+def kept_store_days(spark, d):
+    """Tracked entities' days of three Junes, the earlier two kept by the reports of their years."""
+    store = KeptStore(spark, fresh_folder(spark, "kept"))
+    for year in ("1999-06", "2000-06"):
+        keep_period(june_report(spark, d, period_bounds(year), fx.history(spark, d)), store)
+    series = report_from_store(spark, d, store).tracked_series()
+    return series.select("location_id", "date", "value", "year", "month")
+
+
+def early_store(spark, d, rows) -> KeptStore:
+    store = KeptStore(spark, fresh_folder(spark, "kept"))
+    for text in ("1999-06", "2000-06"):
+        period = period_bounds(text)
+        june = stage(prepare.filter_period(rows, period), "june")
+        store.keep(period, monthly_rollup(june, JUNE_PARAMS), june, fx.history_tracked(spark, d), JUNE_PARAMS)
+    return store
+
+
+@query
+def kept_store_corrected(spark, d):
+    """A third of the kept days came late and a fifth were wrong; their months are made anew."""
+    rows, day = fx.history(spark, d), F.dayofmonth("date")
+    first = rows.where(day % 3 != 0).withColumn("value", F.when(day % 5 == 0, F.col("value") + 1000).otherwise(F.col("value")))
+    store = early_store(spark, d, first)
+    store.correct(rows, rows.where((day % 3 == 0) | (day % 5 == 0)), JUNE_PARAMS)
+    return june_means(report_from_store(spark, d, store))
+
+
+@query
+def kept_store_added(spark, d):
+    """The late third is added to months whose other days are gone."""
+    rows, day = fx.history(spark, d), F.dayofmonth("date")
+    store = early_store(spark, d, rows.where(day % 3 != 0))
+    store.add(rows.where(day % 3 == 0), JUNE_PARAMS)
+    return june_means(report_from_store(spark, d, store))
+
+
+@query
+def published_report(spark, d):
+    """Two results read back from the newer of two published versions."""
+    folder = fresh_folder(spark, "published")
+    r = stage(complete(spark, d), "complete")
+    for rows in (r.where(F.col("location_id") < "loc_2"), r):
+        tables = {"summary": rounded(summary(spark, d, rows)), "exceedance": summaries.exceedance_pct(rows)}
+        manifests.publish_tables(spark, folder, tables, {"period": JANUARY.text})
+    found = manifests.published(spark, folder, "summary").select("location_id", "mean")
+    days = manifests.published(spark, folder, "exceedance").select("location_id", "exceedance_pct")
+    return found.join(days, "location_id")
+
+
 @query
 def report_tracked(spark, d):
     return rounded(history_report(spark, d).outputs()["top5_populous_cities"])
@@ -693,6 +849,17 @@ def observed_completion(spark, d):
     return rounded(completion.observed_completion(fx.period_rows(spark, d)), "percent_days")
 
 
+@query
+def observed_completion_half_year(spark, d):
+    """Shipments in files of half a year, counted by month; no share is over one."""
+    day = F.col("date")
+    start = F.make_date(F.year(day), F.when(F.month(day) < 7, 1).otherwise(7), F.lit(1))
+    end = F.last_day(F.add_months(start, 5))
+    name = F.concat_ws("_", F.lit("measurements"), start, F.concat(end.cast("string"), F.lit(".csv")))
+    rows = fx.period_rows(spark, d).withColumn("file_name", name)
+    return rounded(completion.observed_completion(rows), "percent_days")
+
+
 @query
 def entity_metadata(spark, d):
     return completion.entity_metadata(completion.observed_completion(fx.period_rows(spark, d)))
@@ -754,6 +921,13 @@ def calendar_cells_half_year(spark, d):
     return rounded(charts.calendar_cells(fx.history(spark, d), HALF_YEAR), "value")
 
 
+@query
+def calendar_gap_years(spark, d):
+    """Years that no row is of are shown between those that have rows."""
+    rows = fx.history(spark, d).where(~F.year("date").isin(1994, 1996, 1997))
+    return rounded(charts.calendar_cells(rows, HALF_YEAR), "value")
+
+
 @query
 def map_points(spark, d):
     return rounded(charts.map_points(summary(spark, d)))
