@@ -85,9 +85,11 @@ def edited(text: str, following: str) -> str:
     return text[: len(text) - half] + following[:half]
 
 
+#: Digits come last: the table between has half the bytes without.
+DIGITS = ["fingerprint", "edited_fingerprint", "edited_sha256"]
 NEXT_SCHEMA = (
-    "doc_id bigint, n_chars bigint, fingerprint string, edited_fingerprint string, "
-    "edited_sha256 string, near_edited double, near_next double"
+    "doc_id bigint, n_chars bigint, fingerprint binary, edited_fingerprint binary, "
+    "edited_sha256 binary, near_edited double, near_next double"
 )
 
 
@@ -95,8 +97,8 @@ def _row(key: int | None, text: str, own: np.ndarray, following: str, other: np.
     changed = edited(text, following)
     after = of_text(changed)
     return (
-        key, len(text), own.tobytes().hex(), after.tobytes().hex(),
-        hashlib.sha256(changed.encode()).hexdigest(), likeness(own, after), likeness(own, other),
+        key, len(text), own.tobytes(), after.tobytes(),
+        hashlib.sha256(changed.encode()).digest(), likeness(own, after), likeness(own, other),
     )
 
 
@@ -105,13 +107,15 @@ def next_documents(docs: DataFrame) -> DataFrame:
     next document, by falling doc_id; after the last comes the first.
 
     Null and empty texts are empty texts of zero code points; two of them are alike. A null
-    doc_id comes last, documents of one doc_id are ordered by their text. A row per row.
+    doc_id comes last, documents of one doc_id are ordered by a
+    hash of their text. A row per row.
     """
     names = [c.split()[0] for c in NEXT_SCHEMA.split(", ")]
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.desc_nulls_last("doc_id"), F.asc(F.xxhash64("text")), F.asc("text")]
+    # The sample for the ranges has these keys, so no text is one.
+    order = [F.desc_nulls_last("doc_id"), F.asc(F.xxhash64("text"))]
     ranged = rows.repartitionByRange(*order).sortWithinPartitions(*order)
-    kinds = {"bigint": pa.int64(), "string": pa.string(), "double": pa.float64()}
+    kinds = {"bigint": pa.int64(), "binary": pa.binary(), "double": pa.float64()}
     types = [kinds[c.split()[1]] for c in NEXT_SCHEMA.split(", ")]
 
     def batch_of(part: int, found: list[tuple], edges: list[tuple]) -> pa.RecordBatch:
@@ -153,7 +157,8 @@ def next_documents(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*found), types)], names)
 
     ends = lasts.join(firsts, "part").select("doc_id", "text", "following").mapInArrow(per_pair, NEXT_SCHEMA)
-    return done.where(F.col("first").isNull()).select(*names).union(ends)
+    whole = done.where(F.col("first").isNull()).select(*names).union(ends)
+    return whole.withColumns({c: F.lower(F.hex(c)) for c in DIGITS})
 
 
 def band_keys(least: np.ndarray) -> list[int]:
