@@ -11,7 +11,7 @@ white space; one of more than ``MAX_WORDS`` words is divided before the smallest
 each ``PIECE_WORDS`` words in a row, so equal words are divided alike wherever they stand, but
 for the first and last few of a passage. White space around sentences doesn't count in a span.
 
-The first pass keeps the byte places of the sentences, so the second only cuts, and passes on
+The first pass keeps the byte lengths of the sentences, so the second only cuts, and passes on
 texts without repeats as they are.
 """
 
@@ -99,36 +99,51 @@ def span_hashes(parts: list[bytes], min_words: int) -> tuple[list[int], list[int
 
 
 def spans(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, _row, places, starts, ends, hashes): the byte ends of each text's sentences and
-    its spans, in order."""
+    """(doc_id, _row, lengths, bounds, hashes, inner): the byte lengths of each text's sentences,
+    the first place of each of its spans, and the places where a span comes again in the text.
+
+    A place is its start times 2^32 plus its end.
+    """
 
     def per_batch(batches):
         for batch in in_slices(batches):
-            parts = [sentences(t) for t in batch["_text"].to_pylist()]
-            found = [span_hashes(p, min_words) for p in parts]
-            places = pa.array([np.cumsum([len(x) for x in p], dtype=np.int32) for p in parts], pa.list_(pa.int32()))
-            starts, ends = (pa.array([f[k] for f in found], pa.list_(pa.int32())) for k in (0, 1))
-            hashes = pa.array([np.array(f[2], np.uint64).view(np.int64) for f in found], pa.list_(pa.int64()))
+            lengths, bounds, hashes, inner = [], [], [], []
+            for text in batch["_text"].to_pylist():
+                parts = sentences(text)
+                first: dict[int, int] = {}
+                again = []
+                for start, end, digest in zip(*span_hashes(parts, min_words)):
+                    if digest in first:
+                        again.append(start << 32 | end)
+                    else:
+                        first[digest] = start << 32 | end
+                lengths.append([len(p) for p in parts])
+                bounds.append(list(first.values()))
+                hashes.append(np.array(list(first), np.uint64).view(np.int64))
+                inner.append(again)
+            columns = [pa.array(c, pa.list_(t)) for c, t in ((lengths, pa.int32()), (bounds, pa.int64()), (hashes, pa.int64()), (inner, pa.int64()))]
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["_row"], places, starts, ends, hashes],
-                ["doc_id", "_row", "places", "starts", "ends", "hashes"],
+                [batch["doc_id"], batch["_row"], *columns], ["doc_id", "_row", "lengths", "bounds", "hashes", "inner"]
             )
 
     return docs.select("doc_id", "_row", text_bytes().alias("_text")).mapInArrow(
-        per_batch, "doc_id bigint, _row bigint, places array<int>, starts array<int>, ends array<int>, hashes array<bigint>"
+        per_batch, "doc_id bigint, _row bigint, lengths array<int>, bounds array<bigint>, hashes array<bigint>, inner array<bigint>"
     )
 
 
 def repeated(held: DataFrame) -> DataFrame:
-    """(_row, bounds): the spans of each row that occurred before, as (start, end)."""
-    each = held.where(F.size("hashes") > 0).select(
-        F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "_row", F.explode(F.arrays_zip("starts", "ends", "hashes")).alias("s")
-    ).select("doc", "_row", F.col("s.starts").alias("start"), F.col("s.ends").alias("end"), F.col("s.hashes").alias("hash"))
-    place = F.struct("doc", "_row", "start")
-    twice = each.groupBy("hash").agg(F.count("*").alias("n"), F.min(place).alias("first")).where("n > 1")
+    """(_row, again): the places of each row's spans that an earlier row has.
+
+    The aggregate and the join carry three numbers a span: its hash, its row and its place or
+    its document.
+    """
+    each = held.select(F.coalesce("doc_id", F.lit(LAST)).alias("doc"), "_row", F.explode(F.arrays_zip("bounds", "hashes")).alias("s"))
+    hashes = each.select("doc", "_row", F.col("s.hashes").alias("hash"))
+    twice = hashes.groupBy("hash").agg(F.count("*").alias("n"), F.min_by("_row", "doc").alias("first")).where("n > 1")
     twice = stage(twice.select("hash", "first"), "repeated")
-    again = each.join(twice, "hash").where(place != F.col("first"))
-    return again.groupBy("_row").agg(F.collect_set(F.struct("start", "end")).alias("bounds"))
+    places = each.select("_row", F.col("s.bounds").alias("place"), F.col("s.hashes").alias("hash"))
+    again = places.join(twice, "hash").where("_row <> first")
+    return again.groupBy("_row").agg(F.collect_set("place").alias("again"))
 
 
 def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
@@ -136,31 +151,34 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     ``removed`` holds the removed sentences' numbers. No row is dropped: a text of which all
     goes becomes empty; a null text stays null. Rows alike in doc_id and text are one document
-    and share what is removed. A null doc_id comes after all others. Other columns stay as
-    they are, but for earlier ones of these names, which are replaced.
+    and share what is removed; of rows alike in doc_id alone, either may count as the first. A
+    null doc_id comes after all others. Other columns stay as they are, but for earlier ones of
+    these names, which are replaced.
     """
     added = ["n_sentences", "n_removed", "removed"]
     docs = docs.drop(*added)
     names = docs.columns
-    row, own, places, bounds, size = (spare_name(docs, n) for n in ("_row", "_own", "_places", "_bounds", "_size"))
+    row, own, lengths, bounds, size = (spare_name(docs, n) for n in ("_row", "_own", "_lengths", "_bounds", "_size"))
     rows = docs.withColumn(row, F.xxhash64(F.col("doc_id").cast("bigint"), "text"))
     keys = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col(row).alias("_row"), "text")
     held = stage(spans(keys, min_words), "spans")
-    sizes = held.groupBy("_row").agg(F.max(F.size("places")).alias("n"))
-    cut = repeated(held)
-    cut = held.select("_row", "places").join(cut, "_row").dropDuplicates(["_row"])
-    found = sizes.join(cut, "_row", "left").select(
-        F.col("_row").alias(own), F.col("n").alias(size), F.col("places").alias(places), F.col("bounds").alias(bounds)
+    known = held.select("_row", "lengths", "inner").dropDuplicates(["_row"]).join(repeated(held), "_row", "left")
+    places = F.concat("inner", F.coalesce("again", F.array().cast("array<bigint>")))
+    cut = F.size(places) > 0
+    # Only texts that lose sentences need to know where these are.
+    found = known.select(
+        F.col("_row").alias(own), F.size("lengths").alias(size), F.when(cut, F.col("lengths")).alias(lengths), F.when(cut, places).alias(bounds)
     )
 
     def per_batch(batches):
         for batch in in_slices(batches):
             texts, gone = [], []
-            for text, ends, again in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[places].to_pylist(), batch[bounds].to_pylist()):
+            for text, sizes, again in zip(batch["text"].cast(pa.binary()).to_pylist(), batch[lengths].to_pylist(), batch[bounds].to_pylist()):
                 drop: set[int] = set()
-                for span in again or []:
-                    drop.update(range(span["start"], span["end"]))
+                for place in again or []:
+                    drop.update(range(place >> 32, place & 0xFFFFFFFF))
                 if drop:
+                    ends = np.cumsum(sizes).tolist()
                     text = b"".join(text[i:j] for k, (i, j) in enumerate(zip([0, *ends], ends)) if k not in drop).strip()
                 texts.append(text)
                 gone.append(sorted(drop))
@@ -173,7 +191,7 @@ def without_repeats(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     kinds = [T.LongType(), T.LongType(), T.ArrayType(T.IntegerType())]
     schema = T.StructType([*docs.schema.fields, *map(T.StructField, added, kinds)])
-    source = rows.join(found, rows[row] == found[own]).select(*names, size, places, bounds)
+    source = rows.join(found, rows[row] == found[own]).select(*names, size, lengths, bounds)
     return source.mapInArrow(per_batch, schema)
 
 
