@@ -1,13 +1,19 @@
 """Quality rules by robust multivariate outliers: minimum covariance determinant.
 
 Every text gives five transformed statistics. Per language and source, concentration steps
-look for the part ``SHARE`` of rows with the smallest covariance determinant; a row far from
-its centre by Mahalanobis distance is rejected. Only Spark's own functions run.
+look for the half of the vectors with the smallest covariance determinant, from three starts;
+a row far from its centre by Mahalanobis distance is rejected. Only Spark's own functions run.
+
+Starts are medians with quartile ranges, the shortest halves of each statistic, and plain means
+with covariances. After ``TRIED`` steps the start with the smallest determinant goes on; its
+half, scaled for consistency, then weighs the rows once: those within ``NEAR`` give the result.
+Equal vectors count once, so that a text copied many times is no dense half of its own; up to
+nearly half of the other vectors of a group may be junk.
 
 A step is one pass over small rows: distances are counted in bins per group together with the
 sums that mean and covariance need, so no group is ever sorted or held by one task, and the
-rows of the nearest bins that hold the share make up the next estimate. Groups of fewer than
-``MIN_GROUP`` rows are pooled by language, then all together; a pool still too small rejects
+rows of the nearest bins that hold the half make up the next estimate. Groups of fewer than
+``MIN_GROUP`` vectors are pooled by language, then all together; a pool still too small rejects
 nothing. Covariances get a floor per statistic, as many statistics are zero for most texts.
 """
 
@@ -23,11 +29,14 @@ from pyspark.sql import functions as F
 from hazeline.plans.staging import stage
 
 MIN_WORDS, WINDOW_WORDS, MAX_REPEATED = 20, 8, 30
-SHARE, STEPS, MIN_GROUP = 0.75, 5, 50
+TRIED, STEPS, MIN_GROUP = 2, 3, 50
 #: Parts into which joins with the estimates deal every group.
 SALTS = 16
-#: Consistency of the covariance of the nearest three quarters at five normal dimensions.
-CONSISTENCY = 1.41
+#: Squared distance of the nearest 97.5 % at five normal dimensions, and what makes the covariance
+#: of the nearest half, and of those within that distance, consistent.
+NEAR, HALF_SCALE, NEAR_SCALE = 12.833, 1.912, 1.055
+#: Quantiles of which a start looks for the shortest half, as twentieths.
+TWENTIETHS = 20
 #: Squared distance from which a row goes: far beyond all normal quantiles, as counts are skewed.
 CUT = 100.0
 FLOORS = [0.2, 0.05, 0.3, 0.3, 0.5]
@@ -127,10 +136,21 @@ def _x(i: int) -> Column:
 PAIRS = [(i, j) for i in DIMS for j in DIMS if j <= i]
 
 
-def whitening(moments: DataFrame, scale: float) -> DataFrame:
-    """(g, m*, w*_*): means and the inverse Cholesky factor, from counts and sums per group."""
+def moments() -> list[Column]:
+    """Count and sums that mean and covariance need."""
+    sums = [F.sum(_x(i)).alias(f"s{i}") for i in DIMS]
+    return [F.count("*").alias("n"), *sums, *[F.sum(_x(i) * _x(j)).alias(f"s{i}_{j}") for i, j in PAIRS]]
+
+
+MOMENTS = ["n", *[f"s{i}" for i in DIMS], *[f"s{i}_{j}" for i, j in PAIRS]]
+ESTIMATES = ["g", "start", "logdet", *[f"m{i}" for i in DIMS], *[f"w{i}_{j}" for i, j in PAIRS]]
+
+
+def whitening(sums: DataFrame, scale: float) -> DataFrame:
+    """Estimates from count and sums per group and start: means, the inverse Cholesky factor, and
+    the logarithm of the covariance determinant."""
     n = F.col("n")
-    out = moments.withColumns({f"m{i}": F.col(f"s{i}") / n for i in DIMS})
+    out = sums.withColumns({f"m{i}": F.col(f"s{i}") / n for i in DIMS})
     for i, j in PAIRS:
         spread = (F.col(f"s{i}_{j}") / n - F.col(f"m{i}") * F.col(f"m{j}")) * scale
         inner = [F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)]
@@ -139,7 +159,7 @@ def whitening(moments: DataFrame, scale: float) -> DataFrame:
     for i, j in sorted(PAIRS, key=lambda p: p[0] - p[1]):
         top = F.lit(1.0) if i == j else -reduce(add, [F.col(f"l{i}_{k}") * F.col(f"w{k}_{j}") for k in range(j, i)])
         out = out.withColumn(f"w{i}_{j}", top / F.col(f"l{i}_{i}"))
-    return out.select("g", *[f"m{i}" for i in DIMS], *[f"w{i}_{j}" for i, j in PAIRS])
+    return out.withColumn("logdet", 2 * reduce(add, [F.log(F.col(f"l{i}_{i}")) for i in DIMS])).select(*ESTIMATES)
 
 
 def squared_distance() -> Column:
@@ -155,33 +175,62 @@ def with_estimates(vectors: DataFrame, estimates: DataFrame, how: str = "inner")
 
 
 def first_estimates(vectors: DataFrame, least: int) -> DataFrame:
-    """Medians and quartile ranges per group, of groups that are large enough."""
-    quartiles = [F.percentile_approx(_x(i), [0.25, 0.5, 0.75], 10000).alias(f"q{i}") for i in DIMS]
-    found = vectors.groupBy("g").agg(F.count("*").alias("n"), *quartiles).where(F.col("n") >= least)
-    middle = {f"m{i}": F.col(f"q{i}")[1] for i in DIMS}
-    spread = {i: F.sqrt(((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349) ** 2 + FLOORS[i] ** 2) for i in DIMS}
-    weights = {f"w{i}_{j}": 1 / spread[i] if i == j else F.lit(0.0) for i, j in PAIRS}
-    return found.select("g", *[c.alias(k) for k, c in (middle | weights).items()])
+    """The starts of every group that is large enough."""
+    half, quarter = TWENTIETHS // 2, TWENTIETHS // 4
+    parts = [k / TWENTIETHS for k in range(TWENTIETHS + 1)]
+    quantiles = [F.percentile_approx(_x(i), parts, 10000).alias(f"q{i}") for i in DIMS]
+    found = stage(vectors.groupBy("g").agg(*moments(), *quantiles).where(F.col("n") >= least), "starts")
+
+    def shortest(q: Column) -> Column:
+        def part(k: Column) -> Column:
+            return F.struct((F.get(q, k + half) - F.get(q, k)).alias("width"), F.get(q, k + quarter).alias("middle"))
+
+        return F.array_min(F.transform(F.sequence(F.lit(0), F.lit(half)), part))
 
+    def diagonal(start: int, middles: list[Column], widths: list[Column]) -> DataFrame:
+        spread = [F.sqrt((width / 1.349) ** 2 + FLOORS[i] ** 2) for i, width in enumerate(widths)]
+        weights = {f"w{i}_{j}": 1 / spread[i] if i == j else F.lit(0.0) for i, j in PAIRS}
+        named = {"start": F.lit(start), "logdet": 2 * reduce(add, [F.log(s) for s in spread])}
+        return found.withColumns(named | {f"m{i}": m for i, m in enumerate(middles)} | weights).select(*ESTIMATES)
 
-def concentrated(vectors: DataFrame, estimates: DataFrame, share: float) -> DataFrame:
-    """One concentration step: estimates from the nearest bins that hold the share of a group."""
+    q = [F.col(f"q{i}") for i in DIMS]
+    medians = diagonal(0, [c[half] for c in q], [c[half + quarter] - c[quarter] for c in q])
+    halves = diagonal(1, [shortest(c)["middle"] for c in q], [shortest(c)["width"] for c in q])
+    return medians.union(halves).union(whitening(found.withColumn("start", F.lit(2)), 1.0))
+
+
+def concentrated(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
+    """One concentration step: estimates from the nearest bins that hold half of a group."""
     at = F.floor(BINS_PER_DOUBLING * F.log2(squared_distance() + LEAST)).cast("int")
-    sums = [F.sum(_x(i)).alias(f"s{i}") for i in DIMS] + [F.sum(_x(i) * _x(j)).alias(f"s{i}_{j}") for i, j in PAIRS]
-    bins = with_estimates(vectors, estimates).withColumn("bin", at).groupBy("g", "bin").agg(F.count("*").alias("n"), *sums)
-    group = Window.partitionBy("g")
+    bins = with_estimates(vectors, estimates).withColumn("bin", at).groupBy("g", "start", "bin").agg(*moments())
+    group = Window.partitionBy("g", "start")
     before = F.coalesce(F.sum("n").over(group.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     near = bins.withColumn("before", before).withColumn("all", F.sum("n").over(group))
-    near = near.where(F.col("before") < F.ceil(share * F.col("all")))
-    names = ["n"] + [f"s{i}" for i in DIMS] + [f"s{i}_{j}" for i, j in PAIRS]
-    return whitening(near.groupBy("g").agg(*[F.sum(c).alias(c) for c in names]), CONSISTENCY)
+    near = near.where(F.col("before") < F.floor((F.col("all") + len(FLOORS) + 1) / 2))
+    return whitening(near.groupBy("g", "start").agg(*[F.sum(c).alias(c) for c in MOMENTS]), HALF_SCALE)
+
+
+def best_starts(estimates: DataFrame) -> DataFrame:
+    """The estimates of each group with the smallest determinant, ties to the first start."""
+    rank = F.row_number().over(Window.partitionBy("g").orderBy("logdet", "start"))
+    return estimates.withColumn("rank", rank).where(F.col("rank") == 1).drop("rank")
 
 
-def robust_estimates(vectors: DataFrame, least: int = MIN_GROUP, share: float = SHARE, steps: int = STEPS) -> DataFrame:
+def reweighted(vectors: DataFrame, estimates: DataFrame) -> DataFrame:
+    """Estimates from all vectors within ``NEAR``."""
+    near = with_estimates(vectors, estimates).where(squared_distance() <= NEAR)
+    return whitening(near.groupBy("g", "start").agg(*moments()), NEAR_SCALE)
+
+
+def robust_estimates(vectors: DataFrame, least: int = MIN_GROUP, tried: int = TRIED, steps: int = STEPS) -> DataFrame:
+    """Minimum covariance determinant estimates of the vectors of each group, a row per group."""
     estimates = stage(first_estimates(vectors, least), "estimates")
+    for _ in range(tried):
+        estimates = stage(concentrated(vectors, estimates), "estimates")
+    estimates = stage(best_starts(estimates), "estimates")
     for _ in range(steps):
-        estimates = stage(concentrated(vectors, estimates, share), "estimates")
-    return estimates
+        estimates = stage(concentrated(vectors, estimates), "estimates")
+    return stage(reweighted(vectors, estimates), "estimates")
 
 
 def quality_verdicts(docs: DataFrame, cut: float = CUT, least: int = MIN_GROUP) -> DataFrame:
@@ -189,18 +238,20 @@ def quality_verdicts(docs: DataFrame, cut: float = CUT, least: int = MIN_GROUP)
 
     Rows that fail the base rules are not kept and take no part in estimates; their distance is
     null, as is that of rows whose pool is too small, which are kept. Languages and sources that
-    are null make groups of their own. Rows that repeat count and come out each.
+    are null make groups of their own. Rows with equal statistics count once in the estimates and
+    come out each.
     """
-    found = stage(base_statistics(docs).withColumn("_key", group_key()), "statistics")
-    passed = ~F.col("base_failed")
-    groups = stage(pooled_groups(found.where(passed), least), "groups")
-    grouped = found.join(groups, "_key", "left").withColumns(
-        {"g": F.when(passed, F.col("g"))} | {f"x{i}": F.when(passed, c) for i, c in enumerate(vector())}
-    )
-    salt = F.pmod(F.xxhash64("doc_id", "n_words", "word_chars"), F.lit(SALTS)).cast("int")
-    vectors = stage(grouped.drop("_key").withColumn("salt", salt), "vectors")
-    estimates = robust_estimates(vectors.where(passed), least)
-    judged = with_estimates(vectors, estimates, "left").withColumn("distance", F.sqrt(squared_distance()))
+    passed, x = ~F.col("base_failed"), [f"x{i}" for i in DIMS]
+    found = base_statistics(docs).withColumn("_key", group_key())
+    found = stage(found.withColumns({n: F.when(passed, c) for n, c in zip(x, vector())}), "statistics")
+    distinct = stage(found.where(passed).select("_key", *x).distinct(), "distinct")
+    groups = stage(pooled_groups(distinct, least), "groups")
+    salt = F.pmod(F.xxhash64(*x), F.lit(SALTS)).cast("int")
+    vectors = stage(distinct.join(groups, "_key").select("g", *x).distinct().withColumn("salt", salt), "vectors")
+    estimates = robust_estimates(vectors, least)
+    dealt = F.pmod(F.xxhash64("doc_id", *x), F.lit(SALTS)).cast("int")
+    grouped = found.join(groups, "_key", "left").withColumns({"g": F.when(passed, F.col("g")), "salt": dealt})
+    judged = with_estimates(grouped, estimates, "left").withColumn("distance", F.sqrt(squared_distance()))
     kept = passed & F.coalesce(F.col("distance") <= cut**0.5, F.lit(True))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "distance",

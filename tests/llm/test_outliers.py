@@ -1,8 +1,8 @@
-import math
 import re
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from hazeline.llm import outliers
 from tests.llm.conftest import words
@@ -35,34 +35,61 @@ def test_base_statistics_equal_brute_force(spark, documents):
         assert r.base_failed == (r.n_words < 20 or 100 * r.n_repeat_words > 30 * r.n_words)
 
 
-def numpy_estimate(x, steps=outliers.STEPS):
-    floors = np.array(outliers.FLOORS)
-    low, middle, high = np.quantile(x, [0.25, 0.5, 0.75], axis=0, method="inverted_cdf")
-    white = np.diag(1 / np.sqrt(((high - low) / 1.349) ** 2 + floors**2))
-    for _ in range(steps):
-        d = (((x - middle) @ white.T) ** 2).sum(axis=1)
-        bins = np.floor(outliers.BINS_PER_DOUBLING * np.log2(d + outliers.LEAST))
-        wanted = math.ceil(outliers.SHARE * len(x))
-        limit = np.sort(bins)[wanted - 1]
-        near = x[bins <= limit]
-        middle = near.mean(axis=0)
-        spread = (near.T @ near / len(near) - np.outer(middle, middle)) * outliers.CONSISTENCY
-        white = np.linalg.inv(np.linalg.cholesky(spread + np.diag(floors**2)))
-    return middle, white
+FLOORS = np.diag(np.array(outliers.FLOORS) ** 2)
+
+
+def numpy_whitening(near, scale):
+    middle = near.mean(axis=0)
+    spread = (near.T @ near / len(near) - np.outer(middle, middle)) * scale + FLOORS
+    return np.linalg.slogdet(spread)[1], middle, np.linalg.inv(np.linalg.cholesky(spread))
+
+
+def numpy_step(x, middle, white):
+    bins = np.floor(outliers.BINS_PER_DOUBLING * np.log2((((x - middle) @ white.T) ** 2).sum(axis=1) + outliers.LEAST))
+    return numpy_whitening(x[bins <= np.sort(bins)[(len(x) + 6) // 2 - 1]], outliers.HALF_SCALE)
+
+
+def numpy_estimate(x):
+    q = np.quantile(x, np.arange(21) / 20, axis=0, method="inverted_cdf")
+    at = np.array([min(range(11), key=lambda k: (q[k + 10, i] - q[k, i], q[k + 5, i])) for i in range(5)])
+    halves = q[at + 5, range(5)], q[at + 10, range(5)] - q[at, range(5)]
+    starts = [(m, np.diag(1 / np.sqrt((w / 1.349) ** 2 + np.diag(FLOORS)))) for m, w in ((q[10], q[15] - q[5]), halves)]
+    starts.append(numpy_whitening(x, 1.0)[1:])
+    tried = []
+    for middle, white in starts:
+        for _ in range(outliers.TRIED):
+            det, middle, white = numpy_step(x, middle, white)
+        tried.append((det, middle, white))
+    _, middle, white = min(tried, key=lambda t: t[0])
+    for _ in range(outliers.STEPS):
+        _, middle, white = numpy_step(x, middle, white)
+    return numpy_whitening(x[(((x - middle) @ white.T) ** 2).sum(axis=1) <= outliers.NEAR], outliers.NEAR_SCALE)[1:]
 
 
 def test_estimates_equal_numpy(spark):
     rng = np.random.default_rng(5)
-    groups = {"a": rng.normal(0, 1, (400, 5)) @ rng.normal(0, 0.5, (5, 5)), "b": rng.normal(3, 0.2, (120, 5))}
+    groups = {"a": rng.normal(0, 1, (400, 5)) @ rng.normal(0, 0.5, (5, 5)), "b": rng.normal(3, 0.2, (120, 5)), "c": rng.normal(0, 1, (301, 5))}
     groups["a"][:60] += 40
+    groups["c"][:130] = groups["c"][:130] * 0.5 + 9
     rows = [(g, i % outliers.SALTS, *map(float, x)) for g, xs in groups.items() for i, x in enumerate(xs)]
     vectors = spark.createDataFrame(rows, "g string, salt int, " + ", ".join(f"x{i} double" for i in range(5)))
-    for r in outliers.robust_estimates(vectors).collect():
+    found = outliers.robust_estimates(vectors).collect()
+    assert {r.g for r in found} == set(groups)
+    for r in found:
         middle, white = numpy_estimate(groups[r.g])
         np.testing.assert_allclose([r[f"m{i}"] for i in range(5)], middle, rtol=1e-6, atol=1e-8)
         np.testing.assert_allclose([r[f"w{i}_{j}"] for i, j in outliers.PAIRS], [white[i, j] for i, j in outliers.PAIRS], rtol=1e-6, atol=1e-8)
 
 
+@pytest.mark.parametrize("copied", [False, True])
+def test_two_fifths_of_junk_go(spark, copied):
+    clean = [(i, words(i, 60 + i % 50), "en", "s") for i in range(240)]
+    spoilt = lambda i: " ".join(w + "###" for w in words(i, 60 + i % 50).split())
+    junk = [(1000 + i, spoilt(0 if copied else i), "en", "s") for i in range(160)]
+    docs = spark.createDataFrame(clean + junk, "doc_id long, text string, lang string, source string")
+    assert {r.doc_id for r in outliers.quality_verdicts(docs).collect() if r.kept} == set(range(240))
+
+
 def test_junk_goes_and_clean_texts_stay(spark):
     clean = [(i, words(i, 60 + i % 50), "en", "s") for i in range(120)]
     junk = [(500 + i, " ".join(w + "###" for w in words(i, 60).split()), "en", "s") for i in range(12)]
