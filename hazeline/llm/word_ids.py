@@ -9,14 +9,18 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 import public_tokenizers
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
-CACHED, TOGETHER = 150_000, 1000
-PLAIN = re.compile("[a-zà-öø-ÿ]+")
+CACHED, TOGETHER = 250_000, 1000
+#: Letters a to z and à to ÿ in UTF-8.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])+")
+#: A single mark that ends a word; it has ids of its own, so the word needs no second entry.
+MARKED = re.compile(rb"[.,](?=[ \n])(?<=[a-z].)")
 LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -36,7 +40,7 @@ class ChunkIds:
 
     def encode(self, text: bytes) -> np.ndarray:
         """Ids of a whole text in UTF-8."""
-        chunks = text.translate(LOWER).split()
+        chunks = MARKED.sub(rb" \g<0>", text.translate(LOWER)).split()
         found = list(map(self.known.get, chunks))
         if None in found:
             own = self._learn({c for c, ids in zip(chunks, found) if ids is None})
@@ -44,37 +48,27 @@ class ChunkIds:
         return np.frombuffer(b"".join(found), "<u2")
 
     def _learn(self, chunks: set[bytes]) -> dict[bytes, bytes]:
-        plain, other = [], []
-        parts: dict[bytes, tuple[bytes, bytes]] = {}
-        own = {c: self.older[c] for c in chunks if c in self.older}
-        for chunk in sorted(chunks - own.keys()):
-            word = chunk.decode()
-            if PLAIN.fullmatch(word):
-                plain.append(word)
-            elif word[-1] in ".," and PLAIN.fullmatch(word, 0, len(word) - 1):
-                parts[chunk] = (chunk[:-1], chunk[-1:])
-            else:
-                other.append(word)
-        for piece in {p for pair in parts.values() for p in pair}:
-            ids = self.known.get(piece) or self.older.get(piece)
-            if ids:
-                own[piece] = ids
-            else:
-                (plain if len(piece) > 1 or piece.isalpha() else other).append(piece.decode())
-        plain = sorted(set(plain) - {w.decode() for w in own})
+        own = {c: ids for c in chunks if (ids := self.older.get(c)) is not None}
+        fresh = sorted(chunks - own.keys())
+        plain = [c for c in fresh if PLAIN.fullmatch(c)]
         for at in range(0, len(plain), TOGETHER):
-            words = plain[at : at + TOGETHER]
-            ids = np.array(self.coder.encode(" ".join(words), add_special_tokens=False).ids, "<u2")
-            own |= zip((w.encode() for w in words), (p.tobytes() for p in np.split(ids, np.flatnonzero(self.ends[ids]) + 1)))
-        if other := sorted(set(other)):
-            coded = self.coder.encode_batch_fast(other, add_special_tokens=False)
-            own |= {w.encode(): np.array(e.ids, "<u2").tobytes() for w, e in zip(other, coded)}
-        own |= {chunk: own[word] + own[mark] for chunk, (word, mark) in parts.items()}
+            own |= self._together(plain[at : at + TOGETHER])
+        if len(plain) < len(fresh):
+            other = [c for c in fresh if c not in own]
+            coded = self.coder.encode_batch_fast([c.decode() for c in other], add_special_tokens=False)
+            own |= {c: np.array(e.ids, "<u2").tobytes() for c, e in zip(other, coded)}
         self.known |= own
         if len(self.known) > self.most:
             self.older, self.known = self.known, {}
         return own
 
+    def _together(self, chunks: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Plain words and their ids by one call; each of them ends in an end token."""
+        coded = self.coder.encode_batch_fast([b" ".join(chunks).decode()], add_special_tokens=False)[0]
+        ids = np.array(coded.ids, "<u2")
+        stops = (2 * (np.flatnonzero(self.ends[ids]) + 1)).tolist()
+        return zip(chunks, map(ids.tobytes().__getitem__, map(slice, [0, *stops], stops)))
+
 
 @cache
 def chunk_ids(path: str) -> ChunkIds:
