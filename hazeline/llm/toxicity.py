@@ -3,11 +3,17 @@
 Disguised tokens are decoded by Viterbi over a lattice of letters: look-alike digits and signs,
 letters set apart by signs or spaces, letters repeated. A path costs what the channel charges
 for its changes plus what a language model charges for its letters: trigrams counted over the
-whole corpus, mixed with a lexicon of words. The restored words then meet a logistic model, whose
+whole corpus, mixed with a lexicon of words. Letters set apart may hold several words, so there a
+path may also end a word and begin another. The restored words then meet a logistic model, whose
 features are words and word beginnings, counted and weighed against the length of the text.
 
-Learning: the lexicon and the weights come from at most about ``SAMPLE`` labelled rows of folds
-1 to 4, taken by a hash of doc_id; the letter trigrams come from every document.
+A token may have any length: four or more equal characters in a row count as three, of more than
+``BEAM`` states the cheapest go on, and every ``LAG`` characters the cheapest alone does, so that
+time is linear in the length and memory bounded.
+
+Learning: the weights come from at most about ``SAMPLE`` labelled rows of folds 1 to 4, taken by
+a hash of doc_id. Letter trigrams and the lexicon come from every document; the lexicon has the
+words that make up ``LEAST_SHARE`` of all words or more, which are at most one over that share.
 """
 
 from __future__ import annotations
@@ -17,6 +23,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from heapq import nsmallest
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +33,12 @@ from pyspark.sql import functions as F
 from hazeline.llm.inputs import fold_of, in_slices, text_bytes, texts_of
 from hazeline.plans.staging import stage
 
-SAMPLE, FEATURES, LEXICON, MIN_DOCS, LEAST_Z, RIDGE = 16384, 384, 20000, 5, 5.0, 0.3
+SAMPLE, FEATURES, MIN_DOCS, LEAST_Z, RIDGE = 16384, 384, 5, 5.0, 0.3
+LEAST_SHARE, LEAST_COUNT, HELD_WORDS = 2e-6, 5, 200_000
 BEGINNINGS, GATE, CLEAN_TAIL = (4, 5, 6, 7), 4, 1e-3
 EDGE, OTHER, SYMBOLS = 0, 27, 28
-LEXICON_SHARE, SIGN_COST, REPEAT_COST, MASK_COST, SKIP_COST = 0.5, 1.0, 0.7, 3.0, 6.0
-MAX_LETTERS = 24
+LEXICON_SHARE, SIGN_COST, REPEAT_COST, MASK_COST, SKIP_COST, SPLIT_COST = 0.5, 1.0, 0.7, 3.0, 6.0, 2.0
+BEAM, LAG, CACHED = 512, 2048, 64
 
 # Letters that digits and signs stand for in disguised spelling.
 LOOKALIKES = {
@@ -45,6 +53,9 @@ SPACED = re.compile(rf"(?<!\S)(?:[a-z{SIGN}][ .\-_]){{3,}}[a-z{SIGN}](?![^\s.,;:
 SIGNS = re.compile(rf"[{SIGN}]+".encode())
 TOKEN = re.compile(rf"[a-z{SIGN}\x80-\xff]+".encode())
 LEET = re.compile(rf"(?=[^a-z]*[a-z])(?:[a-z]*[{SIGN}]+[a-z][a-z{SIGN}]*|[a-z]{{2,}}[{SIGN}])".encode())
+SIGNED = bytes(35 if chr(c) in LOOKALIKES else p for c, p in enumerate(PLAIN))
+LONG_RUN = re.compile(rf"([a-z{SIGN}])\1{{3,}}")
+LEXICAL = re.compile(rb"(?!.*(.)\1\1)[a-z]{2,}")
 TRIPLES = [bytes([c]) * 3 for c in range(97, 123)]
 DRAWN = re.compile(rb"(?<![a-z\x80-\xff])[a-z]*([a-z])\1\1[a-z]*(?![a-z\x80-\xff])")
 
@@ -83,6 +94,46 @@ def letter_trigrams(docs: DataFrame) -> DataFrame:
     return parts.groupBy("code").agg(F.sum("n").alias("n"))
 
 
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n): words of two or more letters a to z over all texts. Words that touch a look-alike
+    sign or draw out a letter are left out, as they may be disguised themselves."""
+
+    def counted(words: Counter[bytes]) -> pa.RecordBatch:
+        kept = [w for w in words if LEXICAL.fullmatch(w)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array([w.decode() for w in kept], pa.string()), pa.array([words[w] for w in kept], pa.int64())], ["word", "n"]
+        )
+
+    def per_batch(batches):
+        words: Counter[bytes] = Counter()
+        for batch in in_slices(batches):
+            for text in batch["_text"].to_pylist():
+                words.update(text.translate(SIGNED).split())
+                if len(words) > HELD_WORDS:
+                    yield counted(words)
+                    words.clear()
+        yield counted(words)
+
+    parts = docs.select(text_bytes().alias("_text")).mapInArrow(per_batch, "word string, n bigint")
+    return parts.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def lexicon(docs: DataFrame, least_share: float = LEAST_SHARE) -> dict[str, int]:
+    """Counts of the words with a share of all words, at most ``1 / least_share`` of them."""
+    counts = stage(word_counts(docs), "words")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    return dict(counts.where(F.col("n") >= max(LEAST_COUNT, least_share * total)).collect())
+
+
+def _letters_of(back: tuple | None) -> str:
+    """The letters of a path, which is its last letter and the path before."""
+    letters = []
+    while back:
+        back, letter = back
+        letters.append(letter)
+    return "".join(reversed(letters))
+
+
 @dataclass
 class Channel:
     """Letter costs by trigram and word costs by lexicon, in nats."""
@@ -114,30 +165,51 @@ class Channel:
         found = [(c, cost) for c in LOOKALIKES[sign]] + [("", SKIP_COST)]
         return found + [("", REPEAT_COST)] if at > 0 and token[at - 1] == sign else found
 
-    def restore(self, token: str) -> str:
-        """The cheapest word behind a token. A state is the last two letters and the prefix of a
-        lexicon word, or none."""
-        states: dict[tuple[int, int, str | None], tuple[float, str]] = {(EDGE, EDGE, ""): (0.0, "")}
+    def ended(self, state: tuple[int, int, str | None], value: tuple[float, float, tuple | None]) -> float:
+        """The cost of a path that ends its word here: spelt by letters, or a word of the lexicon."""
+        (a, b, prefix), (cost, spelled, _) = state, value
+        by_letters = spelled - math.log(1 - LEXICON_SHARE) + self.cost[(a * SYMBOLS + b) * SYMBOLS]
+        word = self.words.get(prefix, math.inf) - math.log(LEXICON_SHARE) if prefix else math.inf
+        return cost - spelled + min(by_letters, word)
+
+    def restore(self, token: str, spaced: bool = False) -> str:
+        """The cheapest word behind a token, or words behind letters set apart.
+
+        A state is the last two letters and the prefix of a lexicon word, or none; it has the cost
+        of its path, the part of it that the trigrams charge for the word at hand, and the path.
+        """
+        states: dict[tuple[int, int, str | None], tuple[float, float, tuple | None]] = {(EDGE, EDGE, ""): (0.0, 0.0, None)}
+        done: list[str] = []
+        if not spaced:
+            token = LONG_RUN.sub(r"\1\1\1", token)
         for at in range(len(token)):
-            ahead: dict[tuple[int, int, str | None], tuple[float, str]] = {}
-            for (a, b, prefix), (cost, text) in states.items():
-                for letter, change in self.options(token, at):
+            ahead: dict[tuple[int, int, str | None], tuple[float, float, tuple | None]] = {}
+            options = self.options(token, at)
+            for (a, b, prefix), (cost, spelled, back) in states.items():
+                for letter, change in options:
                     if letter:
                         c = ord(letter) - 96
+                        charge = self.cost[(a * SYMBOLS + b) * SYMBOLS + c]
                         longer = None if prefix is None or prefix + letter not in self.prefixes else prefix + letter
-                        key, value = (b, c, longer), (cost + change + self.cost[(a * SYMBOLS + b) * SYMBOLS + c], text + letter)
+                        key, value = (b, c, longer), (cost + change + charge, spelled + charge, (back, letter))
                     else:
-                        key, value = (a, b, prefix), (cost + change, text)
-                    if key not in ahead or value < ahead[key]:
+                        key, value = (a, b, prefix), (cost + change, spelled, back)
+                    if key not in ahead or value[0] < ahead[key][0]:
                         ahead[key] = value
+            if spaced and at + 1 < len(token) and options[0][0]:
+                end, key = min(((self.ended(k, v), k) for k, v in ahead.items() if k[1] != EDGE), key=lambda e: e[0])
+                start = (EDGE, EDGE, "")
+                if start not in ahead or end + SPLIT_COST < ahead[start][0]:
+                    ahead[start] = (end + SPLIT_COST, 0.0, (ahead[key][2], " "))
+            if len(ahead) > BEAM:
+                ahead = dict(nsmallest(BEAM, ahead.items(), key=lambda e: e[1][0]))
+            if at % LAG == LAG - 1:
+                key, (cost, spelled, back) = min(ahead.items(), key=lambda e: e[1][0])
+                done.append(_letters_of(back))
+                ahead = {key: (cost, spelled, None)}
             states = ahead
-        best = (math.inf, "")
-        for (a, b, prefix), (cost, text) in states.items():
-            spelled = self.spelling(text)
-            by_letters = spelled - math.log(1 - LEXICON_SHARE) + self.cost[(a * SYMBOLS + b) * SYMBOLS]
-            word = self.words.get(text, math.inf) - math.log(LEXICON_SHARE) if text else math.inf
-            best = min(best, (cost - spelled + min(by_letters, word), text))
-        return best[1]
+        best = min(states.items(), key=lambda e: self.ended(*e))
+        return "".join([*done, _letters_of(best[1][2])])
 
     def spelling(self, text: str) -> float:
         """What the trigrams charge for a word, without its end."""
@@ -155,14 +227,16 @@ class Channel:
         found: list[tuple[int, int, str]] = []
         for start, end in sorted(set(disguised(low))):
             token = low[start:end]
-            spaced = SPACED.fullmatch(token) is not None
-            if end - start > (2 * MAX_LETTERS if spaced else MAX_LETTERS) or (found and start < found[-1][1]):
+            if found and start < found[-1][1]:
                 continue
-            if token not in self.cache:
-                if len(self.cache) > 50_000:
-                    self.cache.clear()
-                self.cache[token] = self.restore(token.decode())
-            found.append((start, end, self.cache[token]))
+            word = self.cache.get(token)
+            if word is None:
+                word = self.restore(token.decode(), SPACED.fullmatch(token) is not None)
+                if len(token) <= CACHED:
+                    if len(self.cache) > 50_000:
+                        self.cache.clear()
+                    self.cache[token] = word
+            found.append((start, end, word))
         return found
 
     def restorations(self, text: bytes) -> list[tuple[str, str]]:
@@ -291,7 +365,7 @@ def _says_more(other, row) -> bool:
 
 
 def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> ToxicityModel:
-    """Learn letter trigrams from all documents, the rest from a bounded labelled sample.
+    """Learn letter trigrams and the lexicon from all documents, weights from a bounded sample.
 
     Features count as telling from ``LEAST_Z`` standard deviations on. Without labels of both
     kinds, or telling features, every score is the share of toxic labels, or 0 without any.
@@ -305,10 +379,8 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> ToxicityModel
     expected = F.col("n") * F.lit(toxic / max(1, n))
     ranked = frequent.withColumn("z", F.abs(F.col("t") - expected) / F.sqrt(expected + F.lit(1e-9)))
     telling = ranked.where(F.col("z") >= LEAST_Z).orderBy(F.desc("z"), "feature").limit(FEATURES).collect()
-    spelled = F.col("feature").cast("string").rlike("^[a-z]{2,} $")
-    common = frequent.where(spelled).orderBy(F.desc("n"), "feature").limit(LEXICON).collect()
-    lexicon = {r.feature[:-1].decode(): r.n for r in [*common, *telling] if re.fullmatch(rb"[a-z]{2,} ", r.feature)}
-    channel = Channel.of(counts, lexicon)
+    words = {r.feature[:-1].decode(): r.n for r in telling if LEXICAL.fullmatch(r.feature[:-1]) and r.feature.endswith(b" ")}
+    channel = Channel.of(counts, words | lexicon(docs))
     if not telling or not 0 < toxic < n:
         share = toxic / n if n else 0.0
         return ToxicityModel(channel, {}, math.log((share + 1e-13) / (1 - share + 1e-13)))

@@ -78,6 +78,45 @@ def test_disguised_words_are_restored_and_scored(learned, disguised, plain):
     assert model.score(text.replace(disguised.encode(), b"fine").replace(b"m0r0n 1di0t", b"good day")) < 0.1
 
 
+@pytest.mark.parametrize("letters", [4, 20, 50, 5000])
+def test_drawn_out_words_of_any_length(learned, letters):
+    model = learned[2]
+    text = f"{words(7, 30)} st{'u' * letters}pid l{'0' * letters}ser {words(8, 30)}".encode()
+    assert {"stupid", "loser"} <= {w for _, w in model.channel.restorations(text)}
+    assert model.score(text) >= 0.5
+
+
+@pytest.mark.parametrize("gap", " .-_")
+def test_several_words_set_apart(learned, gap):
+    model, plain = learned[2], "the story of the stupid idiot the moron of the loser trash"
+    (found,) = model.channel.restorations(gap.join(plain.replace(" ", "")).encode())
+    assert found[1] == plain
+    assert model.score(gap.join("thestoryofthestupididiot").encode()) == pytest.approx(model.score(b"the story of the stupid idiot"))
+
+
+def test_long_tokens_take_linear_time_and_end(learned):
+    channel = learned[2].channel
+    for token in ("ab4" * 20_000, "a b " * 20_000, "1" * 100_000 + "a", "*e" * 3_000):
+        assert len(channel.found_in(token.encode())) == 1
+
+
+def test_a_narrow_beam_and_short_lag_still_end_words(learned, monkeypatch):
+    monkeypatch.setattr(toxicity, "BEAM", 40)
+    monkeypatch.setattr(toxicity, "LAG", 13)
+    channel = toxicity.Channel(learned[2].channel.letters, learned[2].channel.words)
+    assert channel.restore("s t u p i d", True) == "stupid" and channel.restore("$tup1d") == "stupid"
+
+
+def test_lexicon_equals_brute_force(spark, monkeypatch):
+    texts = ["Abc abc, of it! it it", "it st*pid of soooo it", None, "", "it é of of of", "abc abc x"]
+    rows = spark.createDataFrame([(t,) for t in texts], "text string")
+    expected = {"abc": 4, "of": 5, "it": 5}
+    assert {r.word: r.n for r in toxicity.word_counts(rows).collect()} == expected
+    assert toxicity.lexicon(rows) == {"of": 5, "it": 5} and toxicity.lexicon(rows, 0.5) == {}
+    monkeypatch.setattr(toxicity, "HELD_WORDS", 1)
+    assert {r.word: r.n for r in toxicity.word_counts(rows).collect()} == expected
+
+
 def test_clean_texts_are_left_alone(learned):
     model = learned[2]
     for text in ("", "the story of a b c d", "call 555-1234 at 10am", "thing### and&&& more!!", "mail me at a1@b2.example.com", "x " * 5000):
