@@ -1,9 +1,15 @@
 """Main text of web pages by tag-path ratios.
 
-A page is read once into text nodes, each with its path of tags from the root. What is no text
-of an article by its tag, role or class - scripts, menus, forms, adverts, comments and so on -
-is left out with all that it holds. For the rest, the length and the punctuation of all text
-nodes with one path are summed; a path's ratios are these sums over its nodes. The ratios are
+A page is read once into text nodes, each with its path of tags from the root. Scripts, styles,
+form controls, menus, headers, footers and hidden elements are left out by their tag or role.
+Names of classes and ids that tell of adverts, notices, comments and so on, and forms, are only
+suspected: the text of all elements with one path and name is summed, and a suspicion stands
+unless they hold more than ``MOST`` of the page's sentences. So an article inside a form, or in
+an element whose name happens to tell of something else, is kept. Comments may be longer than
+their article; they go wherever there are sentences outside them.
+
+For the rest, the length and the punctuation of all text nodes with one path are summed, linked
+text at ``LINKED`` of its own; a path's ratios are these sums over its nodes. The ratios are
 smoothed along the nodes in page order, fused by their geometric mean, averaged again over each
 path, and paths at ``LAMBDA`` of the page's level or above are content. All nodes of a content
 path are taken, short ones too, so a sentence of two words stays among long paragraphs. The
@@ -23,13 +29,13 @@ from pyspark.sql import functions as F
 from hazeline.llm.inputs import in_slices
 
 LAMBDA, KERNEL = 0.12, (0.25, 0.5, 0.25)
-ARTICLE_BONUS, LINK_SHARE = 3.0, 0.6
+ARTICLE_BONUS, LINKED, MOST, SENTENCE = 3.0, 0.1, 0.5, 20
 
 # Elements of HTML by what they mean for text.
 RAW = "script|style|textarea|title|noscript|template|xmp|iframe|noembed|noframes"
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 NO_ARTICLE = set(
-    "script style textarea title noscript template iframe xmp noembed noframes head nav footer aside form button "
+    "script style textarea title noscript template iframe xmp noembed noframes head nav footer aside button "
     "select option dialog menu svg math canvas object audio video fieldset label datalist map".split()
 )
 BLOCKS = set(
@@ -46,13 +52,14 @@ CLOSED_BY = {
 BARRIERS = {"table", "ul", "ol", "dl", "select", "div", "section", "article", "body", "html"}
 NOISE = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisement|advertising|sponsor(?:ed)?|promo(?:tion)?|banner|cookies?|consent|gdpr|notice|"
-    r"popup|modal|overlay|alert|comments?|disqus|respond|replies|reply|sidebar|side|aside|menu|nav|navbar|navigation|"
+    r"popup|modal|overlay|alert|sidebar|side|aside|menu|nav|navbar|navigation|"
     r"breadcrumbs?|footer|header|masthead|topbar|toolbar|share|sharing|social|related|recommend(?:ed|ations)?|newsletter|"
     r"subscribe|subscription|signup|login|search|pagination|pager|tags?|widget|skip|copyright|legal|disclaimer)(?:$|[\s_-])",
     re.I,
 )
+COMMENTS = re.compile(r"(?:^|[\s_-])(?:comments?|disqus|respond|replies|reply)(?:$|[\s_-])", re.I)
 NOISE_ROLES = {
-    "navigation", "banner", "contentinfo", "complementary", "search", "form", "dialog", "alert", "alertdialog", "menu",
+    "navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu",
     "menubar", "toolbar",
 }
 
@@ -73,6 +80,8 @@ class Element:
     left_out: bool
     in_main: bool
     in_link: bool
+    #: What this element and those around it are suspected of: (path, name, whether of comments).
+    suspected: tuple[tuple[str, str, bool], ...] = ()
 
 
 @dataclass
@@ -83,6 +92,7 @@ class TextNode:
     in_main: bool
     heading: bool
     linked: bool
+    suspected: tuple[tuple[str, str, bool], ...] = ()
 
 
 def _is_noise(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
@@ -92,10 +102,19 @@ def _is_noise(tag: str, attributes: dict[str, str], in_main: bool) -> bool:
         return True
     if attributes.get("role", "").lower() in NOISE_ROLES or HIDDEN.search(attributes.get("style", "")):
         return True
-    if tag in ("html", "body", "main", "article"):
-        return tag == "article" and bool(re.search(r"(?:^|[\s_-])comments?(?:$|[\s_-])", attributes.get("class", ""), re.I))
-    names = attributes.get("class", "") + " " + attributes.get("id", "")
-    return bool(NOISE.search(names)) and not (tag in HEADINGS or tag == "header")
+    return False
+
+
+def _suspicion(tag: str, attributes: dict[str, str]) -> tuple[str, bool] | None:
+    """(name, whether of comments) of an element that may be no part of an article."""
+    if tag in ("html", "body", "main", "header") or tag in HEADINGS:
+        return None
+    name = " ".join(attributes.get(a, "") for a in ("class", "id"))
+    of_comments = COMMENTS.search(name) is not None
+    if tag == "article":
+        return (name, True) if COMMENTS.search(attributes.get("class", "")) else None
+    noise = of_comments or NOISE.search(name) or tag == "form" or attributes.get("role", "").lower() == "form"
+    return (name, of_comments) if noise else None
 
 
 class _Page:
@@ -117,7 +136,10 @@ class _Page:
         left_out = top.left_out or _is_noise(tag, attributes, top.in_main)
         first = attributes.get("class", "").split()[:1]
         step = f"{tag}.{first[0]}" if first and tag in BLOCKS else tag
-        self.stack.append(Element(tag, f"{top.step}/{step}", left_out, in_main, top.in_link or tag == "a"))
+        path, suspected = f"{top.step}/{step}", top.suspected
+        if not left_out and (found := _suspicion(tag, attributes)):
+            suspected += ((path, *found),)
+        self.stack.append(Element(tag, path, left_out, in_main, top.in_link or tag == "a", suspected))
 
     def _close_until(self, tags: set[str], barriers: set[str]) -> None:
         for at in range(len(self.stack) - 1, -1, -1):
@@ -143,7 +165,7 @@ class _Page:
         if not top.left_out:
             tags = top.step
             heading = any(f"/{h}" in tags for h in HEADINGS)
-            self.nodes.append(TextNode(tags, raw, self.block, top.in_main, heading, top.in_link))
+            self.nodes.append(TextNode(tags, raw, self.block, top.in_main, heading, top.in_link, top.suspected))
 
 
 def text_nodes(html: str) -> list[TextNode]:
@@ -170,6 +192,30 @@ def text_nodes(html: str) -> list[TextNode]:
     return page.nodes
 
 
+def _sentences(node: TextNode) -> int:
+    """Length of a node's text if it is as long as a short sentence, unlinked and has punctuation."""
+    text = node.text.strip()
+    return len(text) if len(text) >= SENTENCE and not node.linked and PUNCTUATION.search(text) else 0
+
+
+def unsuspected(nodes: list[TextNode]) -> list[TextNode]:
+    """Nodes outside elements whose suspicion stands. What is judged by are the sentences outside
+    comments, and of these the ones of ``article`` and ``main`` elements, if there are any."""
+    if not any(n.suspected for n in nodes):
+        return nodes
+    judged = nodes
+    for chosen in (lambda n: not any(s[2] for s in n.suspected), lambda n: n.in_main):
+        fewer = [n for n in judged if chosen(n)]
+        judged = fewer if any(map(_sentences, fewer)) else judged
+    sums: dict[tuple[str, str, bool], int] = {}
+    for node in judged:
+        for suspicion in set(node.suspected):
+            sums[suspicion] = sums.get(suspicion, 0) + _sentences(node)
+    limit = MOST * sum(map(_sentences, judged))
+    cleared = {s for s, n in sums.items() if n > limit}
+    return [n for n in nodes if cleared.issuperset(n.suspected)]
+
+
 def smoothed(values: list[float]) -> list[float]:
     """Weighted means over neighbours in page order; at the ends the end itself counts twice."""
     last = len(values) - 1
@@ -184,8 +230,8 @@ def content_paths(nodes: list[TextNode]) -> set[str]:
     for node in real:
         text = node.text.strip()
         held = sums.setdefault(node.path, [0.0, 0.0, 0.0])
-        held[0] += len(text) * (0.1 if node.linked else 1.0)
-        held[1] += len(PUNCTUATION.findall(text)) + 1
+        held[0] += len(text) * (LINKED if node.linked else 1.0)
+        held[1] += (len(PUNCTUATION.findall(text)) + 1) * (LINKED if node.linked else 1.0)
         held[2] += 1
     length = smoothed([sums[n.path][0] / sums[n.path][2] for n in real])
     points = smoothed([sums[n.path][1] / sums[n.path][2] for n in real])
@@ -205,7 +251,7 @@ def main_text(html: str | None) -> tuple[str, int]:
     White space in a block becomes one space and blocks are joined by one. A page without text
     gives the empty text. Character references are decoded.
     """
-    nodes = text_nodes(html or "")
+    nodes = unsuspected(text_nodes(html or ""))
     chosen = content_paths(nodes)
     has_main = any(n.in_main and n.path in chosen for n in nodes)
     blocks: list[list[str]] = []
@@ -224,7 +270,8 @@ def main_text(html: str | None) -> tuple[str, int]:
 
 
 def extracted(pages: DataFrame) -> DataFrame:
-    """(page_id, url, text, n_chars, n_paths) of every row; a null page is an empty one."""
+    """(page_id, url, text, n_chars, n_paths) of every row; a null page is an empty one and rows
+    that repeat come out each."""
 
     def per_batch(batches):
         for batch in in_slices(batches):

@@ -1,3 +1,5 @@
+import pytest
+
 from hazeline.llm import tag_paths
 from hazeline.llm.tag_paths import main_text
 
@@ -29,6 +31,44 @@ def test_ratios_drop_link_lists_without_telling_names():
     assert text(page) == f"{LONG} {LONG}"
 
 
+MENU = "<div class=k1><ul>" + "".join(f"<li><a href=/{i}>Item {i}.</a></li>" for i in range(12)) + "</ul></div>"
+
+
+def test_ratios_decide_where_no_tag_or_name_tells(monkeypatch):
+    page = f"{MENU}<div class=k2><h1>A title of words</h1><p>{LONG}</p><p>Yes.</p><p>{LONG}</p></div>{MENU}"
+    assert text(page) == f"A title of words {LONG} Yes. {LONG}"
+    monkeypatch.setattr(tag_paths, "content_paths", lambda nodes: {n.path for n in nodes})
+    assert text(page).startswith("Item 0. Item 1.") and text(page).endswith("Item 11.")
+
+
+@pytest.mark.parametrize("name", ["legal", "post tags", "notice", "widget", "search related"])
+def test_articles_are_not_lost_by_a_name(name):
+    body = f"<p>{LONG}</p><p>{LONG}</p>"
+    assert text(f"{MENU}<div class='{name}'>{body}</div><div class=cookie-notice>We use cookies, really.</div>") == f"{LONG} {LONG}"
+    assert text(f"<div id='{name}'><article>{body}</article></div><div class=related><article><p>{LONG}</p></article></div>") == f"{LONG} {LONG}"
+    assert text(f"<article>{body}<div class='{name}'>Also of this, a sentence.</div></article>") == f"{LONG} {LONG}"
+
+
+def test_articles_inside_a_form_are_kept():
+    page = f"<form id=aspnetForm><input name=q><select><option>One</select><nav>Home</nav><article><p>{LONG}</p></article><button>Go</button></form>"
+    assert text(page) == LONG
+    assert text(page.replace("article>", "div>")) == LONG
+    assert text(f"<article><p>{LONG}</p><form><p>Write to us, we will answer.</p></form></article>") == LONG
+
+
+def test_comments_go_though_longer_than_the_article():
+    said = "".join(f"<p>{LONG}</p>" for _ in range(30))
+    for around in ("<div>{}</div>", "<article>{}</article>"):
+        assert text(around.format(f"<p>{LONG}</p>") + f"<div id=comments>{said}</div>") == LONG
+        assert text(around.format(f"<p>{LONG}</p><div class='user comments'>{said}</div>")) == LONG
+    assert text(f"<main><p>{LONG}</p><article class=comment>{said}</article></main>") == LONG
+
+
+def test_pages_without_sentences_keep_their_suspicions():
+    assert text("<div class=ad>Buy</div><form>Name</form>") == ""
+    assert text("<div class=ad>Buy</div><p>x</p>") == "x"
+
+
 def test_blocks_and_white_space():
     assert text("<p>a<b>b</b>c<br>d</p>\n<p> e \n\t f&nbsp;g </p>") == "abc d e f g"
     assert text("<table><tr><td>a<td>b<tr><td>c</table>") == "a b c"
