@@ -263,25 +263,33 @@ def overshoot_rows(documents: DataFrame) -> DataFrame:
     )
 
 
-def overshoot_documents(spark: SparkSession, path: str) -> DataFrame:
-    """JSON documents with an array ``data``; one that doesn't parse has its text in ``BROKEN``."""
+def overshoot_documents(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """JSON documents with an array ``data``; one that doesn't parse has its text in ``BROKEN``.
+
+    A document is a file, or with ``lines`` a line of a file that holds many: of very many
+    documents, opening a file for each takes longer than reading it.
+    """
     schema = T.StructType([T.StructField("data", T.ArrayType(OVERSHOOTS)), T.StructField(BROKEN, TEXT)])
-    return _whole_rows(spark.read.schema(schema).json(path, multiLine=True, columnNameOfCorruptRecord=BROKEN))
+    return _whole_rows(spark.read.schema(schema).json(path, multiLine=not lines, columnNameOfCorruptRecord=BROKEN))
 
 
-def load_overshoots(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+def load_overshoots(
+    spark: SparkSession, path: str, since: dt.date | None = None, lines: bool = False
+) -> DataFrame:
     """One JSON document per city, many cities in parallel; records from a start date on.
 
     Documents that don't parse are left out; ``broken_documents`` has them.
     """
-    rows = overshoot_rows(overshoot_documents(spark, path))
+    rows = overshoot_rows(overshoot_documents(spark, path, lines))
     return rows if since is None else rows.where(F.col("date") >= F.lit(since))
 
 
-def broken_documents(spark: SparkSession, path: str, shown: int = 200) -> DataFrame:
+def broken_documents(
+    spark: SparkSession, path: str, shown: int = 200, lines: bool = False
+) -> DataFrame:
     """(file_name, n_chars, start) of documents that don't parse: where, how long, how they begin."""
     text = F.col("record")
-    return _broken(overshoot_documents(spark, path)).select(
+    return _broken(overshoot_documents(spark, path, lines)).select(
         "file_name", F.length(text).cast("bigint").alias("n_chars"), F.substring(text, 1, shown).alias("start")
     )
 

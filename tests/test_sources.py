@@ -87,6 +87,23 @@ def test_broken_documents_are_left_out_and_listed(spark, tmp_path):
     assert found["cut.json"]["n_chars"] == len(good) - 20 + 1
 
 
+def test_documents_as_lines_of_few_files(spark, tmp_path):
+    from verification.queries import land_documents
+
+    record = '{"date":"2024-01-02","location_id":"a%d","is_overshoot":true,"is_overshoot_estimated":false}'
+    good = ['{"data":[%s]}' % ",".join([record % i] * (i % 3)) for i in range(60)]
+    texts = [text[:-9] if i % 9 == 0 else text for i, text in enumerate(good) if i]
+    folder = tmp_path / "o"
+    land_documents(spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1), str(folder), most=20)
+    assert len(list(folder.rglob("*.gz"))) == 3 and not [p for p in folder.iterdir() if p.is_dir()]
+    read = rows(readers.load_overshoots(spark, str(folder), lines=True), "location_id")
+    assert sorted(read) == sorted((f"a{i}",) for i in range(60) for _ in range(i % 3) if i % 9)
+    found = readers.broken_documents(spark, str(folder), 12, lines=True)
+    cut = [good[i][:-9] for i in range(9, 60, 9)]
+    assert sorted(rows(found, "n_chars", "start")) == sorted((len(t), t[:12]) for t in cut)
+    assert {r[0].rsplit("/", 1)[0].removeprefix("file:").lstrip("/") for r in rows(found, "file_name")} == {str(folder).lstrip("/")}
+
+
 def test_broken_groups_and_stations_are_left_out(spark, tmp_path):
     write(tmp_path / "c" / "a.csv", "id,name,gadm1_id,country_id,level,longitude,latitude", "a,A,r,IN,city,77.5,12.9", "b,B,r,IN,city,east,1")
     assert rows(readers.load_cities(spark, str(tmp_path / "c"), "csv")) == [("a", 77.5, 12.9)]
